@@ -13,8 +13,14 @@ KEY = "ID_Vuelo"
 TIME = "Timestamp_Evento"
 
 
-def _event_struct(body: str) -> Column:
-    return F.from_json(F.col(body).cast("string"), TRACKING_EVENT)
+def _read_bodies(body: str) -> Column:
+    """Event fields of a binary JSON body.
+
+    The one-element ``inline`` keeps the parse in an operator of its own. As a
+    plain projection it would be copied into every later filter condition, and
+    each copy would parse the body again.
+    """
+    return F.inline(F.array(F.from_json(F.col(body).cast("string"), TRACKING_EVENT)))
 
 
 def parse_events(raw: DataFrame, body: str = "body") -> DataFrame:
@@ -22,14 +28,14 @@ def parse_events(raw: DataFrame, body: str = "body") -> DataFrame:
 
     A body that cannot be read gives NULL fields, never an error.
     """
-    return raw.select(_event_struct(body).alias("event")).select("event.*")
+    return raw.select(_read_bodies(body))
 
 
 def unreadable_events(raw: DataFrame, body: str = "body") -> DataFrame:
     """Input rows whose body yields no field at all, with every input column."""
-    event = _event_struct(body)
-    found = F.coalesce(*(event[name].cast("string") for name in TRACKING_EVENT.fieldNames()))
-    return raw.where(found.isNull())
+    fields = TRACKING_EVENT.fieldNames()
+    found = F.coalesce(*(F.col(name).cast("string") for name in fields))
+    return raw.select("*", _read_bodies(body)).where(found.isNull()).drop(*fields)
 
 
 def clean_events(events: DataFrame) -> DataFrame:
