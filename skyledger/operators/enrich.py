@@ -2,7 +2,8 @@
 
 ``latest`` always has one row per flight. Which join Spark runs is left to its
 size check: a small ``latest`` is broadcast and the history is not shuffled at
-all, a large one gets a sort-merge join. In the sort-merge case a flight id
+all, a large one gets a sort-merge join. The check needs the real size, so
+callers settle ``latest`` in storage first. In the sort-merge case a flight id
 that dominates the history is split by adaptive execution; ``heavy`` does the
 same by salting for sessions without it.
 """

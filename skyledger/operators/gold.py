@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,8 +11,16 @@ from skyledger.functions import flights as fl
 from skyledger.schemas import GOLD_DIMENSIONS, GOLD_FLIGHT
 
 
-def _low_cost_flights() -> Column:
-    return F.count_if(F.col("indicador_es_bajo_costo"))
+def _revenue() -> Column:
+    """Sum of the ticket totals, as double.
+
+    Added up in whole cents: exact in any order like a decimal sum, but in a
+    64-bit buffer, where a decimal sum needs 128 bits. The bound is 9.2e16 per
+    group; beyond it the query stops (ANSI mode) rather than wraps.
+    """
+    total = F.col("tarifa_precio_total_ticket").cast("decimal(14,2)")
+    cents = F.sum((total * 100).cast("bigint"))
+    return (cents.cast("decimal(19,0)") * F.lit(Decimal("0.01"))).cast("double")
 
 
 def monthly_by_route(silver: DataFrame) -> DataFrame:
@@ -19,26 +29,23 @@ def monthly_by_route(silver: DataFrame) -> DataFrame:
 
     One shuffle, of partial sums: a task sends at most one row per group, so a
     group that holds a third of the input still arrives as a few rows.
-    Money is summed as decimal, hence exact in any order, and turned into a
-    double once at the end. ``gld_precio_promedio_ticket`` is revenue (one
-    ticket per flight) over passengers; the name is the data model's.
+    ``gld_precio_promedio_ticket`` is revenue (one ticket per flight) over
+    passengers; the name is the data model's.
     """
     totals = silver.groupBy(
         *(F.col(old).alias(new) for old, new in GOLD_DIMENSIONS.items())
     ).agg(
-        F.sum("tarifa_precio_total_ticket").alias("revenue"),
+        _revenue().alias("gld_ingreso_total"),
         F.count("id_vuelo").alias("gld_vuelos_contados"),
         F.sum("op_pasajeros_reservados").alias("gld_pasajeros_totales"),
         F.sum("capacidad_pasajeros").alias("gld_capacidad_total"),
-        _low_cost_flights().alias("gld_vuelos_bajo_costo"),
+        F.count_if("indicador_es_bajo_costo").alias("gld_vuelos_bajo_costo"),
     )
     people, seats = F.col("gld_pasajeros_totales"), F.col("gld_capacidad_total")
-    revenue = F.round(F.col("revenue"), 2).cast("double")
     return totals.select(
         "*",
-        revenue.alias("gld_ingreso_total"),
         fl.percent(people, seats).alias("gld_load_factor_porc"),
-        fl.per_unit(revenue, people).alias("gld_precio_promedio_ticket"),
+        fl.per_unit(F.col("gld_ingreso_total"), people).alias("gld_precio_promedio_ticket"),
     ).select(*GOLD_FLIGHT.fieldNames())
 
 
@@ -57,6 +64,6 @@ def monthly_by_airline(silver: DataFrame) -> DataFrame:
         F.col("analisis_anio").alias("dim_anio"),
         F.col("analisis_mes").alias("dim_mes"),
     ).agg(
-        F.sum("tarifa_precio_total_ticket").cast("double").alias("ingreso_total"),
+        _revenue().alias("ingreso_total"),
         F.round(F.avg(load), 6).alias("load_factor_promedio"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,16 +52,13 @@ def newest_first(columns: list[str], time: str = TIME, key: str = KEY) -> list[s
 
 
 def latest_per_key(
-    events: DataFrame,
-    key: str = KEY,
-    time: str = TIME,
-    tie_break: list[str] | None = None,
+    events: DataFrame, key: str = KEY, time: str = TIME, tie_break: list[str] | None = None
 ) -> DataFrame:
-    """The newest row of each key.
+    """The newest row of each key, by ``row_number() = 1``.
 
-    ``row_number() = 1`` lets Spark keep one row per key in each map task
-    before the shuffle (WindowGroupLimit), so a key with a third of all events
-    sends one row per task.
+    Spark keeps one row per key in each map task before the shuffle
+    (WindowGroupLimit), so a key with a third of all events sends one row per
+    task.
     """
     order = [time, *tie_break] if tie_break else newest_first(events.columns, time, key)
     newest = Window.partitionBy(key).orderBy(*(F.col(c).desc_nulls_last() for c in order))
@@ -70,6 +69,17 @@ def latest_per_key(
     )
 
 
+def latest_by_max(events: DataFrame, key: str = KEY, time: str = TIME) -> DataFrame:
+    """The newest row of each key, as an aggregate.
+
+    ``max`` over a struct compares its fields in turn, NULL lowest: the order
+    ``latest_per_key`` sorts by, hence the same rows. It sorts by key only, and
+    it merges, so it also works on a stream.
+    """
+    newest = F.max(F.struct(*newest_first(events.columns, time, key))).alias("newest")
+    return events.groupBy(key).agg(newest).select(key, "newest.*").select(*events.columns)
+
+
 def add_state_columns(events: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Normalised state, corrected delay and high-delay flag."""
     state = tr.normal_state(F.col("Estado_Actual"))
@@ -99,10 +109,14 @@ def tracking_view(events: DataFrame, rules: Rules = Rules()) -> DataFrame:
     ).select(TRACKING_KEY, *TRACKING_COLUMNS)
 
 
-def latest_state(events: DataFrame, rules: Rules = Rules()) -> DataFrame:
+def latest_state(
+    events: DataFrame,
+    rules: Rules = Rules(),
+    pick: Callable[[DataFrame], DataFrame] = latest_by_max,
+) -> DataFrame:
     """Latest state per flight.
 
     The derived columns depend on one row only, so they are computed after the
     selection: on one row per flight and not on every event.
     """
-    return events.transform(clean_events).transform(latest_per_key).transform(tracking_view, rules)
+    return events.transform(clean_events).transform(pick).transform(tracking_view, rules)

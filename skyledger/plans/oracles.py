@@ -369,6 +369,7 @@ FROM stated""",
     "high_delay_flag": f"""WITH {EVENTS},{_with_state("parsed")}
 SELECT "ID_Vuelo", tracking_retraso_minutos, indicador_retraso_alto FROM stated""",
     "latest_state": f"WITH {LATEST} SELECT * FROM latest",
+    "latest_state_by_max": f"WITH {LATEST} SELECT * FROM latest",
     "latest_state_enriched": _JOINED,
     "latest_state_enriched_salted": _JOINED,
     "active_enriched": _ACTIVE,
@@ -421,6 +422,7 @@ FROM fields""",
     "stream_current": f"WITH {LATEST} SELECT * FROM latest",
     "stream_current_log": f"WITH {LATEST} SELECT * FROM latest",
     "stream_current_compacted": f"WITH {LATEST} SELECT * FROM latest",
+    "operational_state": _ACTIVE,
     "batch_chain": f"WITH {GOLD} SELECT * FROM gold",
     "silver_partitioned": f"""WITH {SILVER}
 SELECT analisis_mes, CAST(sum(op_pasajeros_reservados) AS BIGINT) AS pasajeros

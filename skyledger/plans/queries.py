@@ -238,13 +238,26 @@ def high_delay_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(tk.latest_state(_events(spark, sf_dir), RULES))
+    """By ``row_number``."""
+    return plain(tk.latest_state(_events(spark, sf_dir), RULES, tk.latest_per_key))
+
+
+@query
+def latest_state_by_max(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By aggregate, the form the joins and streams use."""
+    return plain(tk.latest_state(_events(spark, sf_dir), RULES, tk.latest_by_max))
+
+
+def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest states, settled so that the join is planned with their size."""
+    latest = tk.latest_state(_events(spark, sf_dir), RULES)
+    return tables.settle(latest, shared_scratch(spark, "latest"))
 
 
 @query
 def latest_state_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = _flights(spark, sf_dir)
-    latest = tk.latest_state(_events(spark, sf_dir), RULES)
+    latest = _latest(spark, sf_dir)
     return plain(enrich.flights_with_state(flights, latest, enrich.skew_plan(flights)))
 
 
@@ -252,14 +265,14 @@ def latest_state_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_state_enriched_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same join with heavy flight ids spread by salt."""
     flights = _flights(spark, sf_dir)
-    latest = tk.latest_state(_events(spark, sf_dir), RULES)
+    latest = _latest(spark, sf_dir)
     return plain(enrich.flights_with_state(flights, latest, heavy_keys(flights, enrich.FLIGHT)))
 
 
 @query
 def active_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = _flights(spark, sf_dir)
-    latest = tk.latest_state(_events(spark, sf_dir), RULES)
+    latest = _latest(spark, sf_dir)
     return plain(enrich.active_with_history(flights, latest, enrich.skew_plan(flights)))
 
 
@@ -270,8 +283,8 @@ def active_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bi_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``SELECT *`` over the flights with state, as the dashboard's dataset."""
     flights = _flights(spark, sf_dir)
-    latest = tk.latest_state(_events(spark, sf_dir), RULES)
-    enrich.flights_with_state(flights, latest).createOrReplaceTempView("vuelos")
+    joined = enrich.flights_with_state(flights, _latest(spark, sf_dir), enrich.skew_plan(flights))
+    joined.createOrReplaceTempView("vuelos")
     return plain(tables.read_table(spark, "vuelos"))
 
 
@@ -406,6 +419,16 @@ def stream_current_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(jobs.read_current(spark, name, RULES))
 
 
+@query
+def operational_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current state of each tracked flight with its history, joined on reading
+    so that no batch has to write the history again."""
+    name, cfg = _current_stream(spark, sf_dir, stateful=False)
+    current = tables.settle(jobs.read_current(spark, name, RULES), f"{cfg.root}/current")
+    flights = _flights(spark, sf_dir)
+    return plain(enrich.active_with_history(flights, current, enrich.skew_plan(flights)))
+
+
 # Tables, the batch chain, generated inputs
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import SparkSession
 
 LAKE_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Sums that overflow must stop a job, not wrap.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

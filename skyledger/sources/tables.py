@@ -81,6 +81,18 @@ def overwrite_table(
     writer.saveAsTable(name)
 
 
+def settle(df: DataFrame, path: str) -> DataFrame:
+    """Writes an intermediate result to shared storage and reads it back.
+
+    For a result that is much smaller than its input and is joined afterwards:
+    the planner then knows its real size, so its broadcast check decides on the
+    result and not on the input it came from, and an executor lost during the
+    join does not cause the result to be computed again.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _batch_table(spark: SparkSession, df: DataFrame, name: str, fmt: str) -> None:
     if spark.catalog.tableExists(name):
         return

@@ -64,6 +64,7 @@ def _start_batches(
 def gold_batch_writer(
     history: str,
     table: str,
+    staging: str,
     *,
     rules: Rules = Rules(),
     side: str = "history",
@@ -73,8 +74,11 @@ def gold_batch_writer(
     writes the result as that batch's partition.
 
     The history table is read again in each batch, so later loads are seen.
-    ``side="history"`` writes every historical flight in every batch; where
-    only tracked flights are wanted, ``side="active"`` writes those alone.
+    The batch's states are settled in ``staging`` first (overwritten by the
+    next batch): the events are parsed once, and the join is planned with the
+    real number of states. ``side="history"`` writes every historical flight in
+    every batch; where only tracked flights are wanted, ``side="active"``
+    writes those alone.
     """
     combine = SIDES[side]
 
@@ -82,7 +86,7 @@ def gold_batch_writer(
         if events.isEmpty():
             return
         flights = events.sparkSession.table(history)
-        latest = tk.latest_state(events, rules)
+        latest = tables.settle(tk.latest_state(events, rules), staging)
         joined = combine(flights, latest, enrich.skew_plan(flights))
         tables.write_batch(joined, table, batch_id, fmt)
 
@@ -105,23 +109,11 @@ def start_gold(
     Window functions and a join with a static left side are not allowed on a
     stream itself, hence ``foreachBatch``.
     """
-    write = gold_batch_writer(history, table, rules=rules, side=side, fmt=fmt)
+    staging = f"{checkpoint.rstrip('/')}_latest"
+    write = gold_batch_writer(history, table, staging, rules=rules, side=side, fmt=fmt)
     return _start_batches(tk.parse_events(bronze), write, checkpoint, every)
 
 
-def latest_as_aggregate(events: DataFrame) -> DataFrame:
-    """Latest event per flight as a mergeable aggregate.
-
-    ``max`` over a struct compares its fields in turn, which is the order
-    ``latest_per_key`` sorts by.
-    """
-    rest = tk.newest_first(events.columns)
-    newest = F.max(F.struct(*rest)).alias("newest")
-    return (
-        events.groupBy(tk.KEY).agg(newest).select(tk.KEY, "newest.*").select(*events.columns)
-    )
-
-
 def start_current(
     bronze: DataFrame,
     table: str,
@@ -142,10 +134,10 @@ def start_current(
     events = tk.clean_events(tk.parse_events(bronze))
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        newest = rows if stateful else tk.latest_per_key(rows)
+        newest = rows if stateful else tk.latest_by_max(rows)
         tables.write_batch(newest, table, batch_id, fmt)
 
-    return _start_batches(latest_as_aggregate(events) if stateful else events, write, checkpoint, every)
+    return _start_batches(tk.latest_by_max(events) if stateful else events, write, checkpoint, every)
 
 
 def read_current(spark: SparkSession, table: str, rules: Rules = Rules()) -> DataFrame:
@@ -155,7 +147,7 @@ def read_current(spark: SparkSession, table: str, rules: Rules = Rules()) -> Dat
     batches and compacted copies cannot change the answer.
     """
     log = spark.table(table).select(*TRACKING_EVENT.fieldNames())
-    return log.transform(tk.latest_per_key).transform(tk.tracking_view, rules)
+    return log.transform(tk.latest_by_max).transform(tk.tracking_view, rules)
 
 
 def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> int | None:
@@ -169,7 +161,7 @@ def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> in
     if len(merged) < 2:
         return None
     log = spark.table(table).where(F.col(tables.BATCH_ID).isin(merged))
-    newest = log.select(*TRACKING_EVENT.fieldNames()).transform(tk.latest_per_key)
+    newest = log.select(*TRACKING_EVENT.fieldNames()).transform(tk.latest_by_max)
     target = min(merged[0], 0) - 1
     newest.withColumn(tables.BATCH_ID, F.lit(target).cast("bigint")).select(
         *spark.table(table).columns

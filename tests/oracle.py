@@ -69,7 +69,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         except Exception as error:  # one broken query must not hide the others
             found = [f"{type(error).__name__}: {str(error)[:600]}"]
         failed += bool(found)
-        print(f"{'FAIL' if found else 'ok  '} {name} {time.time() - start:.1f}s {' '.join(found)[:1500]}", flush=True)
+        print(f"\n{'FAIL' if found else 'ok  '} {name} {time.time() - start:.1f}s {' '.join(found)[:1500]}", flush=True)
     return failed
 
 
