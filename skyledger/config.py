@@ -5,6 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+from pyspark.sql import SparkSession
+
 # Layers created for the batch side and for the streaming side.
 BATCH_LAYERS = ("bronze", "silver", "gold", "exploratory")
 STREAM_LAYERS = ("bronze", "silver", "gold")
@@ -44,6 +46,26 @@ class LakeConfig:
     silver_partitions: tuple[str, ...] = ()
     rules: Rules = field(default_factory=Rules)
 
+    @classmethod
+    def from_session(cls, spark: SparkSession, **overrides) -> LakeConfig:
+        """Values set as ``spark.skyledger.<field>`` in the session; arguments
+        win over them."""
+        found = {}
+        for name, kind in (
+            ("catalog", str), ("stream_catalog", str), ("root", str), ("table", str),
+            ("table_format", str), ("three_part_names", bool), ("silver_partitions", tuple),
+        ):
+            text = spark.conf.get(f"spark.skyledger.{name}", None)
+            if text is None:
+                continue
+            if kind is bool:
+                found[name] = text.lower() == "true"
+            elif kind is tuple:
+                found[name] = tuple(part.strip() for part in text.split(",") if part.strip())
+            else:
+                found[name] = text
+        return cls(**{**found, **overrides})
+
     def schema(self, layer: str, *, stream: bool = False) -> str:
         catalog = self.stream_catalog if stream else self.catalog
         return f"{catalog}.{layer}" if self.three_part_names else f"{catalog}_{layer}"
