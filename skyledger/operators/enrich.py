@@ -53,14 +53,15 @@ def active_with_history(
     join from ``latest`` would have to shuffle the whole history (its right
     side) and could not split a heavy flight there; the inner join can
     broadcast ``latest`` and can split either side. The second scan of the
-    history reads the id column only, cut to tracked ids before it is reduced.
+    history reads the id column only, reduced to distinct ids in each task; a
+    ``latest`` small enough to broadcast is moved below that by the optimizer.
     """
     matched = _join(history, latest, "inner", heavy)
     ids = latest.select(F.col(TRACKING_KEY).alias("_id"))
     known = (
         history.select(FLIGHT)
-        .join(ids, F.col(FLIGHT) == F.col("_id"), "left_semi")
         .distinct()
+        .join(ids, F.col(FLIGHT) == F.col("_id"), "left_semi")
     )
     unmatched = latest.join(known, F.col(TRACKING_KEY) == F.col(FLIGHT), "left_anti")
     return matched.drop(TRACKING_KEY).unionByName(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,18 +16,24 @@ SKETCH_ITEMS = 10_000
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Key values to spread over ``spread`` partitions each.
+    """For each heavy key value, and for NULL, into how many parts to split it.
 
-    Only the balance of work depends on this list; a join gives the same rows
-    with a stale, incomplete or empty one.
+    Only the balance of work depends on these numbers; a join gives the same
+    rows when they are stale, incomplete or empty.
     """
 
-    values: tuple = ()
-    nulls: bool = False
-    spread: int = 64
+    parts: Mapping[str, int] = field(default_factory=dict)
+    null_parts: int = 1
 
     def __bool__(self) -> bool:
-        return bool(self.values) or self.nulls
+        return bool(self.parts) or self.null_parts > 1
+
+    def parts_of(self, key: Column) -> Column:
+        listed = F.lit(1)
+        if self.parts:
+            table = F.create_map(*(F.lit(x) for item in self.parts.items() for x in item))
+            listed = F.coalesce(F.try_element_at(table, key), F.lit(1))
+        return F.when(key.isNull(), F.lit(self.null_parts)).otherwise(listed)
 
 
 def aqe_splits_skew(spark: SparkSession) -> bool:
@@ -36,43 +44,52 @@ def aqe_splits_skew(spark: SparkSession) -> bool:
     )
 
 
-def heavy_keys(df: DataFrame, key: str, *, share: float = HEAVY_SHARE, spread: int = 64) -> HeavyKeys:
-    """Keys that hold at least ``share`` of the rows.
+def heavy_keys(
+    df: DataFrame, key: str, *, share: float = HEAVY_SHARE, partitions: int | None = None
+) -> HeavyKeys:
+    """Keys that hold at least ``share`` of the rows, each to be split into as
+    many parts as it would fill of ``partitions`` even shuffle partitions.
 
     One scan of one column with a mergeable heavy-hitter sketch: tasks send a
     sketch each, no key is shuffled, and the driver gets at most 1/share values.
     """
     limit = int(1 / share)
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     report = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(key).alias("present"),
         F.expr(f"approx_top_k(`{key}`, {limit}, {SKETCH_ITEMS})").alias("top"),
     ).first()
-    floor = share * report["rows"]
-    values = tuple(t["item"] for t in report["top"] or () if t["item"] is not None and t["count"] >= floor)
-    missing = report["rows"] - report["present"]
-    return HeavyKeys(values, nulls=missing > 0 and missing >= floor, spread=spread)
-
-
-def _is_heavy(key: Column, heavy: HeavyKeys) -> Column:
-    listed = key.isin(*heavy.values) if heavy.values else F.lit(False)
-    return F.coalesce(listed, F.lit(heavy.nulls))
+    rows, floor = report["rows"], max(1, share * report["rows"])
+
+    def parts(count: int) -> int:
+        return max(2, math.ceil(count / rows * partitions))
+
+    missing = rows - report["present"]
+    return HeavyKeys(
+        {
+            top["item"]: parts(top["count"])
+            for top in report["top"] or ()
+            if top["item"] is not None and top["count"] >= floor
+        },
+        parts(missing) if missing >= floor else 1,
+    )
 
 
 def scatter(df: DataFrame, key: str, heavy: HeavyKeys, salt: str) -> DataFrame:
-    """Salt for the side that is split: heavy rows get one of ``spread`` values.
+    """Salt for the side that is split: a row of a heavy key gets one of its
+    parts, any other row part 0.
 
-    The salt is a hash of the whole row, so a task that runs again after an
+    The part is a hash of the whole row, so a task that runs again after an
     executor is lost assigns the same one.
     """
-    spot = F.pmod(F.xxhash64(*df.columns), F.lit(heavy.spread)).cast("int")
-    return df.withColumn(salt, F.when(_is_heavy(F.col(key), heavy), spot).otherwise(F.lit(0)))
+    part = F.pmod(F.xxhash64(*df.columns), heavy.parts_of(F.col(key))).cast("int")
+    return df.withColumn(salt, part)
 
 
 def replicate(df: DataFrame, key: str, heavy: HeavyKeys, salt: str) -> DataFrame:
-    """Salt for the other side, which has one row per key: a heavy key's row is
-    repeated for each salt, every other row stays single."""
-    salts = F.when(
-        _is_heavy(F.col(key), heavy), F.sequence(F.lit(0), F.lit(heavy.spread - 1))
-    ).otherwise(F.array(F.lit(0)))
-    return df.withColumn(salt, F.explode(salts))
+    """Salt for the other side, which has one row per key: the row of a heavy
+    key is repeated for each part, every other row stays single."""
+    last = heavy.parts_of(F.col(key)) - 1
+    return df.withColumn(salt, F.explode(F.sequence(F.lit(0), last)))
