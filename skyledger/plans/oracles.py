@@ -121,7 +121,7 @@ message AS (
   FROM events
 ),
 parsed AS (
-  SELECT
+  SELECT user_id % 4 AS hub,
     CASE WHEN NOT readable OR event_id % 59 = 0 THEN NULL
       WHEN event_id % 53 = 0 THEN '   '
       WHEN event_id % 50 = 0 THEN 'AA' || user_id || '_ERR'
@@ -151,7 +151,7 @@ clean AS (
     AND NOT contains("ID_Vuelo", '_ERR') AND "Timestamp_Evento" IS NOT NULL
 )"""
 
-_EVENT_OUT = """* REPLACE (
+_EVENT_OUT = """* EXCLUDE (hub) REPLACE (
     epoch_us("Timestamp_Evento") AS "Timestamp_Evento",
     CAST("Consumo_Combustible_Litros" AS DOUBLE) AS "Consumo_Combustible_Litros")"""
 
@@ -176,19 +176,22 @@ stated AS (
 )"""
 
 
-LATEST = f"""{EVENTS},{_with_state("clean")},
-latest AS (
-  SELECT "ID_Vuelo" AS tracking_key,
+_STATE_COLUMNS = """"ID_Vuelo" AS tracking_key,
     epoch_us("Timestamp_Evento") AS tracking_timestamp_evento,
     estado_actual_normalizado, tracking_retraso_minutos, indicador_retraso_alto,
     "Puerta_Asignada" AS tracking_puerta_asignada, "Ruta_Evento" AS tracking_ruta_evento,
     "Nivel_Servicio" AS tracking_nivel_servicio,
-    CAST("Consumo_Combustible_Litros" AS DOUBLE) AS tracking_consumo_combustible_litros
+    CAST("Consumo_Combustible_Litros" AS DOUBLE) AS tracking_consumo_combustible_litros"""
+
+_NEWEST = """ORDER BY "Timestamp_Evento" DESC, "Estado_Actual" DESC,
+      "Retraso_Minutos" DESC NULLS LAST, "Puerta_Asignada" DESC, "Ruta_Evento" DESC,
+      "Nivel_Servicio" DESC, "Consumo_Combustible_Litros" DESC"""
+
+LATEST = f"""{EVENTS},{_with_state("clean")},
+latest AS (
+  SELECT {_STATE_COLUMNS}
   FROM stated
-  QUALIFY row_number() OVER (PARTITION BY "ID_Vuelo"
-    ORDER BY "Timestamp_Evento" DESC, "Estado_Actual" DESC, "Retraso_Minutos" DESC NULLS LAST,
-      "Puerta_Asignada" DESC, "Ruta_Evento" DESC, "Nivel_Servicio" DESC,
-      "Consumo_Combustible_Litros" DESC) = 1
+  QUALIFY row_number() OVER (PARTITION BY "ID_Vuelo" {_NEWEST}) = 1
 )"""
 
 _JOINED = f"""WITH {SILVER},{LATEST}
@@ -329,6 +332,25 @@ SELECT info_aerolinea AS dim_aerolinea, analisis_anio AS dim_anio, analisis_mes
   CAST(sum(tarifa_precio_total_ticket) AS DOUBLE) AS ingreso_total,
   {_MEAN_LOAD} AS load_factor_promedio
 FROM silver GROUP BY ALL""",
+    "gold_schema": f"""WITH {GOLD}, counted AS (
+  SELECT count(dim_anio) AS dim_anio, count(dim_mes) AS dim_mes,
+    count(dim_aerolinea) AS dim_aerolinea, count(dim_ruta_id) AS dim_ruta_id,
+    count(gld_ingreso_total) AS gld_ingreso_total,
+    count(gld_vuelos_contados) AS gld_vuelos_contados,
+    count(gld_pasajeros_totales) AS gld_pasajeros_totales,
+    count(gld_capacidad_total) AS gld_capacidad_total,
+    count(gld_vuelos_bajo_costo) AS gld_vuelos_bajo_costo,
+    count(gld_load_factor_porc) AS gld_load_factor_porc,
+    count(gld_precio_promedio_ticket) AS gld_precio_promedio_ticket
+  FROM gold
+), long AS (UNPIVOT counted ON COLUMNS(*) INTO NAME columna VALUE valores)
+SELECT columna, valores, CASE
+    WHEN columna IN ('dim_anio', 'dim_mes') THEN 'int'
+    WHEN columna LIKE 'dim%' THEN 'string'
+    WHEN columna IN ('gld_ingreso_total', 'gld_load_factor_porc', 'gld_precio_promedio_ticket')
+      THEN 'double'
+    ELSE 'bigint' END AS tipo
+FROM long""",
     "csv_by_name": f"""WITH {BRONZE}
 SELECT {_BRONZE_OUT.replace("REPLACE (", '''REPLACE (
     CASE WHEN tarifa_clase = 'Económica' AND op_distancia_km % 200 = 0 THEN NULL
@@ -419,6 +441,16 @@ FROM fields""",
     "stream_silver": f"WITH {EVENTS} SELECT {_EVENT_OUT} FROM parsed",
     "stream_gold": _JOINED,
     "stream_gold_active": _ACTIVE,
+    "gold_batches_replayed": f"""WITH {SILVER},{EVENTS},{_with_state("clean")},
+latest AS (
+  SELECT CAST(hub AS BIGINT) AS batch_id, {_STATE_COLUMNS}
+  FROM stated
+  QUALIFY row_number() OVER (PARTITION BY hub, "ID_Vuelo" {_NEWEST}) = 1
+)
+SELECT {_SILVER_OUT.replace("* REPLACE (", "* EXCLUDE (tracking_key) REPLACE (tracking_key AS id_vuelo,")}
+FROM latest LEFT JOIN silver ON id_vuelo = tracking_key""",
+    "stream_preview": """
+SELECT least(count(*), 20) AS filas, least(count(*), 20) AS filas_conocidas FROM events""",
     "stream_current": f"WITH {LATEST} SELECT * FROM latest",
     "stream_current_log": f"WITH {LATEST} SELECT * FROM latest",
     "stream_current_compacted": f"WITH {LATEST} SELECT * FROM latest",

@@ -163,6 +163,21 @@ def gold_airline_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.monthly_by_airline(_flights(spark, sf_dir))
 
 
+@query
+def gold_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Type of each gold column and how many groups have a value in it."""
+    df = gold.monthly_by_route(_flights(spark, sf_dir))
+    return _typed_counts(df, {name: kind for name, kind, _ in batch.schema_report(df)})
+
+
+def _typed_counts(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    counted = df.agg(*(F.count(name).alias(name) for name in types))
+    kind = F.lit(None).cast("string")
+    for name, text in types.items():
+        kind = F.when(F.col("columna") == name, text).otherwise(kind)
+    return counted.unpivot([], list(types), "columna", "valores").withColumn("tipo", kind)
+
+
 # CSV source
 
 
@@ -188,11 +203,8 @@ def csv_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Guessed type of each column, next to the number of values it has."""
     path = _staged_csv(spark, sf_dir)
     guessed = csv_files.infer_schema(spark, path)
-    counted = csv_files.read_text_columns(spark, path).agg(*(F.count(c).alias(c) for c in guessed.names))
-    kind = F.lit(None).cast("string")
-    for f in guessed:
-        kind = F.when(F.col("columna") == f.name, f.dataType.simpleString()).otherwise(kind)
-    return counted.unpivot([], guessed.names, "columna", "valores").withColumn("tipo", kind)
+    types = {f.name: f.dataType.simpleString() for f in guessed}
+    return _typed_counts(csv_files.read_text_columns(spark, path), types)
 
 
 # Tracking events as a batch
@@ -391,6 +403,32 @@ def stream_gold_active(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gold_stream(spark, sf_dir, "active")
 
 
+@query
+def gold_batches_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each hub partition as a batch of its own, the third one written twice."""
+    cfg = _lake(spark, "gold_batches")
+    history, name = cfg.table_name("silver"), cfg.table_name("gold", stream=True)
+    tables.overwrite_table(_flights(spark, sf_dir), history)
+    write = jobs.gold_batch_writer(history, name, f"{cfg.root}/staging", rules=RULES, side="active")
+    raw = _raw_events(spark, sf_dir)
+    for batch_id in (0, 1, 2, 3, 2):
+        write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
+    return plain(tables.read_table(spark, name))
+
+
+@query
+def stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows a preview of 20 shows, and how many of them are events."""
+    cfg = _lake(spark, "preview")
+    path, step = _landed_events(spark, sf_dir, cfg)
+    source = streams.read_events(spark, path=path, maxFilesPerTrigger=str(step))
+    view = f"preview_{cfg.catalog}"
+    jobs.preview(source, view, rows=20).awaitTermination()
+    sent = _raw_events(spark, sf_dir).select("sequenceNumber").withColumn("sent", F.lit(1))
+    shown = spark.table(view).join(sent, "sequenceNumber", "left")
+    return shown.agg(F.count("*").alias("filas"), F.count("sent").alias("filas_conocidas"))
+
+
 def _current_stream(spark: SparkSession, sf_dir: str, stateful: bool) -> tuple[str, LakeConfig]:
     cfg = _lake(spark, "stream_current")
     path, step = _landed_events(spark, sf_dir, cfg)
