@@ -16,8 +16,6 @@ from skyledger.session import build_session, stream_session
 from skyledger.sources import csv_files, generators, streams, tables
 from skyledger.streaming import jobs
 
-CURRENT = "estado_actual"
-
 
 def _options(pairs: list[str]) -> dict[str, str]:
     return dict(pair.split("=", 1) for pair in pairs)
@@ -73,7 +71,7 @@ def run_gold(spark, cfg, args):
 def run_current(spark, cfg, args):
     jobs.start_current(
         _follow_bronze(spark, cfg),
-        cfg.table_name("gold", stream=True, table=CURRENT),
+        cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE),
         cfg.checkpoint("current"),
         stateful=args.stateful,
         fmt=cfg.table_format,
@@ -81,8 +79,24 @@ def run_current(spark, cfg, args):
     ).awaitTermination()
 
 
+def run_rejects(spark, cfg, args):
+    target = cfg.table_name("silver", stream=True, table=jobs.REJECTS_TABLE)
+    checkpoint = cfg.checkpoint("rejects")
+    jobs.start_rejects(
+        _follow_bronze(spark, cfg), target, checkpoint, fmt=cfg.table_format, every=args.every
+    ).awaitTermination()
+
+
+def run_stream(spark, cfg, args):
+    session = stream_session(spark)
+    for query in jobs.start_all(
+        session, cfg, _source(session, args), side=args.side, every=args.every
+    ):
+        query.awaitTermination()
+
+
 def run_compact(spark, cfg, args):
-    name = cfg.table_name("gold", stream=True, table=CURRENT)
+    name = cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
     print("merged into batch", jobs.compact_current(spark, name, cfg.table_format))
 
 
@@ -123,12 +137,16 @@ def parser() -> argparse.ArgumentParser:
     job("setup", setup, "create the schemas")
     job("batch", run_batch, "CSV to bronze, silver and gold").add_argument("csv")
     bronze = stream("bronze", run_bronze, "event source to streaming bronze")
-    bronze.add_argument("--format", default="parquet")
-    bronze.add_argument("--path")
-    bronze.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     stream("silver", run_silver, "streaming bronze to parsed events")
+    stream("rejects", run_rejects, "streaming bronze to unreadable events")
     gold = stream("gold", run_gold, "streaming bronze to joined states")
-    gold.add_argument("--side", choices=sorted(jobs.SIDES), default="history")
+    everything = stream("stream", run_stream, "all streaming jobs in one application")
+    for one in (bronze, everything):
+        one.add_argument("--format", default="parquet")
+        one.add_argument("--path")
+        one.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    for one in (gold, everything):
+        one.add_argument("--side", choices=sorted(jobs.SIDES), default="history")
     current = stream("current", run_current, "streaming bronze to the current-state log")
     current.add_argument("--stateful", action="store_true")
     job("compact", run_compact, "merge the current-state log")

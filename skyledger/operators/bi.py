@@ -46,8 +46,33 @@ class BiFilter:
 NO_FILTER = BiFilter()
 
 
+# Column of a summary: how many rows of the full table a row stands for.
+ROWS = "registros"
+
+
+def summarise(df: DataFrame) -> DataFrame:
+    """One row per flight id and date, enough for every query below.
+
+    All of them take the full table or this summary and give the same answer.
+    Stored after each load, it spares the dashboard six scans of the full table
+    per refresh, and it does not grow with rows appended for known flights.
+    """
+    return df.groupBy(DATE, YEAR, MONTH, "id_vuelo").agg(
+        F.count("*").alias(ROWS),
+        F.sum("op_pasajeros_reservados").alias("op_pasajeros_reservados"),
+    )
+
+
+def _count(df: DataFrame, condition: Column | None = None) -> Column:
+    """Rows of the full table, of those that meet ``condition`` if given."""
+    if ROWS in df.columns:
+        weight = F.col(ROWS) if condition is None else F.when(condition, F.col(ROWS))
+        return F.coalesce(F.sum(weight), F.lit(0))
+    return F.count("*") if condition is None else F.count_if(condition)
+
+
 def total_flights(df: DataFrame, filters: BiFilter = NO_FILTER) -> DataFrame:
-    return filters.apply(df).agg(F.count("*").alias("total_vuelos"))
+    return filters.apply(df).agg(_count(df).alias("total_vuelos"))
 
 
 def passengers_by_month(df: DataFrame, filters: BiFilter = NO_FILTER) -> DataFrame:
@@ -59,7 +84,7 @@ def passengers_by_month(df: DataFrame, filters: BiFilter = NO_FILTER) -> DataFra
 def flights_by_month(df: DataFrame, filters: BiFilter = NO_FILTER) -> DataFrame:
     """Rows and distinct flight ids per month."""
     return filters.apply(df).groupBy(MONTH).agg(
-        F.count("*").alias("registros"),
+        _count(df).alias("registros"),
         F.count_distinct("id_vuelo").alias("vuelos_distintos"),
     )
 
@@ -71,4 +96,16 @@ def filter_options(df: DataFrame, column: str, filters: BiFilter = NO_FILTER) ->
     for name, condition in filters.by_column().items():
         if name != column:
             passes = passes & condition
-    return df.groupBy(column).agg(F.count_if(passes).alias("asociados"))
+    return df.groupBy(column).agg(_count(df, passes).alias("asociados"))
+
+
+def dashboard(df: DataFrame, filters: BiFilter = NO_FILTER) -> dict[str, DataFrame]:
+    """Every query of the dashboard, by the name of its widget."""
+    return {
+        "total_vuelos": total_flights(df, filters),
+        "pasajeros_por_mes": passengers_by_month(df, filters),
+        "vuelos_por_mes": flights_by_month(df, filters),
+        "opciones_fecha": filter_options(df, DATE, filters),
+        "opciones_anio": filter_options(df, YEAR, filters),
+        "opciones_mes": filter_options(df, MONTH, filters),
+    }

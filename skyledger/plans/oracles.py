@@ -156,6 +156,10 @@ _EVENT_OUT = """* EXCLUDE (hub) REPLACE (
     CAST("Consumo_Combustible_Litros" AS DOUBLE) AS "Consumo_Combustible_Litros")"""
 
 
+_UNREADABLE = """
+SELECT event_id AS "sequenceNumber", 'not json' AS body FROM events WHERE event_id % 71 = 0"""
+
+
 def _with_state(source: str) -> str:
     """``stated``: the rows of ``source`` with normalised state, corrected delay
     and high-delay flag."""
@@ -208,6 +212,14 @@ _PICKED_YEAR = "analisis_anio IN (1997, 1999)"
 _PICKED_MONTH = "analisis_mes IN (2, 3, 11)"
 
 
+_FLIGHTS_MONTH = f"""WITH {SILVER}
+SELECT analisis_mes, count(*) AS registros, count(DISTINCT id_vuelo) AS vuelos_distintos
+FROM silver
+WHERE fecha_programada BETWEEN DATE '1996-03-01' AND DATE '2000-10-31'
+  AND analisis_anio IN (1996, 1998, 2000)
+GROUP BY analisis_mes"""
+
+
 def _options(column: str, *others: str) -> str:
     shown = f"CAST({column} AS VARCHAR) AS {column}" if column == "fecha_programada" else column
     return f"""WITH {SILVER}
@@ -380,8 +392,8 @@ SELECT columna, valores, CASE
     ELSE 'string' END AS tipo
 FROM long""",
     "parse_json": f"WITH {EVENTS} SELECT {_EVENT_OUT} FROM parsed",
-    "unreadable_events": """
-SELECT event_id AS "sequenceNumber", 'not json' AS body FROM events WHERE event_id % 71 = 0""",
+    "unreadable_events": _UNREADABLE,
+    "stream_rejects": _UNREADABLE,
     "clean_tracking": f"WITH {EVENTS} SELECT {_EVENT_OUT} FROM clean",
     "normalize_state": f"""WITH {EVENTS},{_with_state("parsed")}
 SELECT "ID_Vuelo", "Estado_Actual", estado_actual_normalizado FROM stated""",
@@ -402,12 +414,13 @@ WHERE {_PICKED_DATE} AND {_PICKED_YEAR} AND {_PICKED_MONTH}""",
     "bi_passengers_month": f"""WITH {SILVER}
 SELECT analisis_mes, CAST(sum(op_pasajeros_reservados) AS BIGINT) AS pasajeros
 FROM silver GROUP BY analisis_mes""",
-    "bi_flights_month": f"""WITH {SILVER}
-SELECT analisis_mes, count(*) AS registros, count(DISTINCT id_vuelo) AS vuelos_distintos
-FROM silver
-WHERE fecha_programada BETWEEN DATE '1996-03-01' AND DATE '2000-10-31'
-  AND analisis_anio IN (1996, 1998, 2000)
-GROUP BY analisis_mes""",
+    "bi_flights_month": _FLIGHTS_MONTH,
+    "bi_flights_month_summary": _FLIGHTS_MONTH,
+    "bi_summary": f"""WITH {SILVER}
+SELECT CAST(fecha_programada AS VARCHAR) AS fecha_programada, analisis_anio, analisis_mes,
+  id_vuelo, count(*) AS registros,
+  CAST(sum(op_pasajeros_reservados) AS BIGINT) AS op_pasajeros_reservados
+FROM silver GROUP BY ALL""",
     "bi_filter_options_month": _options("analisis_mes", _PICKED_DATE, _PICKED_YEAR),
     "bi_filter_options_year": _options("analisis_anio", _PICKED_DATE, _PICKED_MONTH),
     "bi_filter_options_date": _options("fecha_programada", _PICKED_YEAR, _PICKED_MONTH),

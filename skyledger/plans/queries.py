@@ -335,6 +335,18 @@ def bi_filter_options_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(bi.filter_options(_flights(spark, sf_dir), bi.DATE, MONTHS_PICKED))
 
 
+@query
+def bi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(bi.summarise(_flights(spark, sf_dir)))
+
+
+@query
+def bi_flights_month_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bi_flights_month`` from a stored summary."""
+    summary = tables.settle(bi.summarise(_flights(spark, sf_dir)), shared_scratch(spark, "summary"))
+    return bi.flights_by_month(summary, SALES_WINDOW)
+
+
 # Streams: the whole events table arrives as files, in about four batches
 
 
@@ -374,6 +386,18 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(tables.read_table(spark, name))
 
 
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = _lake(spark, "stream_rejects")
+    session = stream_session(spark)
+    bronze = _bronze_stream(session, sf_dir, cfg)
+    name = cfg.table_name("silver", stream=True, table=jobs.REJECTS_TABLE)
+    jobs.start_rejects(
+        streams.follow_table(session, bronze), name, cfg.checkpoint("rejects")
+    ).awaitTermination()
+    return tables.read_table(spark, name).select("sequenceNumber", F.col("body").cast("string").alias("body"))
+
+
 def _gold_stream(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
     cfg = _lake(spark, f"stream_gold_{side}")
     session = stream_session(spark)
@@ -433,7 +457,7 @@ def _current_stream(spark: SparkSession, sf_dir: str, stateful: bool) -> tuple[s
     cfg = _lake(spark, "stream_current")
     path, step = _landed_events(spark, sf_dir, cfg)
     source = streams.read_events(stream_session(spark), path=path, maxFilesPerTrigger=str(step))
-    name = cfg.table_name("gold", stream=True, table="estado_actual")
+    name = cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
     jobs.start_current(source, name, cfg.checkpoint("current"), stateful=stateful).awaitTermination()
     return name, cfg
 

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from skyledger.config import Rules
+from skyledger.config import LakeConfig, Rules
 from skyledger.operators import enrich
 from skyledger.operators import tracking as tk
 from skyledger.schemas import TRACKING_EVENT
 from skyledger.sources import tables
+from skyledger.sources.streams import follow_table
 
 SIDES = {"history": enrich.flights_with_state, "active": enrich.active_with_history}
 
@@ -47,6 +48,11 @@ def start_silver(bronze: DataFrame, table: str, checkpoint: str, **how) -> Strea
     return start_append(tk.parse_events(bronze), table, checkpoint, **how)
 
 
+def start_rejects(bronze: DataFrame, table: str, checkpoint: str, **how) -> StreamingQuery:
+    """Side table of the raw events that could not be read."""
+    return start_append(tk.unreadable_events(bronze), table, checkpoint, **how)
+
+
 def _start_batches(
     stream: DataFrame,
     handle: Callable[[DataFrame, int], None],
@@ -140,6 +146,55 @@ def start_current(
     return _start_batches(tk.latest_by_max(events) if stateful else events, write, checkpoint, every)
 
 
+CURRENT_TABLE = "estado_actual"
+REJECTS_TABLE = "rechazados"
+
+
+def start_all(
+    spark: SparkSession,
+    cfg: LakeConfig,
+    events: DataFrame,
+    *,
+    side: str = "history",
+    every: str | None = None,
+) -> list[StreamingQuery]:
+    """The whole topology: bronze, and from it silver, rejects, gold and the
+    current state, each with a checkpoint of its own.
+
+    Without ``every``, bronze is completed before the others start, so that one
+    call carries what is available through to the end.
+    """
+    how = {"fmt": cfg.table_format, "every": every}
+
+    def table(layer: str, name: str | None = None) -> str:
+        return cfg.table_name(layer, stream=True, table=name)
+
+    bronze = start_bronze(events, table("bronze"), cfg.checkpoint("bronze"), **how)
+    if every is None:
+        bronze.awaitTermination()
+
+    def raw() -> DataFrame:
+        return follow_table(spark, table("bronze"))
+
+    return [
+        bronze,
+        start_silver(raw(), table("silver"), cfg.checkpoint("silver"), **how),
+        start_rejects(raw(), table("silver", REJECTS_TABLE), cfg.checkpoint("rejects"), **how),
+        start_gold(
+            raw(),
+            cfg.table_name("silver"),
+            table("gold"),
+            cfg.checkpoint("gold"),
+            rules=cfg.rules,
+            side=side,
+            **how,
+        ),
+        start_current(
+            raw(), table("gold", CURRENT_TABLE), cfg.checkpoint("current"), stateful=False, **how
+        ),
+    ]
+
+
 def read_current(spark: SparkSession, table: str, rules: Rules = Rules()) -> DataFrame:
     """Latest state per flight from the log.
 

@@ -4,7 +4,7 @@ import pytest
 
 from skyledger.operators import bi
 from skyledger.operators.silver import silver_flights
-from tests.data import bronze
+from tests.data import bronze, rows
 
 DAYS = [dt.date(2025, 1, 5), dt.date(2025, 2, 1), dt.date(2025, 2, 28), dt.date(2026, 1, 1)]
 
@@ -45,3 +45,16 @@ def test_options_count_rows_that_pass_the_other_filters(flights):
     assert options(flights, bi.DATE, years=[2025], date_from=DAYS[3]) == {
         DAYS[0]: 1, DAYS[1]: 1, DAYS[2]: 1, DAYS[3]: 0, None: 0,
     }
+
+
+@pytest.mark.parametrize(
+    "filters",
+    [bi.NO_FILTER, bi.BiFilter(date_from=DAYS[1], years=[2025], months=[2]), bi.BiFilter(months=[12])],
+)
+def test_summary_gives_the_same_dashboard(flights, filters):
+    doubled = flights.unionByName(flights).unionByName(flights.limit(1))
+    full = bi.dashboard(doubled, filters)
+    short = bi.dashboard(bi.summarise(doubled), filters)
+    assert len(full) == 6
+    for name, widget in full.items():
+        assert rows(widget) == rows(short[name]), name

@@ -2,7 +2,7 @@ import uuid
 
 import pytest
 
-from skyledger.__main__ import CURRENT, main
+from skyledger.__main__ import main
 from skyledger.config import LakeConfig
 from skyledger.streaming import jobs
 
@@ -22,12 +22,13 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     run("batch", csv)
     run("bronze", "--path", landing, "--option", "maxFilesPerTrigger=1")
     run("silver")
+    run("rejects")
     run("gold", "--side", "active")
     run("current")
     run("compact")
     events = spark.table(cfg.table_name("silver", stream=True))
     flights = spark.table(cfg.table_name("silver"))
-    states = jobs.read_current(spark, cfg.table_name("gold", stream=True, table=CURRENT))
+    states = jobs.read_current(spark, cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE))
     assert flights.count() == 300
     assert 0 < states.count() <= events.select("ID_Vuelo").distinct().count()
     assert spark.table(cfg.table_name("gold", stream=True)).count() >= states.count()
@@ -36,6 +37,28 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     assert cfg.checkpoint("gold") in capsys.readouterr().out
 
 
+def test_all_streaming_jobs_in_one_application(spark, tmp_path):
+    tag = uuid.uuid4().hex[:8]
+    env = ["--root", str(tmp_path / "lake"), "--catalog", f"b{tag}", "--stream-catalog", f"s{tag}"]
+    cfg = LakeConfig(catalog=f"b{tag}", stream_catalog=f"s{tag}", root=str(tmp_path / "lake"))
+    csv, landing = str(tmp_path / "csv"), str(tmp_path / "landing")
+    main([*env, "setup"])
+    main([*env, "make-flights", csv, "--rows", "200"])
+    main([*env, "make-events", csv, landing])
+    main([*env, "batch", csv])
+    main([*env, "stream", "--path", landing, "--side", "active"])
+    counts = {
+        name: spark.table(cfg.table_name(layer, stream=True, table=name)).count()
+        for layer, name in [
+            ("bronze", "vuelos"), ("silver", jobs.REJECTS_TABLE), ("gold", jobs.CURRENT_TABLE),
+        ]
+    }
+    assert counts["vuelos"] == spark.table(cfg.table_name("silver", stream=True)).count() > 200
+    assert counts[jobs.REJECTS_TABLE] == 0
+    gold = spark.table(cfg.table_name("gold", stream=True))
+    assert counts[jobs.CURRENT_TABLE] == gold.select("id_vuelo").distinct().count()
+
+
 def test_unknown_job():
     with pytest.raises(SystemExit):
         main(["fly"])

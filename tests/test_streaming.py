@@ -73,6 +73,32 @@ def test_bronze_then_silver(spark, lake, tmp_path):
     assert rows(spark.table(parsed)) == rows(all_events(spark))
 
 
+def test_rejects(spark, lake, tmp_path):
+    path = land(spark, tmp_path / "in", *FILES)
+    name = lake.table_name("silver", stream=True, table=jobs.REJECTS_TABLE)
+    finish(jobs.start_rejects(source(spark, path), name, lake.checkpoint("r")))
+    assert rows(spark.table(name)) == rows(bodies(spark, b"junk", None))
+
+
+def test_all_jobs_run_side_by_side(spark, lake, tmp_path, history):
+    path = land(spark, tmp_path / "in", *FILES)
+    queries = jobs.start_all(spark, lake, source(spark, path), every="1 second")
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        # A late file passes through every job.
+        land(spark, tmp_path / "in", [message(ID_Vuelo="AA1", Timestamp_Evento=at(60))])
+        for query in queries:
+            query.processAllAvailable()
+        assert all(query.isActive for query in queries)
+    finally:
+        for query in queries:
+            query.stop()
+    assert spark.table(lake.table_name("silver", stream=True)).count() == 10
+    current = jobs.read_current(spark, lake.table_name("gold", stream=True, table=jobs.CURRENT_TABLE))
+    assert {r.tracking_key: r.tracking_timestamp_evento for r in current.collect()}["AA1"] == at(60)
+
+
 def test_a_restart_takes_only_new_files(spark, lake, tmp_path):
     path = land(spark, tmp_path / "in", FILES[0])
     raw = lake.table_name("bronze", stream=True)
