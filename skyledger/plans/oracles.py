@@ -81,16 +81,25 @@ silver AS (
   FROM priced
 )"""
 
-# Final projections: decimals as double, dates as text.
-_BRONZE_OUT = """* REPLACE (
-    CAST(fecha_programada AS VARCHAR) AS fecha_programada,
-    CAST(tarifa_costo_base AS DOUBLE) AS tarifa_costo_base,
-    CAST(tarifa_impuestos AS DOUBLE) AS tarifa_impuestos)"""
-_SILVER_OUT = """* REPLACE (
-    CAST(fecha_programada AS VARCHAR) AS fecha_programada,
-    CAST(tarifa_costo_base AS DOUBLE) AS tarifa_costo_base,
-    CAST(tarifa_impuestos AS DOUBLE) AS tarifa_impuestos,
-    CAST(tarifa_precio_total_ticket AS DOUBLE) AS tarifa_precio_total_ticket)"""
+
+def _plain(source: str, *, numbers: str = "", texts: str = "", drop: str = "", also: str = "") -> str:
+    """Final SELECT: the named columns as double or as text, others as they are."""
+    changed = [f"CAST({c} AS DOUBLE) AS {c}" for c in numbers.split()]
+    changed += [f"CAST({c} AS VARCHAR) AS {c}" for c in texts.split()]
+    if also:
+        changed.append(also)
+    without = f" EXCLUDE ({drop})" if drop else ""
+    return f"SELECT *{without} REPLACE ({', '.join(changed)}) FROM {source}"
+
+
+_FLIGHT_NUMBERS = """op_distancia_km capacidad_pasajeros op_pasajeros_reservados
+    tarifa_costo_base tarifa_impuestos"""
+_SILVER_NUMBERS = f"""{_FLIGHT_NUMBERS} analisis_anio analisis_mes analisis_dia_semana
+    tarifa_precio_total_ticket indicador_alta_capacidad"""
+_SILVER_TEXTS = "fecha_programada indicador_es_bajo_costo"
+_STATE_NUMBERS = "tracking_timestamp_evento tracking_retraso_minutos tracking_nivel_servicio"
+_GOLD_NUMBERS = """dim_anio dim_mes gld_vuelos_contados gld_pasajeros_totales
+    gld_capacidad_total gld_vuelos_bajo_costo"""
 
 GOLD = f"""{SILVER},
 totals AS (
@@ -151,9 +160,14 @@ clean AS (
     AND NOT contains("ID_Vuelo", '_ERR') AND "Timestamp_Evento" IS NOT NULL
 )"""
 
-_EVENT_OUT = """* EXCLUDE (hub) REPLACE (
-    epoch_us("Timestamp_Evento") AS "Timestamp_Evento",
-    CAST("Consumo_Combustible_Litros" AS DOUBLE) AS "Consumo_Combustible_Litros")"""
+
+def _events_out(source: str) -> str:
+    return _plain(
+        source,
+        numbers='"Retraso_Minutos" "Nivel_Servicio" "Consumo_Combustible_Litros"',
+        drop="hub",
+        also='CAST(epoch_us("Timestamp_Evento") AS DOUBLE) AS "Timestamp_Evento"',
+    )
 
 
 _UNREADABLE = """
@@ -198,14 +212,31 @@ latest AS (
   QUALIFY row_number() OVER (PARTITION BY "ID_Vuelo" {_NEWEST}) = 1
 )"""
 
-_JOINED = f"""WITH {SILVER},{LATEST}
-SELECT {_SILVER_OUT.replace("* REPLACE", "* EXCLUDE (tracking_key) REPLACE")}
-FROM silver LEFT JOIN latest ON id_vuelo = tracking_key"""
+_LATEST_OUT = _plain("latest", numbers=_STATE_NUMBERS, texts="indicador_retraso_alto")
+
+_JOINED_NUMBERS = f"{_SILVER_NUMBERS} {_STATE_NUMBERS}"
+_JOINED_TEXTS = f"{_SILVER_TEXTS} indicador_retraso_alto"
+
+_JOINED = f"WITH {SILVER},{LATEST} " + _plain(
+    "silver LEFT JOIN latest ON id_vuelo = tracking_key",
+    numbers=_JOINED_NUMBERS,
+    texts=_JOINED_TEXTS,
+    drop="tracking_key",
+)
 
-_ACTIVE = f"""WITH {SILVER},{LATEST}
-SELECT {_SILVER_OUT.replace("* REPLACE", "* EXCLUDE (tracking_key) REPLACE").replace(
-    "REPLACE (", "REPLACE (tracking_key AS id_vuelo,")}
-FROM latest LEFT JOIN silver ON id_vuelo = tracking_key"""
+
+def _active(numbers: str = _JOINED_NUMBERS) -> str:
+    return _plain(
+        "latest LEFT JOIN silver ON id_vuelo = tracking_key",
+        numbers=numbers,
+        texts=_JOINED_TEXTS,
+        drop="tracking_key",
+        also="tracking_key AS id_vuelo",
+    )
+
+
+_ACTIVE = f"WITH {SILVER},{LATEST} {_active()}"
+_GOLD_OUT = f"WITH {GOLD} " + _plain("gold", numbers=_GOLD_NUMBERS)
 
 _PICKED_DATE = "fecha_programada >= DATE '1997-01-01'"
 _PICKED_YEAR = "analisis_anio IN (1997, 1999)"
@@ -221,9 +252,11 @@ GROUP BY analisis_mes"""
 
 
 def _options(column: str, *others: str) -> str:
-    shown = f"CAST({column} AS VARCHAR) AS {column}" if column == "fecha_programada" else column
+    shown, kind = column, "BIGINT"
+    if column == "fecha_programada":
+        shown, kind = f"CAST({column} AS VARCHAR) AS {column}", "DOUBLE"
     return f"""WITH {SILVER}
-SELECT {shown}, CAST(count_if({" AND ".join(others)}) AS BIGINT) AS asociados
+SELECT {shown}, CAST(count_if({" AND ".join(others)}) AS {kind}) AS asociados
 FROM silver GROUP BY {column}"""
 
 
@@ -315,32 +348,54 @@ states AS (
 )"""
 
 ORACLES: dict[str, str] = {
-    "rename_project": f"WITH {BRONZE} SELECT {_BRONZE_OUT} FROM bronze",
-    "require_not_null": f"""WITH {SOURCE}
-SELECT * REPLACE (
-    CAST("Fecha_Programada" AS VARCHAR) AS "Fecha_Programada",
-    CAST("Costo_Base" AS DOUBLE) AS "Costo_Base", CAST("Impuestos" AS DOUBLE) AS "Impuestos")
-FROM source
+    "rename_project": f"WITH {BRONZE} "
+    + _plain("bronze", numbers=_FLIGHT_NUMBERS, texts="fecha_programada"),
+    "require_not_null": f"WITH {SOURCE} "
+    + _plain(
+        """source
 WHERE "ID_Vuelo" IS NOT NULL AND "Origen" IS NOT NULL AND "Destino" IS NOT NULL""",
-    "ingest_bronze": f"WITH {BRONZE} SELECT {_BRONZE_OUT}, true AS ingestion_date FROM bronze",
-    "calendar_parts": f"""WITH {SILVER}
-SELECT id_vuelo, CAST(fecha_programada AS VARCHAR) AS fecha_programada,
-  analisis_anio, analisis_mes, analisis_dia_semana FROM silver""",
-    "ticket_total": f"""WITH {SILVER}
-SELECT id_vuelo, CAST(tarifa_costo_base AS DOUBLE) AS tarifa_costo_base,
-  CAST(tarifa_impuestos AS DOUBLE) AS tarifa_impuestos,
-  CAST(tarifa_precio_total_ticket AS DOUBLE) AS tarifa_precio_total_ticket FROM silver""",
-    "low_cost_flag": f"""WITH {SILVER}
-SELECT id_vuelo, CAST(tarifa_precio_total_ticket AS DOUBLE) AS tarifa_precio_total_ticket,
-  indicador_es_bajo_costo FROM silver""",
+        numbers='''"Distancia_KM" "Capacidad_Pasajeros" "Pasajeros_Reservados"
+            "Costo_Base" "Impuestos"''',
+        texts='"Fecha_Programada"',
+    ),
+    "ingest_bronze": f"WITH {BRONZE} "
+    + _plain(
+        "(SELECT *, 'true' AS ingestion_date FROM bronze)",
+        numbers=_FLIGHT_NUMBERS,
+        texts="fecha_programada",
+    ),
+    "calendar_parts": f"WITH {SILVER} "
+    + _plain(
+        """(SELECT id_vuelo, fecha_programada, analisis_anio, analisis_mes, analisis_dia_semana
+  FROM silver)""",
+        numbers="analisis_anio analisis_mes analisis_dia_semana",
+        texts="fecha_programada",
+    ),
+    "ticket_total": f"WITH {SILVER} "
+    + _plain(
+        """(SELECT id_vuelo, tarifa_costo_base, tarifa_impuestos, tarifa_precio_total_ticket
+  FROM silver)""",
+        numbers="tarifa_costo_base tarifa_impuestos tarifa_precio_total_ticket",
+    ),
+    "low_cost_flag": f"WITH {SILVER} "
+    + _plain(
+        "(SELECT id_vuelo, tarifa_precio_total_ticket, indicador_es_bajo_costo FROM silver)",
+        numbers="tarifa_precio_total_ticket",
+        texts="indicador_es_bajo_costo",
+    ),
     "route_key": f"WITH {SILVER} SELECT id_vuelo, geo_origen, geo_destino, geo_id_ruta FROM silver",
     "km_to_miles": f"WITH {SILVER} SELECT id_vuelo, op_distancia_km, op_distancia_millas FROM silver",
-    "high_capacity_flag": f"""WITH {SILVER}
-SELECT id_vuelo, capacidad_pasajeros, indicador_alta_capacidad FROM silver""",
-    "silver_flights": f"WITH {SILVER} SELECT {_SILVER_OUT} FROM silver",
-    "gold_monthly": f"WITH {GOLD} SELECT * FROM gold",
+    "high_capacity_flag": f"WITH {SILVER} "
+    + _plain(
+        "(SELECT id_vuelo, capacidad_pasajeros, indicador_alta_capacidad FROM silver)",
+        numbers="capacidad_pasajeros indicador_alta_capacidad",
+    ),
+    "silver_flights": f"WITH {SILVER} "
+    + _plain("silver", numbers=_SILVER_NUMBERS, texts=_SILVER_TEXTS),
+    "gold_monthly": _GOLD_OUT,
     "gold_airline_month": f"""WITH {SILVER}
-SELECT info_aerolinea AS dim_aerolinea, analisis_anio AS dim_anio, analisis_mes AS dim_mes,
+SELECT info_aerolinea AS dim_aerolinea, CAST(analisis_anio AS DOUBLE) AS dim_anio,
+  CAST(analisis_mes AS DOUBLE) AS dim_mes,
   CAST(sum(tarifa_precio_total_ticket) AS DOUBLE) AS ingreso_total,
   {_MEAN_LOAD} AS load_factor_promedio
 FROM silver GROUP BY ALL""",
@@ -363,11 +418,14 @@ SELECT columna, valores, CASE
       THEN 'double'
     ELSE 'bigint' END AS tipo
 FROM long""",
-    "csv_by_name": f"""WITH {BRONZE}
-SELECT {_BRONZE_OUT.replace("REPLACE (", '''REPLACE (
-    CASE WHEN tarifa_clase = 'Económica' AND op_distancia_km % 200 = 0 THEN NULL
-      ELSE op_distancia_km END AS op_distancia_km,''')}
-FROM bronze""",
+    "csv_by_name": f"WITH {BRONZE} "
+    + _plain(
+        "bronze",
+        numbers=_FLIGHT_NUMBERS.replace("op_distancia_km", ""),
+        texts="fecha_programada",
+        also="""CASE WHEN tarifa_clase = 'Económica' AND op_distancia_km % 200 = 0 THEN NULL
+    ELSE CAST(op_distancia_km AS DOUBLE) END AS op_distancia_km""",
+    ),
     "csv_bad_cells": f"""WITH {BRONZE}, bad AS (
   SELECT count(*) AS n FROM bronze WHERE tarifa_clase = 'Económica' AND op_distancia_km % 200 = 0
 )
@@ -391,19 +449,23 @@ SELECT columna, valores, CASE
     WHEN columna IN ('Costo_Base', 'Impuestos') THEN 'double'
     ELSE 'string' END AS tipo
 FROM long""",
-    "parse_json": f"WITH {EVENTS} SELECT {_EVENT_OUT} FROM parsed",
+    "parse_json": f"WITH {EVENTS} {_events_out('parsed')}",
     "unreadable_events": _UNREADABLE,
     "stream_rejects": _UNREADABLE,
-    "clean_tracking": f"WITH {EVENTS} SELECT {_EVENT_OUT} FROM clean",
+    "clean_tracking": f"WITH {EVENTS} {_events_out('clean')}",
     "normalize_state": f"""WITH {EVENTS},{_with_state("parsed")}
 SELECT "ID_Vuelo", "Estado_Actual", estado_actual_normalizado FROM stated""",
     "delay_correction": f"""WITH {EVENTS},{_with_state("parsed")}
-SELECT "ID_Vuelo", estado_actual_normalizado, "Retraso_Minutos", tracking_retraso_minutos
+SELECT "ID_Vuelo", estado_actual_normalizado,
+  CAST("Retraso_Minutos" AS DOUBLE) AS "Retraso_Minutos",
+  CAST(tracking_retraso_minutos AS DOUBLE) AS tracking_retraso_minutos
 FROM stated""",
     "high_delay_flag": f"""WITH {EVENTS},{_with_state("parsed")}
-SELECT "ID_Vuelo", tracking_retraso_minutos, indicador_retraso_alto FROM stated""",
-    "latest_state": f"WITH {LATEST} SELECT * FROM latest",
-    "latest_state_by_max": f"WITH {LATEST} SELECT * FROM latest",
+SELECT "ID_Vuelo", CAST(tracking_retraso_minutos AS DOUBLE) AS tracking_retraso_minutos,
+  CAST(indicador_retraso_alto AS VARCHAR) AS indicador_retraso_alto
+FROM stated""",
+    "latest_state": f"WITH {LATEST} {_LATEST_OUT}",
+    "latest_state_by_max": f"WITH {LATEST} {_LATEST_OUT}",
     "latest_state_enriched": _JOINED,
     "latest_state_enriched_salted": _JOINED,
     "active_enriched": _ACTIVE,
@@ -417,9 +479,10 @@ FROM silver GROUP BY analisis_mes""",
     "bi_flights_month": _FLIGHTS_MONTH,
     "bi_flights_month_summary": _FLIGHTS_MONTH,
     "bi_summary": f"""WITH {SILVER}
-SELECT CAST(fecha_programada AS VARCHAR) AS fecha_programada, analisis_anio, analisis_mes,
-  id_vuelo, count(*) AS registros,
-  CAST(sum(op_pasajeros_reservados) AS BIGINT) AS op_pasajeros_reservados
+SELECT CAST(fecha_programada AS VARCHAR) AS fecha_programada,
+  CAST(analisis_anio AS DOUBLE) AS analisis_anio, CAST(analisis_mes AS DOUBLE) AS analisis_mes,
+  id_vuelo, CAST(count(*) AS DOUBLE) AS registros,
+  CAST(sum(op_pasajeros_reservados) AS DOUBLE) AS op_pasajeros_reservados
 FROM silver GROUP BY ALL""",
     "bi_filter_options_month": _options("analisis_mes", _PICKED_DATE, _PICKED_YEAR),
     "bi_filter_options_year": _options("analisis_anio", _PICKED_DATE, _PICKED_MONTH),
@@ -448,27 +511,27 @@ FROM silver GROUP BY ALL""",
     ) AS text
   FROM message
 )
-SELECT "sequenceNumber", "enqueuedTime", "partition",
+SELECT CAST("sequenceNumber" AS DOUBLE) AS "sequenceNumber",
+  CAST("enqueuedTime" AS DOUBLE) AS "enqueuedTime", "partition",
   CASE WHEN readable THEN '{{' || text || '}}' ELSE 'not json' END AS body
 FROM fields""",
-    "stream_silver": f"WITH {EVENTS} SELECT {_EVENT_OUT} FROM parsed",
+    "stream_silver": f"WITH {EVENTS} {_events_out('parsed')}",
     "stream_gold": _JOINED,
     "stream_gold_active": _ACTIVE,
     "gold_batches_replayed": f"""WITH {SILVER},{EVENTS},{_with_state("clean")},
 latest AS (
-  SELECT CAST(hub AS BIGINT) AS batch_id, {_STATE_COLUMNS}
+  SELECT hub AS batch_id, {_STATE_COLUMNS}
   FROM stated
   QUALIFY row_number() OVER (PARTITION BY hub, "ID_Vuelo" {_NEWEST}) = 1
 )
-SELECT {_SILVER_OUT.replace("* REPLACE (", "* EXCLUDE (tracking_key) REPLACE (tracking_key AS id_vuelo,")}
-FROM latest LEFT JOIN silver ON id_vuelo = tracking_key""",
+{_active(f"batch_id {_JOINED_NUMBERS}")}""",
     "stream_preview": """
 SELECT least(count(*), 20) AS filas, least(count(*), 20) AS filas_conocidas FROM events""",
-    "stream_current": f"WITH {LATEST} SELECT * FROM latest",
-    "stream_current_log": f"WITH {LATEST} SELECT * FROM latest",
-    "stream_current_compacted": f"WITH {LATEST} SELECT * FROM latest",
+    "stream_current": f"WITH {LATEST} {_LATEST_OUT}",
+    "stream_current_log": f"WITH {LATEST} {_LATEST_OUT}",
+    "stream_current_compacted": f"WITH {LATEST} {_LATEST_OUT}",
     "operational_state": _ACTIVE,
-    "batch_chain": f"WITH {GOLD} SELECT * FROM gold",
+    "batch_chain": _GOLD_OUT,
     "silver_partitioned": f"""WITH {SILVER}
 SELECT analisis_mes, CAST(sum(op_pasajeros_reservados) AS BIGINT) AS pasajeros
 FROM silver WHERE {_PICKED_DATE} AND {_PICKED_YEAR} AND {_PICKED_MONTH}
@@ -477,20 +540,23 @@ GROUP BY analisis_mes""",
 SELECT info_aerolinea, count(*) AS vuelos, CAST(sum(capacidad_pasajeros) AS BIGINT) AS capacidad,
   false AS borrador_existe
 FROM bronze GROUP BY info_aerolinea""",
-    "generate_flights": f"WITH {GENERATED} SELECT * FROM generated",
+    "generate_flights": f"WITH {GENERATED} "
+    + _plain(
+        "generated", numbers='"Distancia_KM" "Capacidad_Pasajeros" "Pasajeros_Reservados"'
+    ),
     "generate_events": f"""WITH {GENERATED_EVENTS}
 SELECT
   CASE fault WHEN 0 THEN "ID_Vuelo" || '_ERR' WHEN 1 THEN '  ' ELSE "ID_Vuelo" END AS "ID_Vuelo",
   CASE WHEN fault <> 2 THEN
-    epoch_us(TIMESTAMP '2025-01-01') + ({_event_draw(0)} % 31536000) * 1000000
+    CAST(epoch_us(TIMESTAMP '2025-01-01') + ({_event_draw(0)} % 31536000) * 1000000 AS DOUBLE)
   END AS "Timestamp_Evento",
   state AS "Estado_Actual",
   CAST(CASE WHEN fault = 3 THEN 0 WHEN state = 'Retrasado' THEN 15 + {_event_draw(2)} % 166
-    WHEN state = 'Cancelado' THEN 999 ELSE 0 END AS INTEGER) AS "Retraso_Minutos",
+    WHEN state = 'Cancelado' THEN 999 ELSE 0 END AS DOUBLE) AS "Retraso_Minutos",
   ['A', 'B', 'C'][{_event_draw(4)} % 3 + 1] || (1 + {_event_draw(5)} % 20) AS "Puerta_Asignada",
   'SCL->MIA' AS "Ruta_Evento",
   CAST(CASE state WHEN 'Retrasado' THEN 2 + {_event_draw(3)} % 2 WHEN 'Cancelado' THEN 3 ELSE 1 END
-    AS INTEGER) AS "Nivel_Servicio",
+    AS DOUBLE) AS "Nivel_Servicio",
   CAST(CAST(CAST(500000 + {_event_draw(6)} % 2500001 AS DOUBLE) / 100 AS FLOAT) AS DOUBLE)
     AS "Consumo_Combustible_Litros"
 FROM states""",

@@ -44,17 +44,17 @@ def query(fn: Query) -> Query:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Types any engine prints alike: decimals and floats as double, dates as
-    text, timestamps as microseconds since 1970."""
+    """Types that look alike in any client, NULLs included: numbers as double,
+    dates and flags as text, timestamps as microseconds since 1970."""
 
     def column(f: T.StructField):
         c = F.col(f.name)
-        if isinstance(f.dataType, (T.DecimalType, T.FloatType)):
+        if isinstance(f.dataType, T.NumericType):
             c = c.cast("double")
-        elif isinstance(f.dataType, T.DateType):
+        elif isinstance(f.dataType, (T.DateType, T.BooleanType)):
             c = c.cast("string")
         elif isinstance(f.dataType, T.TimestampType):
-            c = F.unix_micros(c)
+            c = F.unix_micros(c).cast("double")
         return c.alias(f.name)
 
     return df.select(*(column(f) for f in df.schema))
@@ -142,7 +142,7 @@ def km_to_miles(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def high_capacity_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = silver.add_high_capacity(bronze_flights(spark, sf_dir), RULES)
-    return df.select("id_vuelo", "capacidad_pasajeros", "indicador_alta_capacidad")
+    return plain(df.select("id_vuelo", "capacidad_pasajeros", "indicador_alta_capacidad"))
 
 
 @query
@@ -155,12 +155,12 @@ def silver_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.monthly_by_route(_flights(spark, sf_dir))
+    return plain(gold.monthly_by_route(_flights(spark, sf_dir)))
 
 
 @query
 def gold_airline_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.monthly_by_airline(_flights(spark, sf_dir))
+    return plain(gold.monthly_by_airline(_flights(spark, sf_dir)))
 
 
 @query
@@ -236,16 +236,16 @@ def normalize_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def delay_correction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tk.add_state_columns(_events(spark, sf_dir), RULES).select(
-        "ID_Vuelo", "estado_actual_normalizado", "Retraso_Minutos", "tracking_retraso_minutos"
+    df = tk.add_state_columns(_events(spark, sf_dir), RULES)
+    return plain(
+        df.select("ID_Vuelo", "estado_actual_normalizado", "Retraso_Minutos", "tracking_retraso_minutos")
     )
 
 
 @query
 def high_delay_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tk.add_state_columns(_events(spark, sf_dir), RULES).select(
-        "ID_Vuelo", "tracking_retraso_minutos", "indicador_retraso_alto"
-    )
+    df = tk.add_state_columns(_events(spark, sf_dir), RULES)
+    return plain(df.select("ID_Vuelo", "tracking_retraso_minutos", "indicador_retraso_alto"))
 
 
 @query
@@ -499,7 +499,7 @@ def batch_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV to bronze to silver to gold, handed over as tables."""
     cfg = _lake(spark, "chain")
     batch.run(spark, cfg, _staged_csv(spark, sf_dir))
-    return tables.read_table(spark, cfg.table_name("gold"))
+    return plain(tables.read_table(spark, cfg.table_name("gold")))
 
 
 @query
