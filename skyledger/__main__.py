@@ -90,7 +90,12 @@ def run_rejects(spark, cfg, args):
 def run_stream(spark, cfg, args):
     session = stream_session(spark)
     for query in jobs.start_all(
-        session, cfg, _source(session, args), side=args.side, every=args.every
+        session,
+        cfg,
+        _source(session, args),
+        side=args.side,
+        every=args.every,
+        follow=_options(args.follow),
     ):
         query.awaitTermination()
 
@@ -141,6 +146,10 @@ def parser() -> argparse.ArgumentParser:
     stream("rejects", run_rejects, "streaming bronze to unreadable events")
     gold = stream("gold", run_gold, "streaming bronze to joined states")
     everything = stream("stream", run_stream, "all streaming jobs in one application")
+    everything.add_argument(
+        "--follow", action="append", default=[], metavar="KEY=VALUE",
+        help="reading option of the jobs behind bronze",
+    )
     for one in (bronze, everything):
         one.add_argument("--format", default="parquet")
         one.add_argument("--path")

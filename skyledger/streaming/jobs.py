@@ -6,7 +6,7 @@ is available and ends; with one (``"30 seconds"``) it runs until stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,12 +157,15 @@ def start_all(
     *,
     side: str = "history",
     every: str | None = None,
+    follow: Mapping[str, str] | None = None,
 ) -> list[StreamingQuery]:
     """The whole topology: bronze, and from it silver, rejects, gold and the
     current state, each with a checkpoint of its own.
 
     Without ``every``, bronze is completed before the others start, so that one
-    call carries what is available through to the end.
+    call carries what is available through to the end. ``follow`` holds the
+    reading options of the jobs behind bronze, such as ``maxFilesPerTrigger``,
+    which bounds the batch they take after a pause.
     """
     how = {"fmt": cfg.table_format, "every": every}
 
@@ -174,7 +177,7 @@ def start_all(
         bronze.awaitTermination()
 
     def raw() -> DataFrame:
-        return follow_table(spark, table("bronze"))
+        return follow_table(spark, table("bronze"), **(follow or {}))
 
     return [
         bronze,

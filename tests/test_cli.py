@@ -46,7 +46,7 @@ def test_all_streaming_jobs_in_one_application(spark, tmp_path):
     main([*env, "make-flights", csv, "--rows", "200"])
     main([*env, "make-events", csv, landing])
     main([*env, "batch", csv])
-    main([*env, "stream", "--path", landing, "--side", "active"])
+    main([*env, "stream", "--path", landing, "--side", "active", "--follow", "maxFilesPerTrigger=3"])
     counts = {
         name: spark.table(cfg.table_name(layer, stream=True, table=name)).count()
         for layer, name in [

@@ -1,5 +1,6 @@
 import datetime as dt
-from decimal import Decimal
+import random
+from decimal import ROUND_HALF_UP, Decimal
 
 from skyledger.config import Rules
 from skyledger.operators import silver
@@ -30,6 +31,31 @@ def test_silver_columns_in_order(spark):
     assert row["indicador_alta_capacidad"] == 1
 
 
+def test_silver_types(spark):
+    types = dict(silver.silver_flights(bronze(spark)).dtypes)
+    assert [types[name] for name in SILVER_ADDED] == [
+        "int", "int", "int", "decimal(14,2)", "boolean", "string", "double", "int",
+    ]
+
+
+def test_totals_and_miles_agree_with_exact_arithmetic(spark):
+    rnd = random.Random(11)
+    cases = [
+        (Decimal(rnd.randrange(10**8)) / 10**4, Decimal(rnd.randrange(10**7)) / 10**4, rnd.randrange(20_000))
+        for _ in range(2000)
+    ]
+    df = bronze(
+        spark, *({"Costo_Base": c, "Impuestos": t, "Distancia_KM": km} for c, t, km in cases)
+    )
+    got = df.transform(silver.add_ticket_total).transform(silver.add_miles)
+    cent = Decimal("0.01")
+    for row, (cost, tax, km) in zip(
+        got.select("tarifa_precio_total_ticket", "op_distancia_millas").collect(), cases
+    ):
+        assert row[0] == (cost + tax).quantize(cent, ROUND_HALF_UP)
+        assert row[1] == float((km * Decimal("0.621371")).quantize(cent, ROUND_HALF_UP))
+
+
 def test_day_of_week_starts_on_sunday(spark):
     df = silver.add_calendar(bronze(spark, {"Fecha_Programada": dt.date(2025, 3, 9)}))
     assert first(df, "analisis_anio", "analisis_mes", "analisis_dia_semana") == (2025, 3, 1)
