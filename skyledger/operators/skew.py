@@ -9,8 +9,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key is heavy from this share of the rows on; at most 1/share keys can be.
-HEAVY_SHARE = 0.01
+# A key is heavy when it would fill this many even shuffle partitions, with the
+# share of the rows that means kept between the two bounds. At most 1/share keys
+# can be heavy, so the lower bound also limits their number.
+HEAVY_PARTITIONS = 2
+SHARE_BOUNDS = (0.001, 0.05)
 SKETCH_ITEMS = 10_000
 
 
@@ -45,7 +48,7 @@ def aqe_splits_skew(spark: SparkSession) -> bool:
 
 
 def heavy_keys(
-    df: DataFrame, key: str, *, share: float = HEAVY_SHARE, partitions: int | None = None
+    df: DataFrame, key: str, *, share: float | None = None, partitions: int | None = None
 ) -> HeavyKeys:
     """Keys that hold at least ``share`` of the rows, each to be split into as
     many parts as it would fill of ``partitions`` even shuffle partitions.
@@ -53,9 +56,12 @@ def heavy_keys(
     One scan of one column with a mergeable heavy-hitter sketch: tasks send a
     sketch each, no key is shuffled, and the driver gets at most 1/share values.
     """
-    limit = int(1 / share)
     if partitions is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if share is None:
+        low, high = SHARE_BOUNDS
+        share = min(high, max(low, HEAVY_PARTITIONS / partitions))
+    limit = int(1 / share)
     report = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(key).alias("present"),

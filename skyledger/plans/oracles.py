@@ -236,6 +236,17 @@ def _active(numbers: str = _JOINED_NUMBERS) -> str:
 
 
 _ACTIVE = f"WITH {SILVER},{LATEST} {_active()}"
+
+
+def _on_uneven_flights(sql: str) -> str:
+    """The same query with the whole business class on flight AA7."""
+    crowded = """(SELECT * REPLACE (
+    CASE WHEN tarifa_clase = 'Negocios' THEN 'AA7' ELSE id_vuelo END AS id_vuelo) FROM silver) AS s"""
+    return sql.replace("FROM silver LEFT JOIN", f"FROM {crowded} LEFT JOIN").replace(
+        "LEFT JOIN silver ON", f"LEFT JOIN {crowded} ON"
+    )
+
+
 _GOLD_OUT = f"WITH {GOLD} " + _plain("gold", numbers=_GOLD_NUMBERS)
 
 _PICKED_DATE = "fecha_programada >= DATE '1997-01-01'"
@@ -467,7 +478,8 @@ FROM stated""",
     "latest_state": f"WITH {LATEST} {_LATEST_OUT}",
     "latest_state_by_max": f"WITH {LATEST} {_LATEST_OUT}",
     "latest_state_enriched": _JOINED,
-    "latest_state_enriched_salted": _JOINED,
+    "latest_state_enriched_salted": _on_uneven_flights(_JOINED),
+    "active_enriched_salted": _on_uneven_flights(_ACTIVE),
     "active_enriched": _ACTIVE,
     "bi_dataset": _JOINED,
     "bi_total": f"WITH {SILVER} SELECT count(*) AS total_vuelos FROM silver",

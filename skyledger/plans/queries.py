@@ -273,12 +273,26 @@ def latest_state_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(enrich.flights_with_state(flights, latest, enrich.skew_plan(flights)))
 
 
+def _uneven_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same flights with all of business class, some 40 % of the rows, on
+    one flight id."""
+    crowded = F.when(F.col("tarifa_clase") == "Negocios", "AA7").otherwise(F.col("id_vuelo"))
+    return _flights(spark, sf_dir).withColumn("id_vuelo", crowded)
+
+
 @query
 def latest_state_enriched_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same join with heavy flight ids spread by salt."""
-    flights = _flights(spark, sf_dir)
-    latest = _latest(spark, sf_dir)
-    return plain(enrich.flights_with_state(flights, latest, heavy_keys(flights, enrich.FLIGHT)))
+    """A history with a dominating flight id, spread by salt."""
+    flights = _uneven_flights(spark, sf_dir)
+    heavy = heavy_keys(flights, enrich.FLIGHT)
+    return plain(enrich.flights_with_state(flights, _latest(spark, sf_dir), heavy))
+
+
+@query
+def active_enriched_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flights = _uneven_flights(spark, sf_dir)
+    heavy = heavy_keys(flights, enrich.FLIGHT)
+    return plain(enrich.active_with_history(flights, _latest(spark, sf_dir), heavy))
 
 
 @query

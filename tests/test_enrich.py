@@ -63,10 +63,17 @@ def test_heavy_keys_are_found(sides):
     history, _ = sides
     found = heavy_keys(history, "id_vuelo", share=0.2, partitions=1000)
     assert (found.parts, found.null_parts) == ({"HOT": 455}, 379)
+    assert heavy_keys(history, "id_vuelo", partitions=4).parts == {"HOT": 2}
     assert not heavy_keys(history.where("id_vuelo like 'AA%'"), "id_vuelo", share=0.2)
     assert not heavy_keys(history.where("false"), "id_vuelo")
 
 
+def test_the_share_that_counts_as_heavy_follows_the_partitions(spark):
+    df = spark.range(100_000).selectExpr("if(id % 250 = 0, 'A', concat('k', id)) as k")
+    assert heavy_keys(df, "k", partitions=100).parts == {}
+    assert heavy_keys(df, "k", partitions=2000).parts == {"A": 8}
+
+
 def test_salt_spreads_the_heavy_key(sides, conf):
     from skyledger.operators.skew import scatter
 
