@@ -5,6 +5,7 @@ Written from the definitions, over the supplied tables only.
 
 from __future__ import annotations
 
+# The domains of the flights, as in the generators.
 _CLASSES = "['Económica', 'Negocios', 'Primera']"
 _AIRPORTS = "['SCL', 'MIA', 'JFK', 'MAD', 'BUE', 'LIM', 'FRA', 'CDG']"
 _AIRLINES = "['AirCorp', 'AeroSky', 'GlobalAir', 'FlyFast']"

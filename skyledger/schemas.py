@@ -87,6 +87,7 @@ EVENT_ENVELOPE = T.StructType(
     ]
 )
 
+# The columns silver adds, in order.
 SILVER_ADDED = (
     "analisis_anio",
     "analisis_mes",
@@ -106,6 +107,7 @@ GOLD_DIMENSIONS = {
     "geo_id_ruta": "dim_ruta_id",
 }
 
+# The gold table.
 GOLD_FLIGHT = T.StructType(
     [
         T.StructField("dim_anio", T.IntegerType()),
