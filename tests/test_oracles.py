@@ -28,3 +28,47 @@ def test_every_query_has_reference_sql():
 def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns[0] == "dim_anio" and df.count() > 0
+
+
+# Tables with a third of the rows on one flight, on one day, and with many
+# events at the same instant.
+UNEVEN = {
+    "lineitem": """SELECT * REPLACE (
+        CASE WHEN l_partkey % 3 = 0 THEN 7 ELSE l_orderkey END AS l_orderkey,
+        CASE WHEN l_suppkey % 3 = 0 THEN TIMESTAMP '1999-02-03' ELSE l_shipdate END AS l_shipdate)
+      FROM lineitem""",
+    "events": """SELECT * REPLACE (
+        CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS user_id,
+        CASE WHEN event_id % 5 = 0 THEN TIMESTAMP '2024-01-30 10:00:00' ELSE ts END AS ts)
+      FROM events""",
+}
+
+
+@pytest.fixture(scope="module")
+def uneven(duck, tmp_path_factory):
+    folder = tmp_path_factory.mktemp("uneven")
+    for name, sql in UNEVEN.items():
+        duck.execute(f"COPY ({sql}) TO '{folder}/{name}.parquet'")
+    return str(folder)
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "gold_monthly",
+        "latest_state",
+        "latest_state_by_max",
+        "latest_state_enriched",
+        "latest_state_enriched_salted",
+        "active_enriched",
+        "active_enriched_salted",
+        "bi_flights_month",
+        "bi_flights_month_summary",
+        "silver_partitioned",
+        "gold_batches_replayed",
+        "stream_current",
+        "stream_current_compacted",
+    ],
+)
+def test_uneven_tables(spark, uneven, name):
+    assert differences(spark, connect(uneven), uneven, name) == []
