@@ -47,14 +47,16 @@ def build_session(
 
 
 def stream_session(spark: SparkSession, *, state_partitions: int | None = None) -> SparkSession:
-    """Sibling session (same catalog and executors) with the state-store settings.
+    """Sibling session (same catalog and executors) with the state-store settings;
+    what is set in ``spark`` applies there too and wins.
 
     The number of state partitions is frozen in a stream's checkpoint at its
     first start, so it is an argument and not inherited by accident.
     """
     sibling = spark.newSession()
-    for key, value in {**LAKE_CONF, **STATE_CONF}.items():
-        sibling.conf.set(key, value)
+    for key, value in {**LAKE_CONF, **STATE_CONF, **spark.conf.getAll}.items():
+        if sibling.conf.isModifiable(key):
+            sibling.conf.set(key, value)
     partitions = state_partitions or spark.conf.get("spark.sql.shuffle.partitions")
     sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return sibling

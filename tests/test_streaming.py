@@ -4,6 +4,7 @@ import os
 
 import pytest
 
+from skyledger.operators import enrich
 from skyledger.operators import tracking as tk
 from skyledger.operators.silver import silver_flights
 from skyledger.schemas import EVENT_ENVELOPE, TRACKING_EVENT
@@ -131,6 +132,27 @@ def test_gold_batch_can_be_replayed(spark, lake, tmp_path, history):
     assert rows(spark.table(name)) == before
 
 
+def test_gold_without_adaptive_execution_salts_heavy_flights(spark, lake, tmp_path, history, conf):
+    name = lake.table_name("gold", stream=True)
+    write = jobs.gold_batch_writer(history, name, str(tmp_path / "staging"))
+    write(all_events(spark), 0)
+    conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
+    assert "AA1" in enrich.skew_plan(spark.table(history)).parts
+    write(all_events(spark), 1)
+    batches = [rows(spark.table(name).where(f"batch_id = {b}").drop("batch_id")) for b in (0, 1)]
+    assert batches[0] == batches[1]
+
+
+def test_stream_session_takes_over_settings(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="12345", spark__sql__adaptive__enabled="false")
+    session = stream_session(spark, state_partitions=3)
+    assert session.conf.get("spark.sql.autoBroadcastJoinThreshold") == "12345"
+    assert session.conf.get("spark.sql.adaptive.enabled") == "false"
+    assert session.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert "RocksDB" in session.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert spark.conf.get("spark.sql.shuffle.partitions") != "3"
+
+
 def test_gold_skips_an_empty_batch(spark, lake, tmp_path, history):
     name = lake.table_name("gold", stream=True)
     jobs.gold_batch_writer(history, name, str(tmp_path / "staging"))(all_events(spark).limit(0), 0)
