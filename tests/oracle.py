@@ -12,8 +12,8 @@ from pathlib import Path
 
 import duckdb
 
-from skyledger.plans.oracles import ORACLES
-from skyledger.plans.queries import QUERIES
+from __spark_entry__ import ALL_ORACLES as ORACLES
+from __spark_entry__ import ALL_QUERIES as QUERIES
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:

