@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat_format, decontamination, mixing, near_dedup, quality_rules, sharding
+from skyledger.llm import (
+    chat_format,
+    decontamination,
+    language_id,
+    mixing,
+    near_dedup,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    toxicity,
+)
 from skyledger.llm.common import Scratch
 from skyledger.sources.star_tables import table
 
@@ -68,3 +78,23 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), Scratch(spark, "mix"))
+
+
+@query
+def op2_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "toxic")
+    field = toxicity.fit(docs, table(spark, sf_dir, "labels"), scratch)
+    return toxicity.tag(docs, field).drop("spans")
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+@query
+def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "score")
+    model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), scratch)
+    return quality_classifier.score(docs, model)
