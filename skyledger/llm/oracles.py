@@ -109,3 +109,27 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
   CAST((epochs + CASE WHEN size > 0 AND (rest - sooner) / size >= 0.5 THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM run
 """
+
+ORACLES["op4_repeated_passages"] = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w
+  FROM documents
+),
+win AS (
+  SELECT r, i, md5(array_to_string(w[i : i + 34], ' ')) AS m
+  FROM (SELECT *, unnest(range(1, len(w) - 33)) AS i FROM doc WHERE len(w) >= 35)
+),
+again AS (SELECT m FROM win GROUP BY m HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN again USING (m)
+),
+word AS (SELECT r, p, w[p] AS word FROM (SELECT *, unnest(range(1, len(w) + 1)) AS p FROM doc)),
+kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text
+  FROM word ANTI JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
+  sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""

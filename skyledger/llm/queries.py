@@ -16,6 +16,7 @@ from skyledger.llm import (
     quality_classifier,
     quality_rules,
     sharding,
+    substring_dedup,
     toxicity,
 )
 from skyledger.llm.common import Scratch
@@ -98,3 +99,9 @@ def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "score")
     model = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), scratch)
     return quality_classifier.score(docs, model)
+
+
+@query
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return substring_dedup.remove_repeated(docs, Scratch(spark, "passages"))
