@@ -8,11 +8,14 @@ samples of a band are candidates, and candidates are verified with the weighted
 Jaccard similarity itself. Classes are the connected components of the verified
 links; equal texts belong to one class from the start.
 
-Candidates of a bucket are not compared all with all. In each round some texts of
-a bucket, the most connected first, are compared with those of the bucket that
-are not yet in their class; what a round links, the next need not compare. Rounds
-go on until every pair of a bucket was compared or linked, so no link that would
-join two classes is lost, while a group of copies costs about one comparison each.
+Candidates of a bucket are not compared all with all. First the ``PIVOTS`` most
+connected texts of each bucket are compared with the others, in two rounds; that
+joins most of a group of copies at about one comparison each. A bucket that still
+holds several classes has a main one. Only the texts outside of it are compared
+with all of the bucket, in blocks: a task holds a block of them and streams a part
+of the bucket past it, so no row per pair is made and no group is held whole. Pairs
+that are not compared are in one class already, so no link that would join two
+classes is lost.
 
 Document frequencies come from all documents, counted in ``DF_CELLS`` hash cells
 of fixed number; the mean cell is taken off as what chance puts there.
@@ -51,12 +54,13 @@ BANDS, ROWS = 16, 4
 DF_CELLS = 1 << 16
 #: The rarest shingle weighs this much more than one that is in every document.
 IDF_GAIN = 0.25
-#: Rows of random numbers; shingles are hashed to them.
-DRAWS = 1 << 14
+#: Rows of random numbers, to which shingles are hashed, and the step to which the
+#: logs of weights are rounded; draws are tabulated for both.
+DRAWS, LN_STEP, LN_LEVELS = 1 << 12, 0.05, 64
 #: Texts of a bucket that have been compared with all others after each round.
-COMPARED = 8
-#: Texts compared with one text in a task's run.
-CHUNK = 256
+PIVOTS = (1, 4)
+#: Texts compared with one text in a task's run; texts held, and streamed past them.
+CHUNK, HELD, STREAMED = 256, 64, 1024
 #: Keys up to which the candidates' texts are fetched with a broadcast.
 BROADCAST_KEYS = 500_000
 
@@ -90,45 +94,69 @@ def inverse_frequency(docs: DataFrame) -> np.ndarray:
     return (1 + IDF_GAIN * np.log(n / df) / np.log(n)).astype(np.float32)
 
 
-class WeightedSampler:
+class Weights:
+    """Weighted shingles of texts. The log of a weight, ``1 + ln(tf)`` times idf, is
+    rounded to a multiple of LN_STEP."""
+
+    def __init__(self, idf: np.ndarray):
+        self.idf, self.hashes = idf, WordHashes()
+
+    def levels(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        grams, tf = shingles(text, self.hashes)
+        ln = np.log((1 + np.log(tf)) * self.idf[_df_cell(grams)])
+        return grams, np.minimum(np.rint(ln / LN_STEP).astype(np.int64), LN_LEVELS - 1)
+
+    def of(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
+        grams, level = self.levels(text)
+        return grams, np.exp(level * LN_STEP)
+
+
+class WeightedSampler(Weights):
     """Improved consistent weighted sampling."""
 
     def __init__(self, idf: np.ndarray):
-        random, shape = np.random.default_rng(20_10), (DRAWS, BANDS * ROWS)
-        draw = lambda: -np.log(random.random(shape, np.float32) + np.float32(1e-12))
+        super().__init__(idf)
+        random, self.shape = np.random.default_rng(20_10), (DRAWS, BANDS * ROWS)
+        draw = lambda: -np.log(random.random(self.shape, np.float32) + np.float32(1e-12))
         self.r = draw() + draw()
         self.ln_c = np.log(draw() + draw())
-        self.beta = random.random(shape, np.float32)
-        self.per_r = 1 / self.r
-        self.idf, self.hashes = idf, WordHashes()
+        self.beta = random.random(self.shape, np.float32)
+        # ln a by level, row and sample; a level is filled when it first occurs.
+        self.ln_a = np.empty((LN_LEVELS, *self.shape), np.float32)
+        self.filled = np.zeros(LN_LEVELS, bool)
 
-    def weights(self, text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
-        grams, tf = shingles(text, self.hashes)
-        return grams, (1 + np.log(tf)) * self.idf[_df_cell(grams)]
+    def _t(self, level, row, sample) -> np.ndarray:
+        ln_w = np.asarray(level * LN_STEP, np.float32)
+        return np.floor(ln_w / self.r[row, sample] + self.beta[row, sample])
+
+    def _fill(self, level: int) -> None:
+        every = slice(None)
+        t = self._t(level, every, every)
+        self.ln_a[level] = self.ln_c - self.r * (t - self.beta + 1)
+        self.filled[level] = True
 
     def bands(self, text: bytes | None) -> np.ndarray:
         """One hash per band; none for a text without words."""
-        grams, weights = self.weights(text)
+        grams, level = self.levels(text)
         if not len(grams):
             return np.zeros(0, np.int64)
-        ln_w = np.log(weights).astype(np.float32)[:, None]
+        for new in np.flatnonzero(np.bincount(level)):
+            if not self.filled[new]:
+                self._fill(new)
         row = (grams & np.uint64(DRAWS - 1)).astype(np.int64)
-        best = np.full(BANDS * ROWS, np.inf, np.float32)
-        sample = np.zeros(BANDS * ROWS, np.uint64)
-        every = np.arange(BANDS * ROWS)
-        for at in range(0, len(grams), 1024):
-            part = row[at : at + 1024]
-            beta, r = self.beta[part], self.r[part]
-            t = np.floor(ln_w[at : at + 1024] * self.per_r[part] + beta)
-            ln_a = self.ln_c[part] - r * (t - beta + 1)
-            first = ln_a.argmin(axis=0)  # of equal ones the lowest shingle
-            low = ln_a[first, every]
-            level = t[first, every].astype(np.int64).view(np.uint64)
-            better = low < best
-            best[better] = low[better]
-            drawn = mixed(grams[at + first] + level * MULTIPLIER)
-            sample[better] = drawn[better]
-        sample = mixed(sample + every.astype(np.uint64)).reshape(BANDS, ROWS)
+        cell, table = level * DRAWS + row, self.ln_a.reshape(-1, self.shape[1])
+        every = np.arange(self.shape[1])
+        best = np.full(self.shape[1], np.inf, np.float32)
+        chosen = np.zeros(self.shape[1], np.int64)
+        for at in range(0, len(cell), 2048):
+            ln_a = np.ascontiguousarray(table[cell[at : at + 2048]].T)
+            first = ln_a.argmin(axis=1)  # of equal ones the lowest shingle
+            low = ln_a[every, first]
+            chosen = np.where(low < best, at + first, chosen)
+            best = np.minimum(low, best)
+        t = self._t(level[chosen], row[chosen], every).astype(np.int64).view(np.uint64)
+        sample = mixed(mixed(grams[chosen] + t * MULTIPLIER) + every.astype(np.uint64))
+        sample = sample.reshape(BANDS, ROWS)
         band = sample[:, 0]
         for j in range(1, ROWS):
             band = band * MULTIPLIER + sample[:, j]
@@ -162,9 +190,9 @@ def _signatures(docs: DataFrame, idf: Shared) -> DataFrame:
 
 
 def _members(signatures: DataFrame) -> DataFrame:
-    """``bucket, key``: buckets of at least two texts. Copies of a text are counted
-    out by the least and greatest hash of a bucket, which tasks compute beforehand."""
-    rows = signatures.select(F.explode("bands").alias("bucket"), "key")
+    """``bucket, key``: buckets of at least two texts, copies of a text counted once.
+    Of buckets with the same texts the one of the first band is enough."""
+    rows = signatures.select(F.posexplode("bands").alias("band", "bucket"), "key")
     mark = F.xxhash64("key")
     several = (
         rows.groupBy("bucket")
@@ -172,17 +200,28 @@ def _members(signatures: DataFrame) -> DataFrame:
         .where(F.col("least") != F.col("most"))
         .select("bucket")
     )
-    return rows.join(several, "bucket", "left_semi").distinct()
+    members = rows.join(several, "bucket", "left_semi").distinct()
+    # Equal sets have equal counts and sums of two hashes.
+    other = F.xxhash64("key", F.lit(1))
+    sets = members.groupBy("band", "bucket").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.shiftright(mark, 16)).alias("s1"),
+        F.sum(F.shiftright(other, 16)).alias("s2"),
+    )
+    first = sets.groupBy("n", "s1", "s2").agg(F.min(F.struct("band", "bucket")).alias("first"))
+    return members.join(first.select("first.bucket"), "bucket", "left_semi").select("bucket", "key")
 
 
-def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``key, text`` of the candidates, each text once."""
+def _texts(docs: DataFrame, members: DataFrame, signatures: DataFrame) -> DataFrame:
+    """``key, text, bands`` of the candidates, each text once."""
     keys = members.select("key").distinct()
     rows = docs.select(text_key(F.col("text")).alias("key"), "text")
     small = keys.count() <= BROADCAST_KEYS
     wanted = rows.join(F.broadcast(keys) if small else keys, "key", "left_semi")
     nth = F.row_number().over(W.partitionBy("key").orderBy("key"))
-    return wanted.withColumn("nth", nth).where("nth = 1").drop("nth")
+    wanted = wanted.withColumn("nth", nth).where("nth = 1").drop("nth")
+    bands = signatures.join(keys, "key", "left_semi").groupBy("key").agg(F.first("bands").alias("bands"))
+    return wanted.join(bands, "key")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, idf: Shared) -> DataFrame:
@@ -193,15 +232,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Shared) -> DataFrame:
     counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     chunk = F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / CHUNK)).cast("int").alias("chunk")
     dealt = pairs.join(counts, "a").select("a", "b", chunk)
-    b = dealt.join(texts.withColumnRenamed("key", "b"), "b").select("a", "chunk", "b", "text")
+    b = dealt.join(texts.select(F.col("key").alias("b"), "text"), "b").select("a", "chunk", "b", "text")
     heads = dealt.select("a", "chunk").distinct()
-    a = heads.join(texts.withColumnRenamed("key", "a"), "a").select(
+    a = heads.join(texts.select(F.col("key").alias("a"), "text"), "a").select(
         "a", "chunk", F.lit(None).cast("binary").alias("b"), "text"
     )
     runs = a.unionByName(b).repartition("a", "chunk").sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
 
     def start():
-        sampler = WeightedSampler(idf.load())
+        shingled = Weights(idf.load())
         current = [None, None]
 
         def work(batch: pa.RecordBatch) -> dict:
@@ -209,7 +248,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, idf: Shared) -> DataFrame:
             for a, b, text in zip(
                 batch.column("a").to_pylist(), batch.column("b").to_pylist(), as_bytes(batch)
             ):
-                weights = sampler.weights(text)
+                weights = shingled.of(text)
                 if b is None:
                     current[:] = a, weights
                 elif current[0] == a and weighted_jaccard(current[1], weights) >= SIMILARITY:
@@ -257,15 +296,107 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
             return roots
 
 
+class _BlockCompare:
+    """Links between held texts and those streamed past them, run by run.
+
+    Rows come by ``bucket, block, chunk``, the held ones first. A pair is compared in
+    the first bucket it shares, unless it is in one class; of two texts that are both
+    outside the main class, only that with the lesser key is held against the other.
+    """
+
+    def __init__(self, idf: np.ndarray):
+        self.shingled, self.run = Weights(idf), None
+
+    def _hold(self, key, root, bands, text) -> None:
+        self.held.append((key, root, self.shingled.of(text)))
+        self.bands = np.vstack([self.bands, bands])
+
+    def _links(self, bucket, key, root, outside, bands, text) -> list:
+        same = self.bands == bands
+        first = same.argmax(axis=1)
+        here = self.bands[np.arange(len(first)), first] == bucket
+        near = [
+            self.held[i]
+            for i in np.flatnonzero(here & same.any(axis=1))
+            if self.held[i][1] != root and not (outside and self.held[i][0] >= key)
+        ]
+        if not near:
+            return []
+        weights = self.shingled.of(text)
+        return [(r, root) for _, r, w in near if weighted_jaccard(w, weights) >= SIMILARITY]
+
+    def __call__(self, batch: pa.RecordBatch) -> dict:
+        found = []
+        names = ("bucket", "block", "chunk", "streamed", "key", "root", "outside", "bands")
+        for bucket, block, chunk, streamed, key, root, outside, bands, text in zip(
+            *(batch.column(n).to_pylist() for n in names), as_bytes(batch)
+        ):
+            if (bucket, block, chunk) != self.run:
+                self.run, self.held = (bucket, block, chunk), []
+                self.bands = np.zeros((0, BANDS), np.int64)
+            bands = np.array(bands, np.int64)
+            if streamed:
+                found += self._links(bucket, key, root, outside, bands, text)
+            else:
+                self._hold(key, root, bands, text)
+        found = sorted(set(found))
+        return {"a": [a for a, _ in found], "b": [b for _, b in found]}
+
+
+def _rest_links(placed: DataFrame, texts: DataFrame, idf: Shared) -> DataFrame:
+    """Links ``a, b`` between classes, from comparing the texts outside the main class
+    of each bucket with all texts of the bucket. ``placed``: ``bucket, key, root``."""
+    by_class = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = by_class.groupBy("bucket").agg(
+        F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("all")
+    )
+    size = main.select(
+        "bucket",
+        F.col("main.root").alias("main"),
+        F.ceil((F.col("all") - F.col("main.n")) / HELD).cast("int").alias("blocks"),
+        F.ceil(F.col("all") / STREAMED).cast("int").alias("chunks"),
+    )
+    rows = placed.join(size, "bucket").withColumn("outside", F.col("root") != F.col("main"))
+    deal = F.xxhash64("key")
+    columns = ["bucket", "block", "chunk", "streamed", "key", "root", "outside"]
+    held = rows.where("outside").select(
+        "*",
+        F.pmod(deal, F.col("blocks")).cast("int").alias("block"),
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+        F.lit(False).alias("streamed"),
+    )
+    streamed = rows.select(
+        "*",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.pmod(deal, F.col("chunks")).cast("int").alias("chunk"),
+        F.lit(True).alias("streamed"),
+    )
+    runs = held.select(*columns).unionByName(streamed.select(*columns)).join(texts, "key")
+    runs = runs.repartition("bucket", "block", "chunk").sortWithinPartitions(
+        "bucket", "block", "chunk", "streamed"
+    )
+    return row_pass(runs, "a binary, b binary", lambda: _BlockCompare(idf.load()))
+
+
+def _merged(classes: DataFrame, links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The classes ``key, root`` after links between roots."""
+    if links.isEmpty():
+        return classes
+    roots = components(links.distinct(), scratch, f"roots-{name}")
+    renamed = roots.select(F.col("root").alias("new"), F.col("node").alias("root"))
+    root = F.coalesce(F.col("new"), F.col("root")).alias("root")
+    return scratch.keep(classes.join(renamed, "root", "left").select("key", root), f"classes-{name}")
+
+
 def _linked(members: DataFrame, texts: DataFrame, idf: Shared, scratch: Scratch) -> DataFrame:
     """``key, root`` of all candidates, by verified links."""
     sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     ties = members.join(sizes, "bucket").groupBy("key").agg(F.sum("n").alias("score"))
     ranked = scratch.keep(members.join(ties, "key"), "ranked")
-    classes = scratch.keep(ranked.select("key", F.col("key").alias("root")).distinct(), "classes-0")
-    compared, ahead, step = 0, 1, 0
-    while True:
-        step += 1
+    classes = ranked.select("key", F.col("key").alias("root")).distinct()
+    classes = scratch.keep(classes, "classes-0")
+    compared = 0
+    for ahead in (*PIVOTS, None):
         placed = ranked.join(classes, "key")
         mark = F.xxhash64("root")
         open_ = (
@@ -274,9 +405,13 @@ def _linked(members: DataFrame, texts: DataFrame, idf: Shared, scratch: Scratch)
             .where((F.col("least") != F.col("most")) & (F.col("n") > compared + 1))
             .select("bucket")
         )
-        placed = scratch.keep(placed.join(open_, "bucket", "left_semi"), f"open-{step}")
+        placed = scratch.keep(placed.join(open_, "bucket", "left_semi"), f"open-{ahead}")
         if placed.isEmpty():
             return classes
+        if ahead is None:
+            links = _rest_links(placed.drop("score"), texts, idf)
+            links = scratch.keep(links, "links-rest")
+            return _merged(classes, links, scratch, "rest")
         order = W.partitionBy("bucket").orderBy(F.col("score").desc(), F.col("key").desc())
         chosen = (
             placed.withColumn("nth", F.row_number().over(order))
@@ -291,16 +426,13 @@ def _linked(members: DataFrame, texts: DataFrame, idf: Shared, scratch: Scratch)
             .select("a", F.col("key").alias("b"), "a_root", "root")
             .distinct()
         )
-        pairs = scratch.keep(pairs, f"pairs-{step}")
-        links = scratch.keep(_verified(pairs.select("a", "b"), texts, idf), f"links-{step}")
-        if not links.isEmpty():
-            joined = links.join(pairs, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("root").alias("b"))
-            roots = components(joined.distinct(), scratch, f"roots-{step}")
-            root = F.coalesce(F.col("new"), F.col("root")).alias("root")
-            renamed = roots.select(F.col("root").alias("new"), F.col("node").alias("root"))
-            classes = scratch.keep(classes.join(renamed, "root", "left").select("key", root), f"classes-{step}")
-        scratch.drop(f"pairs-{step}", f"links-{step}", f"open-{step}")
-        compared, ahead = ahead, ahead * COMPARED
+        pairs = scratch.keep(pairs, f"pairs-{ahead}")
+        links = scratch.keep(_verified(pairs.select("a", "b"), texts, idf), f"links-{ahead}")
+        joined = links.join(pairs, ["a", "b"]).select(F.col("a_root").alias("a"), F.col("root").alias("b"))
+        classes = _merged(classes, joined, scratch, str(ahead))
+        scratch.drop(f"pairs-{ahead}", f"links-{ahead}", f"open-{ahead}")
+        compared = ahead
+    return classes
 
 
 def text_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -309,8 +441,8 @@ def text_classes(docs: DataFrame, scratch: Scratch) -> DataFrame:
     idf = Shared(docs.sparkSession, inverse_frequency(docs))
     signatures = scratch.keep(_signatures(docs, idf), "signatures")
     members = scratch.keep(_members(signatures), "members")
+    texts = scratch.keep(_texts(docs, members, signatures), "texts")
     scratch.drop("signatures")
-    texts = scratch.keep(_texts(docs, members), "texts")
     linked = _linked(members, texts, idf, scratch)
     scratch.drop("texts", "members", "ranked")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"))
