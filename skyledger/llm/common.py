@@ -215,3 +215,9 @@ class Scratch:
 
     def drop(self, *names: str) -> None:
         delete_paths(self.spark, [f"{self.root}/{n}" for n in names], root=self.root)
+        self.free()
+
+    def free(self) -> None:
+        """Lets Spark remove shuffle files that no frame refers to any more; it does so
+        when the driver collects garbage, which a long query may put off too long."""
+        self.spark.sparkContext._jvm.System.gc()

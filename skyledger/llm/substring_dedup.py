@@ -44,7 +44,7 @@ WINDOW = 35
 #: Words of an anchor.
 GRAM = 8
 #: Words of an index, and distinct segments of an anchor that stay whole.
-INDEX_WORDS, HOT_SEGMENTS = 1_000_000, 4096
+INDEX_WORDS, HOT_SEGMENTS = 250_000, 4096
 
 
 def anchor_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,30 +73,44 @@ def segments(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams[place[first]].view(np.int64), first, last + WINDOW
 
 
+#: Bits below a place in its block; what makes a block's bits 1 where the digit matches.
+_BELOW = (np.uint64(1) << np.arange(64, dtype=np.uint64)) - np.uint64(1)
+_FLIP_HIGH = np.array([-1, -1, 0, 0], np.int64).view(np.uint64)
+_FLIP_LOW = np.array([-1, 0, -1, 0], np.int64).view(np.uint64)
+
+
+def _packed(bit: np.ndarray) -> np.ndarray:
+    packed = np.packbits(bit.astype(np.uint8), bitorder="little")
+    return np.concatenate([packed, np.zeros(-len(packed) % 8 + 8, np.uint8)]).view(np.uint64)
+
+
 class WaveletMatrix:
-    """Counts of a symbol before a place, over packed bits; vectorised."""
+    """Counts of a symbol before a place. Symbols are cut into two-bit digits; each
+    level keeps its digits as two rows of packed bits and counts per block of 64."""
 
     def __init__(self, symbols: np.ndarray, largest: int):
-        self.bits, self.before, self.zeros = [], [], []
-        self.levels = max(1, int(largest).bit_length())
-        for level in range(self.levels - 1, -1, -1):
-            bit = (symbols >> level) & 1
-            packed = np.packbits(bit.astype(np.uint8), bitorder="little")
-            packed = np.concatenate([packed, np.zeros(-len(packed) % 8 + 8, np.uint8)]).view(np.uint64)
-            counts = np.bitwise_count(packed).astype(np.int64)
-            self.bits.append(packed)
-            self.before.append(np.cumsum(counts) - counts)
-            self.zeros.append(len(bit) - int(bit.sum()))
-            symbols = np.concatenate([symbols[bit == 0], symbols[bit == 1]])
+        self.levels = []
+        for shift in range((max(1, int(largest).bit_length()) + 1) // 2 * 2 - 2, -1, -2):
+            digit = (symbols >> shift) & 3
+            high, low = _packed(digit >> 1), _packed(digit & 1)
+            order = np.argsort(digit.astype(np.uint8), kind="stable")
+            starts = np.searchsorted(digit[order], np.arange(4))
+            counts = np.zeros((len(high), 4), np.int64)
+            for d in range(4):
+                matches = (high ^ _FLIP_HIGH[d]) & (low ^ _FLIP_LOW[d])
+                n = np.bitwise_count(matches).astype(np.int64)
+                counts[:, d] = np.cumsum(n) - n + starts[d]
+            self.levels.append((shift, high, low, counts.ravel()))
+            symbols = symbols[order]
 
     def descend(self, symbol: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Where a place of the text ends up among the symbol's block."""
-        for k in range(self.levels):
+        """Where a place of the text ends up in the symbol's block of the last level."""
+        for shift, high, low, counts in self.levels:
+            digit = (symbol >> shift) & 3
             block = place >> 6
-            mask = (np.uint64(1) << (place & 63).astype(np.uint64)) - np.uint64(1)
-            ones = self.before[k][block] + np.bitwise_count(self.bits[k][block] & mask)
-            one = (symbol >> (self.levels - 1 - k)) & 1
-            place = np.where(one == 1, self.zeros[k] + ones, place - ones)
+            matches = (high[block] ^ _FLIP_HIGH[digit]) & (low[block] ^ _FLIP_LOW[digit])
+            matches &= _BELOW[place & 63]
+            place = counts[block * 4 + digit] + np.bitwise_count(matches)
         return place
 
 
@@ -326,6 +340,7 @@ def _repeated_segments(cut: DataFrame, scratch: Scratch) -> DataFrame:
     """``seg, spans`` of all distinct segments with repeated intervals."""
     distinct = cut.groupBy("part", "seg", "words").agg(F.sum("n").alias("n"))
     distinct = scratch.keep(distinct, "distinct")
+    scratch.free()
     hot = (
         distinct.groupBy("part").agg(F.count(F.lit(1)).alias("segments")).where(F.col("segments") > HOT_SEGMENTS)
     ).select("part")
@@ -377,8 +392,11 @@ def remove_repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .drop("nth")
     )
     wanted = scratch.keep(once.join(touched, "key").select("id", "n", "anchors", "text"), "wanted")
+    del once, touched
+    scratch.drop("common")
     cut = scratch.keep(_cut_segments(wanted), "cut")
     spans = _repeated_segments(cut, scratch)
+    scratch.drop("hot")
     places = (
         cut.select("id", "start", "seg")
         .join(spans, "seg")
@@ -403,7 +421,7 @@ def remove_repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
         wanted.select("id", "text").join(places, "id"), "id long, n_removed long, kept_sha256 string", start
     )
     changed = scratch.keep(changed.join(texts.select("id", "key"), "id").drop("id"), "changed")
-    scratch.drop("wanted", "cut", "distinct", "hot", "judged", "windows", "runs", "common", "texts")
+    scratch.drop("wanted", "cut", "distinct", "judged", "windows", "runs", "texts")
     return scan.join(changed, "key", "left").select(
         "doc_id",
         "n_words",
