@@ -75,6 +75,16 @@ def as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes | None]:
     return batch.column(column).cast(pa.binary()).to_pylist()
 
 
+def runs_of(texts: list[bytes | None], size: int) -> Iterator[slice]:
+    """Consecutive texts of about ``size`` bytes together, at least one each."""
+    start, total = 0, 0
+    for i, text in enumerate(texts):
+        total += len(text or b"")
+        if total >= size or i == len(texts) - 1:
+            yield slice(start, i + 1)
+            start, total = i + 1, 0
+
+
 def text_key(text: Column) -> Column:
     """128 bits that stand for a text; null for a null text."""
     return F.unhex(F.md5(text.cast("binary")))

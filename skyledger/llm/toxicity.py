@@ -29,15 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import Scratch, Shared, as_bytes, counted, fold, labelled_sample, row_pass
+from skyledger.llm.common import Scratch, Shared, as_bytes, counted, fold, labelled_sample, row_pass, runs_of
 
 #: Most labelled ids the field is fitted on.
 FIT_ROWS = 8_000
 FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
 CHAIN = 64
-#: Hash cells of token features; words a task remembers.
-CELLS, KNOWN_WORDS = 1 << 18, 1 << 19
+#: Hash cells of token features; words a task remembers; bytes of text tagged at once.
+CELLS, KNOWN_WORDS, RUN_BYTES = 1 << 18, 1 << 18, 1 << 20
 #: A feature marks tokens if toxic texts have it so much more often, by share of
 #: texts, and if the likelihood ratio test is beyond what chance gives so many features.
 MARK_SHARE, MARK_TEST = 0.98, 20.0
@@ -64,7 +64,7 @@ FEATURES = 5
 
 
 class Vocabulary(dict):
-    """Word to row of ``cells``; bounded, begun anew between batches."""
+    """Word to number; ``rows`` has the feature cells by number."""
 
     def __init__(self):
         self.rows: list[list[int]] = []
@@ -74,25 +74,39 @@ class Vocabulary(dict):
         self.rows.append(word_cells(word))
         return len(self.rows) - 1
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
+    def of(self, words: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
 
-    def trimmed(self) -> Vocabulary:
-        return Vocabulary() if len(self.rows) > KNOWN_WORDS else self
+
+class Evidence(dict):
+    """Word to its log odds by itself; remembers a bounded number of words."""
+
+    def __init__(self, field: Field):
+        self.weights = field.weights
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        value = self[word] = float(self.weights[word_cells(word)].sum() + self.weights[-1])
+        return value
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
 
 
 class Chains:
-    """The tokens of a batch of texts, dealt to chains."""
+    """The tokens of some texts, by number or evidence, dealt to chains."""
 
-    def __init__(self, texts: list[bytes | None], vocabulary: Vocabulary):
-        each = [vocabulary.numbers(t.translate(FOLDED).split()) if t else _NONE for t in texts]
+    def __init__(self, texts: list[bytes | None], table: Vocabulary | Evidence):
+        each = [table.of(t.translate(FOLDED).split() if t else []) for t in texts]
         self.lengths = np.array([len(e) for e in each], np.int64)
-        self.words = np.concatenate(each) if each else _NONE
+        self.tokens = np.concatenate(each) if each else np.zeros(0)
         self.text = np.repeat(np.arange(len(each)), self.lengths)
-        place = np.arange(len(self.words)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        first = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
+        place = np.arange(len(self.tokens)) - first
         chains = -(-self.lengths // CHAIN)
-        first = np.cumsum(chains) - chains
-        self.chain, self.step = first[self.text] + place // CHAIN, place % CHAIN
+        self.chain = (np.cumsum(chains) - chains)[self.text] + place // CHAIN
+        self.step = place % CHAIN
         self.shape = (CHAIN, int(chains.sum()))
         self.there = np.zeros(self.shape, bool)
         self.there[self.step, self.chain] = True
@@ -103,9 +117,6 @@ class Chains:
         return out
 
 
-_NONE = np.zeros(0, np.int64)
-
-
 class Field:
     """Weights of features for the toxic label, its bias, and log potentials of the
     transitions between clean (0) and toxic (1)."""
@@ -115,16 +126,10 @@ class Field:
         self.moves = np.zeros((2, 2))
         self.curve = (0.0, -50.0)  # scores of 0 until calibrated
 
-    def evidence(self, vocabulary: Vocabulary) -> np.ndarray:
-        """Log odds of each word of the vocabulary by itself."""
-        if not vocabulary.rows:
-            return np.zeros(0)
-        return self.weights[np.array(vocabulary.rows)].sum(axis=1) + self.weights[-1]
-
-    def log_odds(self, chains: Chains, evidence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Marginal log odds of each token (by step and chain), and the expected
-        transitions. Forward and backward messages are kept as log ratios."""
-        own = chains.spread(evidence[chains.words])
+    def log_odds(self, chains: Chains, evidence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Marginal log odds of the tokens, and the forward and backward parts of the
+        pairs of neighbours. Messages are kept as log ratios of toxic to clean."""
+        own = chains.spread(evidence)
         (p00, p01), (p10, p11) = np.exp(self.moves)
         ahead, back = np.zeros(chains.shape), np.zeros(chains.shape)
         for t in range(CHAIN):
@@ -135,15 +140,19 @@ class Field:
         for t in range(CHAIN - 2, -1, -1):
             y = np.exp(np.clip(own[t + 1] + back[t + 1], -30, 30))
             back[t] = np.where(chains.there[t + 1], np.log((p10 + p11 * y) / (p00 + p01 * y)), 0)
-        x, y = np.exp(ahead[:-1]), np.exp(np.clip(own[1:] + back[1:], -30, 30))
+        odds = (ahead + back)[chains.step, chains.chain]
+        return odds, ahead[:-1], np.clip(own[1:] + back[1:], -30, 30)
+
+    def expected_moves(self, chains: Chains, ahead: np.ndarray, after: np.ndarray) -> np.ndarray:
+        """Expected numbers of the four transitions."""
+        x, y = np.exp(ahead), np.exp(after)
+        (p00, p01), (p10, p11) = np.exp(self.moves)
         moves = np.array([[p00 + 0 * x, p01 * y], [x * p10, x * p11 * y]])
-        moves = np.where(chains.there[1:], moves / moves.sum(axis=(0, 1)), 0).sum(axis=(2, 3))
-        return ahead + back, moves
+        return np.where(chains.there[1:], moves / moves.sum(axis=(0, 1)), 0).sum(axis=(2, 3))
 
-    def tag(self, chains: Chains, vocabulary: Vocabulary) -> np.ndarray:
+    def tag(self, chains: Chains) -> np.ndarray:
         """Marginal log odds of the tokens, in their order."""
-        odds, _ = self.log_odds(chains, self.evidence(vocabulary))
-        return odds[chains.step, chains.chain]
+        return self.log_odds(chains, chains.tokens)[0]
 
 
 def summed_odds(odds: np.ndarray, chains: Chains) -> np.ndarray:
@@ -159,44 +168,48 @@ class _FeatureTexts:
     last two cells count the texts."""
 
     def __init__(self):
-        self.total, self.vocabulary = np.zeros(2 * CELLS + 2, np.int64), Vocabulary()
+        self.total = np.zeros(2 * CELLS + 2, np.int64)
 
     def __call__(self, batch: pa.RecordBatch) -> None:
-        self.vocabulary = self.vocabulary.trimmed()
-        for text, y in zip(as_bytes(batch), batch.column("y").to_pylist()):
-            words = np.unique(self.vocabulary.numbers(text.translate(FOLDED).split()))
-            if len(words):
-                cells = np.unique([self.vocabulary.rows[w] for w in words])
-                self.total[cells + y * CELLS] += 1
-            self.total[2 * CELLS + y] += 1
+        texts, labels = as_bytes(batch), batch.column("y").to_pylist()
+        for part in runs_of(texts, RUN_BYTES):
+            vocabulary = Vocabulary()
+            words = [np.unique(vocabulary.of(t.translate(FOLDED).split())) for t in texts[part]]
+            rows = np.array(vocabulary.rows).reshape(-1, FEATURES)
+            for own, y in zip(words, labels[part]):
+                self.total[np.unique(rows[own]) + y * CELLS] += 1
+                self.total[2 * CELLS + y] += 1
 
 
 class _Gradient:
     """Expected minus observed features of the labelled tokens."""
 
     def __init__(self, field: Field, marks: np.ndarray):
-        self.field, self.marks, self.vocabulary = field, marks, Vocabulary()
+        self.field, self.marks = field, marks
         self.weights, self.moves = np.zeros(CELLS + 1), np.zeros((2, 2))
 
     def __call__(self, batch: pa.RecordBatch) -> None:
-        self.vocabulary = Vocabulary()
-        chains = Chains(as_bytes(batch), self.vocabulary)
-        if not len(chains.words):
+        texts, y = as_bytes(batch), batch.column("y").to_numpy(zero_copy_only=False)
+        for part in runs_of(texts, RUN_BYTES):
+            self._add(texts[part], y[part] == 1)
+
+    def _add(self, texts: list[bytes], toxic_text: np.ndarray) -> None:
+        vocabulary = Vocabulary()
+        chains = Chains(texts, vocabulary)
+        if not len(chains.tokens):
             return
-        cells = np.array(self.vocabulary.rows)
-        toxic_text = batch.column("y").to_numpy(zero_copy_only=False) == 1
-        label = self.marks[cells].any(axis=1)[chains.words] & toxic_text[chains.text]
-        odds, moves = self.field.log_odds(chains, self.field.evidence(self.vocabulary))
-        odds = odds[chains.step, chains.chain]
-        miss = np.bincount(chains.words, 1 / (1 + np.exp(-odds)) - label, minlength=len(cells))
+        cells = np.array(vocabulary.rows)
+        label = self.marks[cells].any(axis=1)[chains.tokens] & toxic_text[chains.text]
+        evidence = self.field.weights[cells].sum(axis=1) + self.field.weights[-1]
+        odds, ahead, after = self.field.log_odds(chains, evidence[chains.tokens])
+        miss = np.bincount(chains.tokens, 1 / (1 + np.exp(-odds)) - label, minlength=len(cells))
         np.add.at(self.weights, cells, np.repeat(miss[:, None], FEATURES, axis=1))
         self.weights[-1] += miss.sum()
-        seen = chains.spread(label).astype(bool)
-        pair = chains.there[1:]
+        self.moves += self.field.expected_moves(chains, ahead, after)
+        seen, pair = chains.spread(label).astype(bool), chains.there[1:]
         for a in (0, 1):
             for b in (0, 1):
-                moves[a, b] -= ((seen[:-1] == a) & (seen[1:] == b) & pair).sum()
-        self.moves += moves
+                self.moves[a, b] -= ((seen[:-1] == a) & (seen[1:] == b) & pair).sum()
 
     def sums(self) -> dict:
         cells = np.flatnonzero(self.weights)
@@ -263,12 +276,15 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Field:
 
     def start():
         field = shared.load()
+        evidence = Evidence(field)
 
         def work(batch: pa.RecordBatch) -> dict:
-            vocabulary = Vocabulary()
-            chains = Chains(as_bytes(batch), vocabulary)
-            odds = summed_odds(field.tag(chains, vocabulary), chains)
-            return {"step": np.round(odds * ODDS_STEPS).astype(np.int64)}
+            texts, steps = as_bytes(batch), []
+            for part in runs_of(texts, RUN_BYTES):
+                chains = Chains(texts[part], evidence)
+                odds = summed_odds(field.tag(chains), chains)
+                steps += np.round(odds * ODDS_STEPS).astype(np.int64).tolist()
+            return {"step": steps}
 
         return work
 
@@ -293,21 +309,23 @@ def tag(docs: DataFrame, field: Field) -> DataFrame:
     shared = Shared(docs.sparkSession, field)
 
     def start():
-        field, known = shared.load(), [Vocabulary()]
+        field = shared.load()
+        evidence, (slope, offset) = Evidence(field), field.curve
 
         def work(batch: pa.RecordBatch) -> dict:
-            known[0] = known[0].trimmed()
-            texts = as_bytes(batch)
-            chains = Chains(texts, known[0])
-            odds = field.tag(chains, known[0])
-            slope, offset = field.curve
-            level = np.clip(slope * summed_odds(odds, chains) + offset, -50, 50)
-            scores = 1 / (1 + np.exp(-level))
-            ends = np.cumsum(chains.lengths)
-            spans = [[] for _ in texts]
-            for i in np.unique(chains.text[odds > 0]):
-                own = odds[ends[i] - chains.lengths[i] : ends[i]]
-                spans[i] = [{"begin": a, "end": b} for a, b in _spans(texts[i], own > 0)]
+            texts, scores, spans = as_bytes(batch), [], []
+            for part in runs_of(texts, RUN_BYTES):
+                own = texts[part]
+                chains = Chains(own, evidence)
+                odds = field.tag(chains)
+                level = np.clip(slope * summed_odds(odds, chains) + offset, -50, 50)
+                scores.append(1 / (1 + np.exp(-level)))
+                toxic = np.split(odds > 0, np.cumsum(chains.lengths)[:-1])
+                spans += [
+                    [{"begin": a, "end": b} for a, b in _spans(t, m)] if m.any() else []
+                    for t, m in zip(own, toxic)
+                ]
+            scores = np.concatenate(scores)
             return {
                 "score": scores,
                 "predicted": (scores >= THRESHOLD).astype(np.int32),
