@@ -175,7 +175,7 @@ class _FeatureTexts:
         for part in runs_of(texts, RUN_BYTES):
             vocabulary = Vocabulary()
             words = [np.unique(vocabulary.of(t.translate(FOLDED).split())) for t in texts[part]]
-            rows = np.array(vocabulary.rows).reshape(-1, FEATURES)
+            rows = np.array(vocabulary.rows, np.int64).reshape(-1, FEATURES)
             for own, y in zip(words, labels[part]):
                 self.total[np.unique(rows[own]) + y * CELLS] += 1
                 self.total[2 * CELLS + y] += 1
