@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from skyledger.config import BATCH_LAYERS, STREAM_LAYERS, LakeConfig
+from skyledger.session import shared_scratch
 
 BATCH_ID = "batch_id"
 
@@ -67,6 +68,10 @@ def overwrite_table(
 ) -> None:
     """Replaces a managed table.
 
+    The new rows are written to a table beside the old one, which is dropped only
+    after that and gives its name; a load that fails leaves the old rows. Delta
+    replaces a table in one transaction by itself.
+
     Without partitions every task writes its own rows and nothing is shuffled.
     With them, rows are gathered by partition value first, so that a partition
     is not scattered over as many files as there are tasks; the rebalance hint
@@ -78,7 +83,18 @@ def overwrite_table(
     writer = df.write.format(fmt).mode("overwrite")
     if columns:
         writer = writer.partitionBy(*columns)
-    writer.saveAsTable(name)
+    spark = df.sparkSession
+    if fmt == "delta" or not spark.catalog.tableExists(name):
+        writer.saveAsTable(name)
+        return
+    beside = f"{name}_{uuid.uuid4().hex[:12]}"
+    try:
+        writer.saveAsTable(beside)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
 
 
 def settle(df: DataFrame, path: str) -> DataFrame:
@@ -109,9 +125,21 @@ def write_batch(df: DataFrame, name: str, batch_id: int, fmt: str = "parquet") -
     A batch that is replayed after a failure replaces its own partition, so its
     rows are in the table once. The static partition clause is essential: a
     DataFrame overwrite of a partitioned table removes the other batches too.
+
+    The batch is computed and settled first, as the overwrite removes the old
+    partition before it writes: a replay that cannot be computed leaves the batch
+    as it was. Columns that the table lacks are added to it; earlier batches have
+    NULL there. A batch without one of the table's columns is an error.
     """
     spark = df.sparkSession
+    staging = shared_scratch(spark, "batch")
+    df = settle(df, staging)
     _batch_table(spark, df, name, fmt)
+    there = {c.lower() for c in spark.table(name).columns}
+    new = [f for f in df.schema if f.name.lower() not in there]
+    if new:
+        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
     view = f"batch_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
     try:
@@ -122,6 +150,7 @@ def write_batch(df: DataFrame, name: str, batch_id: int, fmt: str = "parquet") -
         )
     finally:
         spark.catalog.dropTempView(view)
+        delete_paths(spark, [staging], root=staging.rsplit("/", 1)[0])
 
 
 def batch_ids(spark: SparkSession, name: str) -> list[int]:

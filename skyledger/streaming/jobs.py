@@ -79,7 +79,8 @@ def gold_batch_writer(
     """Function that joins one micro-batch of events with the history and
     writes the result as that batch's partition.
 
-    The history table is read again in each batch, so later loads are seen.
+    The history table is refreshed and read again in each batch, so later loads
+    are seen, also those of another application.
     The batch's states are settled in ``staging`` first (overwritten by the
     next batch): the events are parsed once, and the join is planned with the
     real number of states. ``side="history"`` writes every historical flight in
@@ -91,7 +92,9 @@ def gold_batch_writer(
     def write(events: DataFrame, batch_id: int) -> None:
         if events.isEmpty():
             return
-        flights = events.sparkSession.table(history)
+        spark = events.sparkSession
+        spark.catalog.refreshTable(history)
+        flights = spark.table(history)
         latest = tables.settle(tk.latest_state(events, rules), staging)
         joined = combine(flights, latest, enrich.skew_plan(flights))
         tables.write_batch(joined, table, batch_id, fmt)
@@ -212,10 +215,11 @@ def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> in
     """Merges the log's batches into one row per flight; returns the number of
     the merged partition (negative, so no batch can take it).
 
-    Old partitions go only after the merged one is complete. A run that stops
-    halfway leaves copies of rows, which ``read_current`` ignores.
+    The newest batch is left out: it may not be committed, and its replay may be
+    under way. Old partitions go only after the merged one is complete. A run that
+    stops halfway leaves copies of rows, which ``read_current`` ignores.
     """
-    merged = tables.batch_ids(spark, table)
+    merged = tables.batch_ids(spark, table)[:-1]
     if len(merged) < 2:
         return None
     log = spark.table(table).where(F.col(tables.BATCH_ID).isin(merged))

@@ -58,6 +58,14 @@ def test_revenue_is_exact_beyond_double_precision(spark):
     assert row.gld_ingreso_total == float(Decimal("9999999999.99") * 1000)
 
 
+def test_revenue_has_no_64_bit_bound(spark, conf):
+    conf(spark__sql__ansi__enabled="false")
+    ticket = F.lit(Decimal("999999999999.00")).cast("decimal(14,2)")
+    silver = silver_flights(bronze(spark, {})).withColumn("tarifa_precio_total_ticket", ticket)
+    row = monthly_by_route(silver.crossJoin(spark.range(200_000)).drop("id")).first()
+    assert row.gld_ingreso_total == 199999999999800000.0
+
+
 def test_group_totals_equal_overall_totals(spark):
     silver = silver_flights(rename_flights(generators.generate_flights(spark, 3000)))
     by_group = monthly_by_route(silver).agg(

@@ -1,6 +1,8 @@
 import datetime as dt
 import itertools
 import os
+import shutil
+from pathlib import Path
 
 import pytest
 
@@ -175,6 +177,23 @@ def test_gold_sees_history_loaded_after_the_start(spark, lake, tmp_path, history
     assert {r.id_vuelo for r in spark.table(name).where("batch_id = 1").collect()} == {"AA2"}
 
 
+def test_gold_sees_history_files_replaced_by_another_application(spark, lake, tmp_path, history):
+    name = lake.table_name("gold", stream=True)
+    write = jobs.gold_batch_writer(history, name, str(tmp_path / "staging"))
+    write(all_events(spark), 0)
+    place = spark.sql(f"DESCRIBE EXTENDED {history}").where("col_name = 'Location'").first()[1]
+    folder = Path(place.removeprefix("file:"))
+    silver_flights(bronze(spark, {"ID_Vuelo": "AA2"})).write.parquet(str(tmp_path / "new"))
+    for file in folder.glob("*"):
+        file.unlink()
+    for file in folder.glob(".*.crc"):
+        file.unlink()
+    for file in (tmp_path / "new").glob("part-*"):
+        shutil.copy(file, folder / file.name)
+    write(all_events(spark), 1)
+    assert {r.id_vuelo for r in spark.table(name).where("batch_id = 1").collect()} == {"AA2"}
+
+
 @pytest.mark.parametrize("stateful", [True, False])
 @pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0)])
 def test_current_state_does_not_depend_on_arrival(spark, lake, tmp_path, stateful, order):
@@ -198,7 +217,7 @@ def test_compaction_keeps_the_answer(spark, lake, tmp_path):
     start()
     before = rows(jobs.read_current(spark, name))
     assert jobs.compact_current(spark, name) == -1
-    assert tables.batch_ids(spark, name) == [-1] and spark.table(name).count() == 3
+    assert tables.batch_ids(spark, name) == [-1, 2]  # the newest batch may be replayed yet
     assert jobs.compact_current(spark, name) is None
     assert rows(jobs.read_current(spark, name)) == before
     land(spark, tmp_path / "in", [message(ID_Vuelo="AA2", Timestamp_Evento=at(30))])

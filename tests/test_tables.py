@@ -37,6 +37,37 @@ def test_overwrite_replaces_rows_and_schema(spark, lake):
     assert rows(tables.read_table(spark, name)) == [(3,)]
 
 
+def failing(spark):
+    return numbers(spark, 1, 2).select("n", F.raise_error(F.col("t")).cast("string").alias("t"))
+
+
+def test_a_failed_overwrite_leaves_the_old_rows(spark, lake):
+    name = lake.table_name("bronze")
+    tables.overwrite_table(numbers(spark, 1, 2), name)
+    with pytest.raises(Exception, match="v1|v2"):
+        tables.overwrite_table(failing(spark), name)
+    assert rows(tables.read_table(spark, name)) == [(1, "v1"), (2, "v2")]
+    assert [t.name for t in spark.catalog.listTables(name.split(".")[0])] == [name.split(".")[1]]
+
+
+def test_a_failed_replay_leaves_the_batch(spark, lake):
+    name = lake.table_name("gold", stream=True)
+    tables.write_batch(numbers(spark, 1, 2), name, 0)
+    with pytest.raises(Exception, match="v1|v2"):
+        tables.write_batch(failing(spark), name, 0)
+    assert rows(spark.table(name).select("n", "t")) == [(1, "v1"), (2, "v2")]
+
+
+def test_a_new_column_is_added_and_a_missing_one_refused(spark, lake):
+    name = lake.table_name("gold", stream=True)
+    tables.write_batch(numbers(spark, 1), name, 0)
+    tables.write_batch(numbers(spark, 2).withColumn("extra", F.lit(5)), name, 1)
+    stored = spark.table(name).select("n", "t", "extra", "batch_id")
+    assert {tuple(r) for r in stored.collect()} == {(1, "v1", None, 0), (2, "v2", 5, 1)}
+    with pytest.raises(Exception, match="extra"):
+        tables.write_batch(numbers(spark, 3), name, 2)
+
+
 def test_partitioned_overwrite_prunes_on_reading(spark, lake):
     name = lake.table_name("silver")
     tables.overwrite_table(numbers(spark, 1, 2, 3), name, partition_by=["n"])
