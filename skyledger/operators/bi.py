@@ -31,6 +31,15 @@ class BiFilter:
             conditions[DATE] = day >= F.lit(self.date_from)
         elif self.date_to is not None:
             conditions[DATE] = day <= F.lit(self.date_to)
+        if DATE in conditions:
+            # What the dates say of year and month, so that partitions are skipped.
+            first, last, year, month = self.date_from, self.date_to, F.col(YEAR), F.col(MONTH)
+            if first is not None:
+                conditions[DATE] &= year >= first.year
+            if last is not None:
+                conditions[DATE] &= year <= last.year
+            if first is not None and last is not None and first.year == last.year:
+                conditions[DATE] &= month.between(first.month, last.month)
         if self.years:
             conditions[YEAR] = F.col(YEAR).isin(*self.years)
         if self.months:

@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from skyledger.config import LakeConfig
 from skyledger.operators.bronze import rename_flights, stamp_ingestion
-from skyledger.operators.gold import monthly_by_route
+from skyledger.operators.gold import monthly_by_airline, monthly_by_route
 from skyledger.operators.silver import silver_flights
 from skyledger.sources import csv_files, tables
 
+#: Fixed value: the data model's name of the roll-up by airline.
+AIRLINE_TABLE = "rendimiento_historico_vuelos"
+
 
 def ingest(spark: SparkSession, cfg: LakeConfig, csv_path: str) -> dict[str, int]:
     """Loads the bronze table; returns the unreadable cells per column."""
@@ -35,8 +38,11 @@ def transform(spark: SparkSession, cfg: LakeConfig) -> None:
 
 
 def load(spark: SparkSession, cfg: LakeConfig) -> None:
+    """The monthly results by route and the roll-up by airline."""
     silver = tables.read_table(spark, cfg.table_name("silver"))
     tables.overwrite_table(monthly_by_route(silver), cfg.table_name("gold"), cfg.table_format)
+    airlines = cfg.table_name("gold", table=AIRLINE_TABLE)
+    tables.overwrite_table(monthly_by_airline(silver), airlines, cfg.table_format)
 
 
 def run(spark: SparkSession, cfg: LakeConfig, csv_path: str) -> dict[str, int]:

@@ -551,8 +551,14 @@ FROM silver WHERE {_PICKED_DATE} AND {_PICKED_YEAR} AND {_PICKED_MONTH}
 GROUP BY analisis_mes""",
     "table_lifecycle": f"""WITH {BRONZE}
 SELECT info_aerolinea, count(*) AS vuelos, CAST(sum(capacidad_pasajeros) AS BIGINT) AS capacidad,
-  false AS borrador_existe
+  false AS borrador_existe, false AS esquema_existe, CAST(0 AS INTEGER) AS carpetas_quedan,
+  true AS en_su_carpeta
 FROM bronze GROUP BY info_aerolinea""",
+    "gold_batches_new_column": f"""WITH {SILVER}
+SELECT CAST(CASE WHEN analisis_mes <= 6 THEN 0 ELSE 1 END AS DOUBLE) AS batch_id,
+  CAST(count(*) AS DOUBLE) AS vuelos,
+  CAST(count(CASE WHEN analisis_mes > 6 THEN info_aerolinea END) AS DOUBLE) AS con_aerolinea
+FROM silver WHERE analisis_mes IS NOT NULL GROUP BY 1""",
     "generate_flights": f"WITH {GENERATED} "
     + _plain(
         "generated", numbers='"Distancia_KM" "Capacidad_Pasajeros" "Pasajeros_Reservados"'
@@ -574,3 +580,6 @@ SELECT
     AS "Consumo_Combustible_Litros"
 FROM states""",
 }
+
+# The stored table has the rows of the frame it is made from.
+ORACLES["airline_month_table"] = ORACLES["gold_airline_month"]

@@ -443,17 +443,29 @@ def stream_gold_active(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_batches_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each hub partition as a batch of its own, the third one written twice."""
+    """Each hub partition as a batch of its own, the third one written twice, and a
+    batch without events."""
     cfg = _lake(spark, "gold_batches")
     history, name = cfg.table_name("silver"), cfg.table_name("gold", stream=True)
     tables.overwrite_table(_flights(spark, sf_dir), history)
     write = jobs.gold_batch_writer(history, name, f"{cfg.root}/staging", rules=RULES, side="active")
     raw = _raw_events(spark, sf_dir)
-    for batch_id in (0, 1, 2, 3, 2):
+    for batch_id in (0, 1, 2, 3, 2, 4):
         write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
     return plain(tables.read_table(spark, name))
 
 
+@query
+def gold_batches_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches of one table, the second with a column more."""
+    cfg = _lake(spark, "gold_columns")
+    name, flights = cfg.table_name("gold", stream=True), _flights(spark, sf_dir)
+    tables.write_batch(flights.where("analisis_mes <= 6").select("id_vuelo"), name, 0)
+    tables.write_batch(flights.where("analisis_mes > 6").select("id_vuelo", "info_aerolinea"), name, 1)
+    stored = tables.read_table(spark, name).groupBy("batch_id")
+    return plain(stored.agg(F.count("*").alias("vuelos"), F.count("info_aerolinea").alias("con_aerolinea")))
+
+
 @query
 def stream_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows a preview of 20 shows, and how many of them are events."""
@@ -516,6 +528,15 @@ def batch_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(tables.read_table(spark, cfg.table_name("gold")))
 
 
+@query
+def airline_month_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The roll-up by airline as the batch chain stores it."""
+    cfg = _lake(spark, "airlines")
+    tables.overwrite_table(_flights(spark, sf_dir), cfg.table_name("silver"))
+    batch.load(spark, cfg)
+    return plain(tables.read_table(spark, cfg.table_name("gold", table=batch.AIRLINE_TABLE)))
+
+
 @query
 def silver_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver stored by year and month, read back through the dashboard filter
@@ -538,11 +559,17 @@ def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.overwrite_table(flights.select("id_vuelo"), gone)
     batch.teardown(spark, cfg, tables_to_drop=[gone], paths=[cfg.location("exploratory")])
     tables.drop_schema(spark, cfg.schema("exploratory"), confirm=cfg.schema("exploratory"))
+    schema_left = spark.catalog.databaseExists(cfg.schema("exploratory"))
+    paths_left = tables.delete_paths(spark, [cfg.location("exploratory")], root=cfg.root)
+    place = spark.sql(f"DESCRIBE EXTENDED {kept}").where("col_name = 'Location'").first()[1]
     return (
         tables.read_table(spark, kept)
         .groupBy("info_aerolinea")
         .agg(F.count("*").alias("vuelos"), F.sum("capacidad_pasajeros").alias("capacidad"))
         .withColumn("borrador_existe", F.lit(spark.catalog.tableExists(gone)))
+        .withColumn("esquema_existe", F.lit(schema_left))
+        .withColumn("carpetas_quedan", F.lit(len(paths_left)))
+        .withColumn("en_su_carpeta", F.lit(cfg.location("bronze") in place))
     )
 
 

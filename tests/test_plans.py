@@ -1,5 +1,6 @@
 """Shape of the physical plans the jobs rely on."""
 
+import datetime as dt
 import re
 
 import pytest
@@ -77,3 +78,14 @@ def test_large_states_are_not_broadcast(stored, parsed, tmp_path, conf):
     for df in (enrich.flights_with_state(stored, latest), enrich.active_with_history(stored, latest)):
         text = plan(df)
         assert "SortMergeJoin" in text and "Broadcast" not in text and "Cartesian" not in text
+
+
+def test_dates_alone_skip_partitions(spark, lake):
+    name = lake.table_name("silver")
+    tables.overwrite_table(
+        silver_flights(bronze(spark, {})), name, partition_by=["analisis_anio", "analisis_mes"]
+    )
+    days = bi.BiFilter(date_from=dt.date(2025, 2, 1), date_to=dt.date(2025, 4, 30))
+    text = plan(bi.passengers_by_month(tables.read_table(spark, name), days))
+    filters = text[text.index("PartitionFilters: ["):].split("]")[0]
+    assert "analisis_anio" in filters and "analisis_mes" in filters
