@@ -20,6 +20,9 @@ from skyledger.sources.tables import delete_paths, settle
 #: Words a WordHashes table remembers before it starts anew.
 KNOWN_WORDS = 1 << 19
 
+#: Rows of an Arrow batch whose texts are Python objects at the same time.
+ROWS_AT_ONCE = 1024
+
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -90,6 +93,12 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.md5(text.cast("binary")))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 def row_pass(
     df: DataFrame,
     schema: str,
@@ -116,11 +125,10 @@ def row_pass(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
-            if batch.num_rows:
-                columns = work(batch)
-                if columns is not None:
-                    yield shaped(columns, batch)
+        for batch in _slices(batches):
+            columns = work(batch)
+            if columns is not None:
+                yield shaped(columns, batch)
         if finish is not None:
             columns = finish(work)
             if columns is not None:
@@ -134,9 +142,8 @@ def row_filter(df: DataFrame, start: Callable[[], Callable[[pa.RecordBatch], lis
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(work(batch), pa.bool_()))
+        for batch in _slices(batches):
+            yield batch.filter(pa.array(work(batch), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
 
