@@ -27,8 +27,9 @@ def _source(spark: SparkSession, args: argparse.Namespace):
     )
 
 
-def _follow_bronze(spark: SparkSession, cfg: LakeConfig):
-    return streams.follow_table(stream_session(spark), cfg.table_name("bronze", stream=True))
+def _follow_bronze(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace):
+    bronze = cfg.table_name("bronze", stream=True)
+    return streams.follow_table(stream_session(spark), bronze, **_options(args.follow))
 
 
 def setup(spark, cfg, args):
@@ -51,13 +52,13 @@ def run_silver(spark, cfg, args):
     target = cfg.table_name("silver", stream=True)
     checkpoint = cfg.checkpoint("silver")
     jobs.start_silver(
-        _follow_bronze(spark, cfg), target, checkpoint, fmt=cfg.table_format, every=args.every
+        _follow_bronze(spark, cfg, args), target, checkpoint, fmt=cfg.table_format, every=args.every
     ).awaitTermination()
 
 
 def run_gold(spark, cfg, args):
     jobs.start_gold(
-        _follow_bronze(spark, cfg),
+        _follow_bronze(spark, cfg, args),
         cfg.table_name("silver"),
         cfg.table_name("gold", stream=True),
         cfg.checkpoint("gold"),
@@ -70,7 +71,7 @@ def run_gold(spark, cfg, args):
 
 def run_current(spark, cfg, args):
     jobs.start_current(
-        _follow_bronze(spark, cfg),
+        _follow_bronze(spark, cfg, args),
         cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE),
         cfg.checkpoint("current"),
         stateful=args.stateful,
@@ -83,7 +84,7 @@ def run_rejects(spark, cfg, args):
     target = cfg.table_name("silver", stream=True, table=jobs.REJECTS_TABLE)
     checkpoint = cfg.checkpoint("rejects")
     jobs.start_rejects(
-        _follow_bronze(spark, cfg), target, checkpoint, fmt=cfg.table_format, every=args.every
+        _follow_bronze(spark, cfg, args), target, checkpoint, fmt=cfg.table_format, every=args.every
     ).awaitTermination()
 
 
@@ -100,6 +101,12 @@ def run_stream(spark, cfg, args):
         query.awaitTermination()
 
 
+def run_summary(spark, cfg, args):
+    gold = cfg.table_name("gold", stream=True)
+    summary = cfg.table_name("gold", stream=True, table=jobs.SUMMARY_TABLE)
+    jobs.store_summary(spark, gold, summary, cfg.table_format)
+
+
 def run_compact(spark, cfg, args):
     name = cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
     print("merged into batch", jobs.compact_current(spark, name, cfg.table_format))
@@ -142,22 +149,24 @@ def parser() -> argparse.ArgumentParser:
     job("setup", setup, "create the schemas")
     job("batch", run_batch, "CSV to bronze, silver and gold").add_argument("csv")
     bronze = stream("bronze", run_bronze, "event source to streaming bronze")
-    stream("silver", run_silver, "streaming bronze to parsed events")
-    stream("rejects", run_rejects, "streaming bronze to unreadable events")
+    silver = stream("silver", run_silver, "streaming bronze to parsed events")
+    rejects = stream("rejects", run_rejects, "streaming bronze to unreadable events")
     gold = stream("gold", run_gold, "streaming bronze to joined states")
     everything = stream("stream", run_stream, "all streaming jobs in one application")
-    everything.add_argument(
-        "--follow", action="append", default=[], metavar="KEY=VALUE",
-        help="reading option of the jobs behind bronze",
-    )
     for one in (bronze, everything):
         one.add_argument("--format", default="parquet")
         one.add_argument("--path")
         one.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     for one in (gold, everything):
-        one.add_argument("--side", choices=sorted(jobs.SIDES), default="history")
+        one.add_argument("--side", choices=sorted(jobs.SIDES), default="active")
     current = stream("current", run_current, "streaming bronze to the current-state log")
+    for one in (silver, rejects, gold, current, everything):
+        one.add_argument(
+            "--follow", action="append", default=[], metavar="KEY=VALUE",
+            help="reading option of the jobs behind bronze, such as maxFilesPerTrigger=N",
+        )
     current.add_argument("--stateful", action="store_true")
+    job("summary", run_summary, "store the dashboard's summary of the joined states")
     job("compact", run_compact, "merge the current-state log")
     flights = job("make-flights", run_flights, "write generated flights")
     flights.add_argument("csv")

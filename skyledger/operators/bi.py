@@ -62,8 +62,8 @@ ROWS = "registros"
 def summarise(df: DataFrame) -> DataFrame:
     """One row per flight id and date, enough for every query below.
 
-    All of them take the full table or this summary and give the same answer.
-    Stored after each load, it spares the dashboard six scans of the full table
+    All of them take the full table, or this summary with ``summary=True``, and
+    give the same answer. Stored after each load, it spares the dashboard six scans of the full table
     per refresh, and it does not grow with rows appended for known flights.
     """
     return df.groupBy(DATE, YEAR, MONTH, "id_vuelo").agg(
@@ -72,16 +72,18 @@ def summarise(df: DataFrame) -> DataFrame:
     )
 
 
-def _count(df: DataFrame, condition: Column | None = None) -> Column:
+def _count(summary: bool, condition: Column | None = None) -> Column:
     """Rows of the full table, of those that meet ``condition`` if given."""
-    if ROWS in df.columns:
+    if summary:
         weight = F.col(ROWS) if condition is None else F.when(condition, F.col(ROWS))
         return F.coalesce(F.sum(weight), F.lit(0))
     return F.count("*") if condition is None else F.count_if(condition)
 
 
-def total_flights(df: DataFrame, filters: BiFilter = NO_FILTER) -> DataFrame:
-    return filters.apply(df).agg(_count(df).alias("total_vuelos"))
+def total_flights(
+    df: DataFrame, filters: BiFilter = NO_FILTER, *, summary: bool = False
+) -> DataFrame:
+    return filters.apply(df).agg(_count(summary).alias("total_vuelos"))
 
 
 def passengers_by_month(df: DataFrame, filters: BiFilter = NO_FILTER) -> DataFrame:
@@ -90,31 +92,37 @@ def passengers_by_month(df: DataFrame, filters: BiFilter = NO_FILTER) -> DataFra
     )
 
 
-def flights_by_month(df: DataFrame, filters: BiFilter = NO_FILTER) -> DataFrame:
+def flights_by_month(
+    df: DataFrame, filters: BiFilter = NO_FILTER, *, summary: bool = False
+) -> DataFrame:
     """Rows and distinct flight ids per month."""
     return filters.apply(df).groupBy(MONTH).agg(
-        _count(df).alias("registros"),
+        _count(summary).alias("registros"),
         F.count_distinct("id_vuelo").alias("vuelos_distintos"),
     )
 
 
-def filter_options(df: DataFrame, column: str, filters: BiFilter = NO_FILTER) -> DataFrame:
+def filter_options(
+    df: DataFrame, column: str, filters: BiFilter = NO_FILTER, *, summary: bool = False
+) -> DataFrame:
     """Each value of a filter's column, with the rows that pass the other
     filters. A value that has none stays in the list, with 0."""
     passes = F.lit(True)
     for name, condition in filters.by_column().items():
         if name != column:
             passes = passes & condition
-    return df.groupBy(column).agg(_count(df, passes).alias("asociados"))
+    return df.groupBy(column).agg(_count(summary, passes).alias("asociados"))
 
 
-def dashboard(df: DataFrame, filters: BiFilter = NO_FILTER) -> dict[str, DataFrame]:
+def dashboard(
+    df: DataFrame, filters: BiFilter = NO_FILTER, *, summary: bool = False
+) -> dict[str, DataFrame]:
     """Every query of the dashboard, by the name of its widget."""
     return {
-        "total_vuelos": total_flights(df, filters),
+        "total_vuelos": total_flights(df, filters, summary=summary),
         "pasajeros_por_mes": passengers_by_month(df, filters),
-        "vuelos_por_mes": flights_by_month(df, filters),
-        "opciones_fecha": filter_options(df, DATE, filters),
-        "opciones_anio": filter_options(df, YEAR, filters),
-        "opciones_mes": filter_options(df, MONTH, filters),
+        "vuelos_por_mes": flights_by_month(df, filters, summary=summary),
+        "opciones_fecha": filter_options(df, DATE, filters, summary=summary),
+        "opciones_anio": filter_options(df, YEAR, filters, summary=summary),
+        "opciones_mes": filter_options(df, MONTH, filters, summary=summary),
     }

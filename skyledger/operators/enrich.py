@@ -13,16 +13,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators.skew import HeavyKeys, aqe_splits_skew, heavy_keys, replicate, scatter
+from skyledger.operators.skew import (
+    HeavyKeys,
+    aqe_splits_skew,
+    broadcast_by_size,
+    heavy_keys,
+    replicate,
+    scatter,
+)
 from skyledger.schemas import TRACKING_KEY
+from skyledger.sources.tables import settle
 
 FLIGHT = "id_vuelo"
 _SALT, _SALT_R = "_salt", "_salt_r"
 
 
-def skew_plan(history: DataFrame) -> HeavyKeys | None:
-    """Heavy flight ids when nothing else would split them, else None."""
-    if aqe_splits_skew(history.sparkSession):
+def skew_plan(history: DataFrame, latest: DataFrame) -> HeavyKeys | None:
+    """Heavy flight ids when the history will be shuffled and nothing else would
+    split them, else None. The history is scanned for them in that case only."""
+    if aqe_splits_skew(history.sparkSession) or broadcast_by_size(latest):
         return None
     return heavy_keys(history, FLIGHT)
 
@@ -31,7 +40,8 @@ def _join(history: DataFrame, latest: DataFrame, how: str, heavy: HeavyKeys | No
     if not heavy:
         return history.join(latest, history[FLIGHT] == latest[TRACKING_KEY], how)
     left = scatter(history, FLIGHT, heavy, _SALT)
-    right = replicate(latest, TRACKING_KEY, heavy, _SALT_R)
+    # Salt is for a shuffled join; copies of the states are not to be broadcast.
+    right = replicate(latest, TRACKING_KEY, heavy, _SALT_R).hint("merge")
     same = (left[FLIGHT] == right[TRACKING_KEY]) & (left[_SALT] == right[_SALT_R])
     return left.join(right, same, how).drop(_SALT, _SALT_R)
 
@@ -44,7 +54,10 @@ def flights_with_state(
 
 
 def active_with_history(
-    history: DataFrame, latest: DataFrame, heavy: HeavyKeys | None = None
+    history: DataFrame,
+    latest: DataFrame,
+    heavy: HeavyKeys | None = None,
+    staging: str | None = None,
 ) -> DataFrame:
     """Every tracked flight, with each of its historical rows where there are any;
     a flight without history keeps its id.
@@ -52,17 +65,24 @@ def active_with_history(
     Written as an inner join plus the tracked flights without history. A left
     join from ``latest`` would have to shuffle the whole history (its right
     side) and could not split a heavy flight there; the inner join can
-    broadcast ``latest`` and can split either side. The second scan of the
-    history reads the id column only, reduced to distinct ids in each task; a
-    ``latest`` small enough to broadcast is moved below that by the optimizer.
+    broadcast ``latest`` and can split either side.
+
+    With ``staging`` the matched rows are settled there and say which flights
+    have history, so the history is scanned once. Without it, a second scan
+    reads the id column only, reduced to distinct ids in each task; a ``latest``
+    small enough to broadcast is moved below that by the optimizer.
     """
     matched = _join(history, latest, "inner", heavy)
-    ids = latest.select(F.col(TRACKING_KEY).alias("_id"))
-    known = (
-        history.select(FLIGHT)
-        .distinct()
-        .join(ids, F.col(FLIGHT) == F.col("_id"), "left_semi")
-    )
+    if staging:
+        matched = settle(matched, staging)
+        known = matched.select(FLIGHT).distinct()
+    else:
+        ids = latest.select(F.col(TRACKING_KEY).alias("_id"))
+        known = (
+            history.select(FLIGHT)
+            .distinct()
+            .join(ids, F.col(FLIGHT) == F.col("_id"), "left_semi")
+        )
     unmatched = latest.join(known, F.col(TRACKING_KEY) == F.col(FLIGHT), "left_anti")
     return matched.drop(TRACKING_KEY).unionByName(
         unmatched.withColumnRenamed(TRACKING_KEY, FLIGHT), allowMissingColumns=True

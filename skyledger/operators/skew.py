@@ -6,6 +6,7 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +33,16 @@ class HeavyKeys:
         return bool(self.parts) or self.null_parts > 1
 
     def parts_of(self, key: Column) -> Column:
+        """Number of parts of a row's key. Any other key costs one look into a hash
+        set; heavy ones are told apart by their number of parts."""
+        by_count: dict[int, list[str]] = {}
+        for value, count in self.parts.items():
+            by_count.setdefault(count, []).append(value)
         listed = F.lit(1)
-        if self.parts:
-            table = F.create_map(*(F.lit(x) for item in self.parts.items() for x in item))
-            listed = F.coalesce(F.try_element_at(table, key), F.lit(1))
+        for count, values in by_count.items():
+            listed = F.when(key.isin(values), count).otherwise(listed)
+        if len(by_count) > 1:
+            listed = F.when(key.isin(list(self.parts)), listed).otherwise(1)
         return F.when(key.isNull(), F.lit(self.null_parts)).otherwise(listed)
 
 
@@ -47,6 +54,13 @@ def aqe_splits_skew(spark: SparkSession) -> bool:
     )
 
 
+def broadcast_by_size(df: DataFrame) -> bool:
+    """Whether Spark's own size check will broadcast this side of a join."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= limit
+
+
 def heavy_keys(
     df: DataFrame, key: str, *, share: float | None = None, partitions: int | None = None
 ) -> HeavyKeys:
@@ -87,11 +101,17 @@ def scatter(df: DataFrame, key: str, heavy: HeavyKeys, salt: str) -> DataFrame:
     """Salt for the side that is split: a row of a heavy key gets one of its
     parts, any other row part 0.
 
-    The part is a hash of the whole row, so a task that runs again after an
-    executor is lost assigns the same one.
+    The part is a hash of the row's place in its file, so equal rows are spread
+    too, and a task that runs again after an executor is lost assigns the same
+    one. A frame that is not read from Parquet files has no such place; there it
+    is a hash of the whole row, which leaves equal rows together.
     """
-    part = F.pmod(F.xxhash64(*df.columns), heavy.parts_of(F.col(key))).cast("int")
-    return df.withColumn(salt, part)
+    parts = heavy.parts_of(F.col(key))
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    try:
+        return df.withColumn(salt, F.pmod(place, parts).cast("int"))
+    except AnalysisException:
+        return df.withColumn(salt, F.pmod(F.xxhash64(*df.columns), parts).cast("int"))
 
 
 def replicate(df: DataFrame, key: str, heavy: HeavyKeys, salt: str) -> DataFrame:

@@ -73,8 +73,8 @@ def latest_by_max(events: DataFrame, key: str = KEY, time: str = TIME) -> DataFr
     """The newest row of each key, as an aggregate.
 
     ``max`` over a struct compares its fields in turn, NULL lowest: the order
-    ``latest_per_key`` sorts by, hence the same rows. It sorts by key only, and
-    it merges, so it also works on a stream.
+    ``latest_per_key`` sorts by, hence the same rows. It merges, so it also works
+    on a stream; on a batch ``latest_per_key`` is faster.
     """
     newest = F.max(F.struct(*newest_first(events.columns, time, key))).alias("newest")
     return events.groupBy(key).agg(newest).select(key, "newest.*").select(*events.columns)
@@ -112,7 +112,7 @@ def tracking_view(events: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def latest_state(
     events: DataFrame,
     rules: Rules = Rules(),
-    pick: Callable[[DataFrame], DataFrame] = latest_by_max,
+    pick: Callable[[DataFrame], DataFrame] = latest_per_key,
 ) -> DataFrame:
     """Latest state per flight.
 

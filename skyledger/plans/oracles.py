@@ -583,3 +583,8 @@ FROM states""",
 
 # The stored table has the rows of the frame it is made from.
 ORACLES["airline_month_table"] = ORACLES["gold_airline_month"]
+# Four batches that each wrote all flights show every flight once, with its state.
+ORACLES["gold_current"] = _JOINED
+ORACLES["bi_total_gold"] = ORACLES["bi_total"]
+ORACLES["bi_passengers_month_gold"] = ORACLES["bi_passengers_month"]
+ORACLES["bi_filter_options_gold"] = ORACLES["bi_filter_options_month"]

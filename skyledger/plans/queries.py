@@ -250,13 +250,13 @@ def high_delay_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By ``row_number``."""
+    """By ``row_number``, the form the joins and batches use."""
     return plain(tk.latest_state(_events(spark, sf_dir), RULES, tk.latest_per_key))
 
 
 @query
 def latest_state_by_max(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By aggregate, the form the joins and streams use."""
+    """By aggregate, the form a stream with state needs."""
     return plain(tk.latest_state(_events(spark, sf_dir), RULES, tk.latest_by_max))
 
 
@@ -270,7 +270,7 @@ def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def latest_state_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = _flights(spark, sf_dir)
     latest = _latest(spark, sf_dir)
-    return plain(enrich.flights_with_state(flights, latest, enrich.skew_plan(flights)))
+    return plain(enrich.flights_with_state(flights, latest, enrich.skew_plan(flights, latest)))
 
 
 def _uneven_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,7 +299,9 @@ def active_enriched_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def active_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = _flights(spark, sf_dir)
     latest = _latest(spark, sf_dir)
-    return plain(enrich.active_with_history(flights, latest, enrich.skew_plan(flights)))
+    heavy = enrich.skew_plan(flights, latest)
+    matched = shared_scratch(spark, "matched")
+    return plain(enrich.active_with_history(flights, latest, heavy, matched))
 
 
 # Dashboard
@@ -308,8 +310,8 @@ def active_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def bi_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``SELECT *`` over the flights with state, as the dashboard's dataset."""
-    flights = _flights(spark, sf_dir)
-    joined = enrich.flights_with_state(flights, _latest(spark, sf_dir), enrich.skew_plan(flights))
+    flights, latest = _flights(spark, sf_dir), _latest(spark, sf_dir)
+    joined = enrich.flights_with_state(flights, latest, enrich.skew_plan(flights, latest))
     joined.createOrReplaceTempView("vuelos")
     return plain(tables.read_table(spark, "vuelos"))
 
@@ -358,7 +360,7 @@ def bi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bi_flights_month_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``bi_flights_month`` from a stored summary."""
     summary = tables.settle(bi.summarise(_flights(spark, sf_dir)), shared_scratch(spark, "summary"))
-    return bi.flights_by_month(summary, SALES_WINDOW)
+    return bi.flights_by_month(summary, SALES_WINDOW, summary=True)
 
 
 # Streams: the whole events table arrives as files, in about four batches
@@ -455,6 +457,44 @@ def gold_batches_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(tables.read_table(spark, name))
 
 
+def _gold_by_hub(spark: SparkSession, sf_dir: str) -> str:
+    """The joined table after four batches, each of which wrote every flight."""
+    cfg = _lake(spark, "gold_by_hub")
+    history, name = cfg.table_name("silver"), cfg.table_name("gold", stream=True)
+    tables.overwrite_table(_flights(spark, sf_dir), history)
+    write = jobs.gold_batch_writer(history, name, f"{cfg.root}/staging", rules=RULES, side="history")
+    raw = _raw_events(spark, sf_dir)
+    for batch_id in range(4):
+        write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
+    return name
+
+
+@query
+def gold_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current rows of the stored joined table, each flight once."""
+    return plain(jobs.read_gold(spark, _gold_by_hub(spark, sf_dir)))
+
+
+@query
+def bi_total_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bi.total_flights(jobs.read_gold(spark, _gold_by_hub(spark, sf_dir)))
+
+
+@query
+def bi_passengers_month_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bi.passengers_by_month(jobs.read_gold(spark, _gold_by_hub(spark, sf_dir)))
+
+
+@query
+def bi_filter_options_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the summary that is stored of the joined table."""
+    gold_table = _gold_by_hub(spark, sf_dir)
+    summary = f"{gold_table.rsplit('.', 1)[0]}.{jobs.SUMMARY_TABLE}"
+    jobs.store_summary(spark, gold_table, summary)
+    stored = tables.read_table(spark, summary)
+    return bi.filter_options(stored, bi.MONTH, MONTHS_PICKED, summary=True)
+
+
 @query
 def gold_batches_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of one table, the second with a column more."""
@@ -514,7 +554,8 @@ def operational_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, cfg = _current_stream(spark, sf_dir, stateful=False)
     current = tables.settle(jobs.read_current(spark, name, RULES), f"{cfg.root}/current")
     flights = _flights(spark, sf_dir)
-    return plain(enrich.active_with_history(flights, current, enrich.skew_plan(flights)))
+    heavy = enrich.skew_plan(flights, current)
+    return plain(enrich.active_with_history(flights, current, heavy, f"{cfg.root}/matched"))
 
 
 # Tables, the batch chain, generated inputs

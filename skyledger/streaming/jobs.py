@@ -7,6 +7,7 @@ is available and ends; with one (``"30 seconds"``) it runs until stopped.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from skyledger.config import LakeConfig, Rules
-from skyledger.operators import enrich
+from skyledger.operators import bi, enrich
 from skyledger.operators import tracking as tk
 from skyledger.schemas import TRACKING_EVENT
 from skyledger.sources import tables
@@ -88,6 +89,8 @@ def gold_batch_writer(
     writes those alone.
     """
     combine = SIDES[side]
+    if side == "active":
+        combine = partial(combine, staging=f"{staging}_matched")
 
     def write(events: DataFrame, batch_id: int) -> None:
         if events.isEmpty():
@@ -96,7 +99,7 @@ def gold_batch_writer(
         spark.catalog.refreshTable(history)
         flights = spark.table(history)
         latest = tables.settle(tk.latest_state(events, rules), staging)
-        joined = combine(flights, latest, enrich.skew_plan(flights))
+        joined = combine(flights, latest, enrich.skew_plan(flights, latest))
         tables.write_batch(joined, table, batch_id, fmt)
 
     return write
@@ -128,7 +131,7 @@ def start_current(
     table: str,
     checkpoint: str,
     *,
-    stateful: bool = True,
+    stateful: bool = False,
     fmt: str = "parquet",
     every: str | None = None,
 ) -> StreamingQuery:
@@ -143,7 +146,7 @@ def start_current(
     events = tk.clean_events(tk.parse_events(bronze))
 
     def write(rows: DataFrame, batch_id: int) -> None:
-        newest = rows if stateful else tk.latest_by_max(rows)
+        newest = rows if stateful else tk.latest_per_key(rows)
         tables.write_batch(newest, table, batch_id, fmt)
 
     return _start_batches(tk.latest_by_max(events) if stateful else events, write, checkpoint, every)
@@ -158,7 +161,7 @@ def start_all(
     cfg: LakeConfig,
     events: DataFrame,
     *,
-    side: str = "history",
+    side: str = "active",
     every: str | None = None,
     follow: Mapping[str, str] | None = None,
 ) -> list[StreamingQuery]:
@@ -208,7 +211,31 @@ def read_current(spark: SparkSession, table: str, rules: Rules = Rules()) -> Dat
     batches and compacted copies cannot change the answer.
     """
     log = spark.table(table).select(*TRACKING_EVENT.fieldNames())
-    return log.transform(tk.latest_by_max).transform(tk.tracking_view, rules)
+    return log.transform(tk.latest_per_key).transform(tk.tracking_view, rules)
+
+
+def read_gold(spark: SparkSession, table: str) -> DataFrame:
+    """Current rows of the batch-wise joined table, as the dashboard reads them.
+
+    Every batch adds rows for the flights it touched (with ``side="history"``, for
+    all flights). Of each flight id, the rows of one batch are current: the one
+    with the newest event, the last one where events are equally new or missing.
+    Which one it is takes three columns and one row per id and task in the shuffle.
+    """
+    stored = spark.table(table)
+    age = F.struct(F.col("tracking_timestamp_evento").alias("t"), F.col(tables.BATCH_ID).alias("b"))
+    current = stored.groupBy(F.col(enrich.FLIGHT).alias("_id")).agg(F.max(age)["b"].alias("_b"))
+    same = stored[enrich.FLIGHT].eqNullSafe(F.col("_id")) & (stored[tables.BATCH_ID] == F.col("_b"))
+    return stored.join(current, same, "left_semi").drop(tables.BATCH_ID)
+
+
+#: Table with the dashboard's summary of the joined table.
+SUMMARY_TABLE = "resumen_tablero"
+
+
+def store_summary(spark: SparkSession, table: str, summary: str, fmt: str = "parquet") -> None:
+    """Stores what the dashboard needs of the joined table, one row per flight and date."""
+    tables.overwrite_table(bi.summarise(read_gold(spark, table)), summary, fmt)
 
 
 def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> int | None:
@@ -223,7 +250,7 @@ def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> in
     if len(merged) < 2:
         return None
     log = spark.table(table).where(F.col(tables.BATCH_ID).isin(merged))
-    newest = log.select(*TRACKING_EVENT.fieldNames()).transform(tk.latest_by_max)
+    newest = log.select(*TRACKING_EVENT.fieldNames()).transform(tk.latest_per_key)
     target = min(merged[0], 0) - 1
     newest.withColumn(tables.BATCH_ID, F.lit(target).cast("bigint")).select(
         *spark.table(table).columns
@@ -233,6 +260,14 @@ def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> in
 
 
 def preview(stream: DataFrame, view: str, rows: int = 20) -> StreamingQuery:
-    """The first ``rows`` rows of a stream in a temp view, for a look at it."""
+    """The first ``rows`` rows of a stream in a temp view, for a look at it.
+
+    Stops as soon as the view is full, so what is read beyond that is the batch
+    under way; ``maxFilesPerTrigger`` of the source bounds a batch.
+    """
     writer = stream.limit(rows).writeStream.format("memory").queryName(view).outputMode("append")
-    return writer.trigger(availableNow=True).start()
+    query = writer.trigger(availableNow=True).start()
+    while not query.awaitTermination(0.2):
+        if stream.sparkSession.table(view).count() >= rows:
+            query.stop()
+    return query

@@ -21,10 +21,11 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     run("make-events", csv, landing, "--damaged", "50")
     run("batch", csv)
     run("bronze", "--path", landing, "--option", "maxFilesPerTrigger=1")
-    run("silver")
+    run("silver", "--follow", "maxFilesPerTrigger=2")
     run("rejects")
-    run("gold", "--side", "active")
-    run("current")
+    run("gold", "--follow", "maxFilesPerTrigger=2")
+    run("current", "--follow", "maxFilesPerTrigger=2")
+    run("summary")
     run("compact")
     events = spark.table(cfg.table_name("silver", stream=True))
     flights = spark.table(cfg.table_name("silver"))
@@ -32,6 +33,8 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     assert flights.count() == 300
     assert 0 < states.count() <= events.select("ID_Vuelo").distinct().count()
     assert spark.table(cfg.table_name("gold", stream=True)).count() >= states.count()
+    summary = spark.table(cfg.table_name("gold", stream=True, table=jobs.SUMMARY_TABLE))
+    assert summary.select("id_vuelo").distinct().count() == states.count()
     run("teardown", "--table", cfg.table_name("gold"), "--path", cfg.checkpoint("gold"))
     assert not spark.catalog.tableExists(cfg.table_name("gold"))
     assert cfg.checkpoint("gold") in capsys.readouterr().out

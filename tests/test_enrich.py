@@ -1,10 +1,12 @@
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.operators import enrich
 from skyledger.operators import tracking as tk
 from skyledger.operators.silver import silver_flights
-from skyledger.operators.skew import HeavyKeys, aqe_splits_skew, heavy_keys
+from skyledger.operators.skew import HeavyKeys, aqe_splits_skew, heavy_keys, scatter
 from skyledger.schemas import TRACKING_COLUMNS
+from skyledger.sources.tables import settle
 from tests.data import bronze, events, rows
 
 
@@ -75,8 +77,6 @@ def test_the_share_that_counts_as_heavy_follows_the_partitions(spark):
 
 
 def test_salt_spreads_the_heavy_key(sides, conf):
-    from skyledger.operators.skew import scatter
-
     history, _ = sides
     salted = scatter(history, "id_vuelo", HeavyKeys({"HOT": 8}), "salt")
     by_salt = salted.where("id_vuelo = 'HOT'").groupBy("salt").count().collect()
@@ -85,10 +85,37 @@ def test_salt_spreads_the_heavy_key(sides, conf):
 
 
 def test_salt_is_used_only_without_adaptive_splitting(sides, spark, conf):
-    history, _ = sides
-    assert aqe_splits_skew(spark) and enrich.skew_plan(history) is None
+    history, latest = sides
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    assert aqe_splits_skew(spark) and enrich.skew_plan(history, latest) is None
     conf(spark__sql__adaptive__enabled="false")
-    assert "HOT" in enrich.skew_plan(history).parts
+    assert "HOT" in enrich.skew_plan(history, latest).parts
+
+
+def test_no_salt_and_no_scan_when_the_states_are_broadcast(sides, tmp_path, conf):
+    history, latest = sides
+    conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="10MB")
+    assert enrich.skew_plan(history, settle(latest, str(tmp_path / "latest"))) is None
+
+
+def test_salt_spreads_equal_rows_of_files(spark, tmp_path):
+    path = str(tmp_path / "equal")
+    spark.range(1000).selectExpr("'HOT' as id_vuelo", "1 as n").coalesce(2).write.parquet(path)
+    stored = spark.read.parquet(path).where("n = 1").withColumn("m", F.lit(2))
+    salted = scatter(stored, "id_vuelo", HeavyKeys({"HOT": 16}), "salt")
+    sizes = [r["count"] for r in salted.groupBy("salt").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * min(sizes) + 20
+    assert salted.columns == ["id_vuelo", "n", "m", "salt"]
+    assert rows(salted) == rows(scatter(stored, "id_vuelo", HeavyKeys({"HOT": 16}), "salt"))
+
+
+def test_salted_join_is_shuffled_by_key_and_salt(sides, tmp_path):
+    history, latest = sides
+    latest = settle(latest, str(tmp_path / "latest"))
+    joined = enrich.flights_with_state(history, latest, HeavyKeys({"HOT": 5}))
+    text = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+    assert "_salt" in text.split("Exchange hashpartitioning(", 1)[1].split(")")[0]
 
 
 def test_adaptive_execution_splits_a_dominating_flight(spark, conf):

@@ -9,7 +9,7 @@ from skyledger.operators import bi, enrich, gold
 from skyledger.operators import tracking as tk
 from skyledger.operators.silver import silver_flights
 from skyledger.sources import tables
-from tests.data import bodies, bronze, message
+from tests.data import bodies, bronze, message, rows
 
 
 def plan(df) -> str:
@@ -55,9 +55,9 @@ def test_events_are_parsed_once(parsed):
 
 
 def test_latest_state_is_reduced_before_the_shuffle(parsed):
-    text = plan(tk.latest_state(parsed, pick=tk.latest_per_key))
-    assert re.search(r"WindowGroupLimit.*Final(.|\n)*Exchange(.|\n)*WindowGroupLimit.*Partial", text)
     text = plan(tk.latest_state(parsed))
+    assert re.search(r"WindowGroupLimit.*Final(.|\n)*Exchange(.|\n)*WindowGroupLimit.*Partial", text)
+    text = plan(tk.latest_state(parsed, pick=tk.latest_by_max))
     assert re.search(r"max\((.|\n)*Exchange(.|\n)*partial_max\(", text)
     assert text.count("Exchange hashpartitioning") == 1
 
@@ -72,6 +72,13 @@ def test_small_states_are_broadcast_and_the_history_is_not_shuffled(stored, pars
     assert "SortMergeJoin" not in text
 
 
+def test_settled_matches_spare_the_second_scan_of_the_history(spark, stored, parsed, tmp_path):
+    latest = tables.settle(tk.latest_state(parsed), str(tmp_path / "latest"))
+    once = enrich.active_with_history(stored, latest, staging=str(tmp_path / "matched"))
+    assert not any("/silver/" in f for f in once.inputFiles())
+    assert rows(once) == rows(enrich.active_with_history(stored, latest))
+
+
 def test_large_states_are_not_broadcast(stored, parsed, tmp_path, conf):
     conf(spark__sql__autoBroadcastJoinThreshold="10")
     latest = tables.settle(tk.latest_state(parsed), str(tmp_path / "latest"))

@@ -139,7 +139,7 @@ def test_gold_without_adaptive_execution_salts_heavy_flights(spark, lake, tmp_pa
     write = jobs.gold_batch_writer(history, name, str(tmp_path / "staging"))
     write(all_events(spark), 0)
     conf(spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1")
-    assert "AA1" in enrich.skew_plan(spark.table(history)).parts
+    assert "AA1" in enrich.skew_plan(spark.table(history), tk.latest_state(all_events(spark))).parts
     write(all_events(spark), 1)
     batches = [rows(spark.table(name).where(f"batch_id = {b}").drop("batch_id")) for b in (0, 1)]
     assert batches[0] == batches[1]
@@ -155,6 +155,17 @@ def test_stream_session_takes_over_settings(spark, conf):
     assert spark.conf.get("spark.sql.shuffle.partitions") != "3"
 
 
+@pytest.mark.parametrize("side", ["history", "active"])
+def test_the_stored_gold_table_has_one_current_row_set(spark, lake, tmp_path, history, side):
+    """Also where a later batch brings an older event of a flight."""
+    name = lake.table_name("gold", stream=True)
+    write = jobs.gold_batch_writer(history, name, str(tmp_path / "staging"), side=side)
+    for batch_id, payloads in enumerate(FILES):
+        write(tk.parse_events(bodies(spark, *payloads)), batch_id)
+    expected = jobs.SIDES[side](spark.table(history), tk.latest_state(all_events(spark)))
+    assert rows(jobs.read_gold(spark, name)) == rows(expected)
+
+
 def test_gold_skips_an_empty_batch(spark, lake, tmp_path, history):
     name = lake.table_name("gold", stream=True)
     jobs.gold_batch_writer(history, name, str(tmp_path / "staging"))(all_events(spark).limit(0), 0)
@@ -246,6 +257,14 @@ def test_preview_holds_the_first_rows_only(spark, tmp_path):
     assert spark.table("look").count() == 4
 
 
+def test_preview_stops_when_it_is_full(spark, tmp_path):
+    path = land(spark, tmp_path / "in", *FILES, *(FILES[0] for _ in range(30)))
+    query = jobs.preview(source(spark, path), "short", rows=2)
+    assert not query.isActive and spark.table("short").count() == 2
+    files = sum(p["numInputRows"] for p in query.recentProgress) / 3
+    assert files < 33
+
+
 def test_file_source_has_the_event_envelope_by_default(spark, tmp_path):
     path = land(spark, tmp_path / "in", FILES[0])
     assert streams.read_events(spark, path=path).schema == EVENT_ENVELOPE
