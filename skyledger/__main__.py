@@ -118,7 +118,13 @@ def run_flights(spark, cfg, args):
 
 def run_events(spark, cfg, args):
     flights = csv_files.read_flights(spark, args.csv)
-    events = generators.events_for(flights, damaged_per_mille=args.damaged, seed=args.seed)
+    how = {"damaged_per_mille": args.damaged, "seed": args.seed}
+    if args.events is None:
+        events = generators.events_for(flights, mean=args.mean, **how)
+    else:
+        events = generators.generate_events(
+            spark, args.events, flights, heavy_per_mille=args.heavy, **how
+        )
     events.write.mode("append").parquet(args.path)
 
 
@@ -175,6 +181,9 @@ def parser() -> argparse.ArgumentParser:
     events.add_argument("csv")
     events.add_argument("path")
     events.add_argument("--damaged", type=int, default=0, help="events per thousand with a fault")
+    events.add_argument("--mean", type=int, default=2, help="mean number of events of a flight")
+    events.add_argument("--events", type=int, help="number of events, of random flights")
+    events.add_argument("--heavy", type=int, default=0, help="events per thousand of one flight")
     for one in (flights, events):
         one.add_argument("--seed", type=int, default=42)
     gone = job("teardown", run_teardown, "drop tables and delete paths below the root")

@@ -5,6 +5,8 @@ Written from the definitions, over the supplied tables only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 # The domains of the flights, as in the generators.
 _CLASSES = "['Económica', 'Negocios', 'Primera']"
 _AIRPORTS = "['SCL', 'MIA', 'JFK', 'MAD', 'BUE', 'LIM', 'FRA', 'CDG']"
@@ -335,29 +337,71 @@ generated AS (
 _FLIGHT_KEY = '"ID_Vuelo", "Fecha_Programada", "Hora_Salida_UTC"'
 
 
-def _event_draw(n: int) -> str:
+def _event_states(draw: Callable[[int], str]) -> str:
+    """Fault and state of each row of ``slots``."""
+    return f"""
+faults AS (
+  SELECT *, CASE WHEN {draw(8)} % 1000 < 40 THEN {draw(9)} % 4 ELSE -1 END AS fault
+  FROM slots
+),
+states AS (
+  SELECT *,
+    CASE WHEN fault = 3 THEN 'Retrasado' ELSE
+      ['En Vuelo', 'Aterrizado', 'Retrasado', 'Cancelado', 'Puerta Asignada']
+        [{draw(1)} % 5 + 1] END AS state
+  FROM faults
+)"""
+
+
+def _event_rows(draw: Callable[[int], str]) -> str:
+    return f"""
+SELECT
+  CASE fault WHEN 0 THEN "ID_Vuelo" || '_ERR' WHEN 1 THEN '  ' ELSE "ID_Vuelo" END AS "ID_Vuelo",
+  CASE WHEN fault <> 2 THEN
+    CAST(epoch_us(TIMESTAMP '2025-01-01') + ({draw(0)} % 31536000) * 1000000 AS DOUBLE)
+  END AS "Timestamp_Evento",
+  state AS "Estado_Actual",
+  CAST(CASE WHEN fault = 3 THEN 0 WHEN state = 'Retrasado' THEN 15 + {draw(2)} % 166
+    WHEN state = 'Cancelado' THEN 999 ELSE 0 END AS DOUBLE) AS "Retraso_Minutos",
+  ['A', 'B', 'C'][{draw(4)} % 3 + 1] || (1 + {draw(5)} % 20) AS "Puerta_Asignada",
+  'SCL->MIA' AS "Ruta_Evento",
+  CAST(CASE state WHEN 'Retrasado' THEN 2 + {draw(3)} % 2 WHEN 'Cancelado' THEN 3 ELSE 1 END
+    AS DOUBLE) AS "Nivel_Servicio",
+  CAST(CAST(CAST(500000 + {draw(6)} % 2500001 AS DOUBLE) / 100 AS FLOAT) AS DOUBLE)
+    AS "Consumo_Combustible_Litros"
+FROM states"""
+
+
+def _flight_event(n: int) -> str:
     return _draw(44, f"{_FLIGHT_KEY}, slot", n // 4, n % 4)
 
 
+def _slot_event(n: int) -> str:
+    return _draw(44, "slot", n // 4, n % 4)
+
+
 GENERATED_EVENTS = f"""{GENERATED},
 counted AS (
   SELECT {_FLIGHT_KEY}, {_draw(42, _FLIGHT_KEY, 0, 0)} % 5 AS n FROM generated
 ),
 slots AS (
   SELECT {_FLIGHT_KEY}, unnest(range(1, n + 1)) AS slot FROM counted
+),{_event_states(_flight_event)}"""
+
+COUNTED_EVENTS = f"""{GENERATED},
+known AS (
+  SELECT "ID_Vuelo", row_number() OVER (ORDER BY substr(md5("ID_Vuelo"), 1, 3), "ID_Vuelo") - 1
+    AS number
+  FROM (SELECT DISTINCT "ID_Vuelo" FROM generated)
 ),
-faults AS (
-  SELECT *,
-    CASE WHEN {_event_draw(8)} % 1000 < 40 THEN {_event_draw(9)} % 4 ELSE -1 END AS fault
-  FROM slots
+drawn_flights AS (
+  SELECT event_id AS slot, CASE WHEN {_draw(45, "event_id", 0, 0)} % 1000 < 300 THEN 0
+    ELSE {_draw(45, "event_id", 0, 1)} % (SELECT count(*) FROM known) END AS number
+  FROM events
 ),
-states AS (
-  SELECT *,
-    CASE WHEN fault = 3 THEN 'Retrasado' ELSE
-      ['En Vuelo', 'Aterrizado', 'Retrasado', 'Cancelado', 'Puerta Asignada']
-        [{_event_draw(1)} % 5 + 1] END AS state
-  FROM faults
-)"""
+slots AS (
+  SELECT slot, "ID_Vuelo" FROM drawn_flights JOIN known USING (number)
+),{_event_states(_slot_event)}"""
 
 ORACLES: dict[str, str] = {
     "rename_project": f"WITH {BRONZE} "
@@ -563,22 +607,8 @@ FROM silver WHERE analisis_mes IS NOT NULL GROUP BY 1""",
     + _plain(
         "generated", numbers='"Distancia_KM" "Capacidad_Pasajeros" "Pasajeros_Reservados"'
     ),
-    "generate_events": f"""WITH {GENERATED_EVENTS}
-SELECT
-  CASE fault WHEN 0 THEN "ID_Vuelo" || '_ERR' WHEN 1 THEN '  ' ELSE "ID_Vuelo" END AS "ID_Vuelo",
-  CASE WHEN fault <> 2 THEN
-    CAST(epoch_us(TIMESTAMP '2025-01-01') + ({_event_draw(0)} % 31536000) * 1000000 AS DOUBLE)
-  END AS "Timestamp_Evento",
-  state AS "Estado_Actual",
-  CAST(CASE WHEN fault = 3 THEN 0 WHEN state = 'Retrasado' THEN 15 + {_event_draw(2)} % 166
-    WHEN state = 'Cancelado' THEN 999 ELSE 0 END AS DOUBLE) AS "Retraso_Minutos",
-  ['A', 'B', 'C'][{_event_draw(4)} % 3 + 1] || (1 + {_event_draw(5)} % 20) AS "Puerta_Asignada",
-  'SCL->MIA' AS "Ruta_Evento",
-  CAST(CASE state WHEN 'Retrasado' THEN 2 + {_event_draw(3)} % 2 WHEN 'Cancelado' THEN 3 ELSE 1 END
-    AS DOUBLE) AS "Nivel_Servicio",
-  CAST(CAST(CAST(500000 + {_event_draw(6)} % 2500001 AS DOUBLE) / 100 AS FLOAT) AS DOUBLE)
-    AS "Consumo_Combustible_Litros"
-FROM states""",
+    "generate_events": f"WITH {GENERATED_EVENTS}{_event_rows(_flight_event)}",
+    "generate_events_count": f"WITH {COUNTED_EVENTS}{_event_rows(_slot_event)}",
 }
 
 # The stored table has the rows of the frame it is made from.

@@ -628,3 +628,15 @@ def generate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     flights = generators.flights_for(orders, "o_orderkey")
     return plain(tk.parse_events(generators.events_for(flights, damaged_per_mille=40)))
+
+
+@query
+def generate_events_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event of those flights for each row of ``events``, 30 % of them of one flight."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    flights = generators.flights_for(orders, "o_orderkey")
+    slots = table(spark, sf_dir, "events").select("event_id")
+    bodies = generators.one_event_each(
+        slots, "event_id", flights, heavy_per_mille=300, damaged_per_mille=40
+    )
+    return plain(tk.parse_events(bodies))

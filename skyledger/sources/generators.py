@@ -10,7 +10,7 @@ import datetime as dt
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyledger.schemas import CSV_ORDER
@@ -132,7 +132,66 @@ def events_for(
     count = draws(seed, *(F.col(c) for c in key), groups=1)[0] % (2 * mean + 1)
     numbers = F.when(count > 0, F.sequence(F.lit(1), count.cast("int")))
     events = flights.select(*key, F.explode(numbers).alias("slot"))
-    d = draws(seed + 2, *(F.col(c) for c in key), F.col("slot"), groups=3)
+    return _bodies(events, [*key, "slot"], damaged_per_mille, start, span_seconds, seed)
+
+
+def numbered(df: DataFrame, key: str) -> tuple[DataFrame, int]:
+    """The distinct values of a text column with a gapless ``number`` from 0, and how
+    many they are. Numbers are given out within 4,096 groups by digest, each of which
+    starts where the one before ends, so no task sorts all values."""
+    values = df.select(key).where(F.col(key).isNotNull()).distinct()
+    values = values.withColumn("_group", F.substring(F.md5(F.col(key)), 1, 3))
+    sizes = values.groupBy("_group").agg(F.count("*").alias("_size"))
+    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_group", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_group").orderBy(key)) - 1
+    rows = (
+        values.withColumn("_place", place)
+        .join(F.broadcast(starts), "_group")
+        .select(key, (F.col("_start") + F.col("_place")).alias("number"))
+    )
+    return rows, sizes.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+
+
+def one_event_each(
+    slots: DataFrame,
+    slot: str,
+    flights: DataFrame,
+    *,
+    heavy_per_mille: int = 0,
+    damaged_per_mille: int = 0,
+    start: dt.datetime = dt.datetime(2025, 1, 1),
+    span_seconds: int = 365 * 86400,
+    seed: int = 42,
+) -> DataFrame:
+    """One event of a random known flight for each row of ``slots``; none without flights.
+
+    ``heavy_per_mille`` of the events are of one flight, for trials with an uneven
+    key. A flight is drawn by its number, so the flights are joined once, broadcast
+    if they are small and otherwise as an equi-join that adaptive execution splits.
+    """
+    known, size = numbered(flights, "ID_Vuelo")
+    choice = draws(seed + 3, F.col(slot), groups=1)
+    drawn = F.when(choice[0] % 1000 < heavy_per_mille, 0).otherwise(choice[1] % max(size, 1))
+    events = slots.select(F.col(slot).alias("slot"), drawn.alias("number")).join(known, "number")
+    return _bodies(events, ["slot"], damaged_per_mille, start, span_seconds, seed)
+
+
+def generate_events(spark: SparkSession, n: int, flights: DataFrame, **how) -> DataFrame:
+    """``n`` events of random flights; see ``one_event_each``."""
+    return one_event_each(spark.range(n), "id", flights, **how)
+
+
+def _bodies(
+    events: DataFrame,
+    key: Sequence[str],
+    damaged_per_mille: int,
+    start: dt.datetime,
+    span_seconds: int,
+    seed: int,
+) -> DataFrame:
+    """The JSON of one event for each row, which ``key`` tells from all others."""
+    d = draws(seed + 2, *(F.col(c) for c in key), groups=3)
     fault = F.when(d[8] % 1000 < damaged_per_mille, d[9] % 4).otherwise(F.lit(-1))
     moment = F.lit(start).cast("timestamp_ntz") + F.make_dt_interval(secs=d[0] % span_seconds)
     drawn = events.select(

@@ -19,6 +19,9 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     run("setup")
     run("make-flights", csv, "--rows", "300")
     run("make-events", csv, landing, "--damaged", "50")
+    landed = spark.read.parquet(landing).count()
+    run("make-events", csv, landing, "--events", "70", "--heavy", "500")
+    assert spark.read.parquet(landing).count() == landed + 70
     run("batch", csv)
     run("bronze", "--path", landing, "--option", "maxFilesPerTrigger=1")
     run("silver", "--follow", "maxFilesPerTrigger=2")

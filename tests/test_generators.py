@@ -73,3 +73,20 @@ def test_damaged_events_are_a_share_of_all(spark):
     dropped = n - tk.clean_events(events).count()
     assert 0.05 * n < dropped < 0.1 * n
     assert events.where("Estado_Actual = 'Retrasado' and Retraso_Minutos = 0").count() > 0
+
+
+def test_a_number_of_events_of_known_flights(spark):
+    flights = g.generate_flights(spark, 300)
+    events = tk.parse_events(g.generate_events(spark, 3000, flights, heavy_per_mille=300)).cache()
+    assert events.count() == 3000
+    assert events.join(flights, "ID_Vuelo", "left_anti").count() == 0
+    counts = sorted(r["count"] for r in events.groupBy("ID_Vuelo").count().collect())
+    assert 800 < counts[-1] < 1000 and counts[-2] < 40 and len(counts) > 250
+    assert g.generate_events(spark, 50, flights.where("false")).count() == 0
+
+
+def test_numbers_have_no_gaps(spark):
+    values = spark.range(5000).selectExpr("if(id % 9 = 0, null, concat('k', id % 3000)) as k")
+    numbers, size = g.numbered(values, "k")
+    found = [r.number for r in numbers.collect()]
+    assert sorted(found) == list(range(size)) and size == values.where("k is not null").distinct().count()
