@@ -81,6 +81,18 @@ def _lake(spark: SparkSession, label: str) -> LakeConfig:
     return cfg
 
 
+def _stored(spark: SparkSession, cfg: LakeConfig, name: str) -> DataFrame:
+    """A query's result table, once the environment's other schemas and the landed and
+    staged files are gone; the result itself is left to the session's owner."""
+    kept = name.rsplit(".", 1)[0]
+    for schema in tables.create_schemas(spark, cfg):
+        if schema != kept:
+            tables.drop_schema(spark, schema, confirm=schema)
+    spent = [f"{cfg.root}/{folder}" for folder in ("landing", "staging", "staging_matched")]
+    tables.delete_paths(spark, spent, root=cfg.root)
+    return tables.read_table(spark, name)
+
+
 # Bronze and silver
 
 
@@ -101,7 +113,7 @@ def ingest_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _lake(spark, "ingest")
     name = cfg.table_name("bronze")
     tables.overwrite_table(stamp_ingestion(bronze_flights(spark, sf_dir)), name)
-    stored = tables.read_table(spark, name)
+    stored = _stored(spark, cfg, name)
     return plain(stored.withColumn("ingestion_date", F.col("ingestion_date").isNotNull()))
 
 
@@ -386,7 +398,7 @@ def _bronze_stream(spark: SparkSession, sf_dir: str, cfg: LakeConfig) -> str:
 @query
 def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _lake(spark, "stream_bronze")
-    stored = tables.read_table(spark, _bronze_stream(stream_session(spark), sf_dir, cfg))
+    stored = _stored(spark, cfg, _bronze_stream(stream_session(spark), sf_dir, cfg))
     return plain(stored.withColumn("body", F.col("body").cast("string")))
 
 
@@ -399,7 +411,7 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.start_silver(
         streams.follow_table(session, bronze), name, cfg.checkpoint("silver")
     ).awaitTermination()
-    return plain(tables.read_table(spark, name))
+    return plain(_stored(spark, cfg, name))
 
 
 @query
@@ -411,7 +423,7 @@ def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.start_rejects(
         streams.follow_table(session, bronze), name, cfg.checkpoint("rejects")
     ).awaitTermination()
-    return tables.read_table(spark, name).select("sequenceNumber", F.col("body").cast("string").alias("body"))
+    return _stored(spark, cfg, name).select("sequenceNumber", F.col("body").cast("string").alias("body"))
 
 
 def _gold_stream(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
@@ -429,7 +441,7 @@ def _gold_stream(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
         rules=RULES,
         side=side,
     ).awaitTermination()
-    return plain(tables.read_table(spark, name).drop(tables.BATCH_ID))
+    return plain(_stored(spark, cfg, name).drop(tables.BATCH_ID))
 
 
 @query
@@ -454,7 +466,7 @@ def gold_batches_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw_events(spark, sf_dir)
     for batch_id in (0, 1, 2, 3, 2, 4):
         write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
-    return plain(tables.read_table(spark, name))
+    return plain(_stored(spark, cfg, name))
 
 
 def _gold_by_hub(spark: SparkSession, sf_dir: str) -> str:
@@ -466,6 +478,7 @@ def _gold_by_hub(spark: SparkSession, sf_dir: str) -> str:
     raw = _raw_events(spark, sf_dir)
     for batch_id in range(4):
         write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
+    _stored(spark, cfg, name)
     return name
 
 
@@ -502,7 +515,7 @@ def gold_batches_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, flights = cfg.table_name("gold", stream=True), _flights(spark, sf_dir)
     tables.write_batch(flights.where("analisis_mes <= 6").select("id_vuelo"), name, 0)
     tables.write_batch(flights.where("analisis_mes > 6").select("id_vuelo", "info_aerolinea"), name, 1)
-    stored = tables.read_table(spark, name).groupBy("batch_id")
+    stored = _stored(spark, cfg, name).groupBy("batch_id")
     return plain(stored.agg(F.count("*").alias("vuelos"), F.count("info_aerolinea").alias("con_aerolinea")))
 
 
@@ -525,6 +538,7 @@ def _current_stream(spark: SparkSession, sf_dir: str, stateful: bool) -> tuple[s
     source = streams.read_events(stream_session(spark), path=path, maxFilesPerTrigger=str(step))
     name = cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
     jobs.start_current(source, name, cfg.checkpoint("current"), stateful=stateful).awaitTermination()
+    _stored(spark, cfg, name)
     return name, cfg
 
 
@@ -565,8 +579,10 @@ def operational_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batch_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV to bronze to silver to gold, handed over as tables."""
     cfg = _lake(spark, "chain")
-    batch.run(spark, cfg, _staged_csv(spark, sf_dir))
-    return plain(tables.read_table(spark, cfg.table_name("gold")))
+    csv = _staged_csv(spark, sf_dir)
+    batch.run(spark, cfg, csv)
+    tables.delete_paths(spark, [csv], root=csv.rsplit("/", 1)[0])
+    return plain(_stored(spark, cfg, cfg.table_name("gold")))
 
 
 @query
@@ -575,7 +591,7 @@ def airline_month_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _lake(spark, "airlines")
     tables.overwrite_table(_flights(spark, sf_dir), cfg.table_name("silver"))
     batch.load(spark, cfg)
-    return plain(tables.read_table(spark, cfg.table_name("gold", table=batch.AIRLINE_TABLE)))
+    return plain(_stored(spark, cfg, cfg.table_name("gold", table=batch.AIRLINE_TABLE)))
 
 
 @query
@@ -585,7 +601,7 @@ def silver_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _lake(spark, "partitioned")
     name = cfg.table_name("silver")
     tables.overwrite_table(_flights(spark, sf_dir), name, partition_by=("analisis_anio", "analisis_mes"))
-    return bi.passengers_by_month(tables.read_table(spark, name), MONTHS_PICKED)
+    return bi.passengers_by_month(_stored(spark, cfg, name), MONTHS_PICKED)
 
 
 @query
