@@ -3,10 +3,12 @@
 Tokens are words in lower case. In a labelled toxic text those tokens are marked
 toxic that have a feature (the word, a prefix, a suffix) found almost only in toxic
 texts, more than chance explains; all others are clean. A two-label CRF is fitted to these token labels by
-gradient steps; each is one job whose partitions send the sums of expected minus
-observed features. Forward-backward marginals of every token of a text then give
-its spans (runs of tokens more likely toxic than not, as code point offsets) and
-its score: the log of the summed marginal odds, calibrated by a logistic curve.
+L-BFGS until the gradient is small; each step is a job whose partitions send their
+loss and the sums of expected minus observed features. Forward-backward marginals of
+every token of a text then give its spans (runs of tokens more likely toxic than not,
+as code point offsets) and its evidence: the sum of the marginal odds, less what clean
+texts of that many tokens have, so that length alone is no evidence. A logistic curve
+makes the score of it.
 
 A chain is at most ``CHAIN`` consecutive tokens; longer texts are several chains,
 and all their tokens count.
@@ -22,6 +24,7 @@ Other columns are ignored.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +44,12 @@ CELLS, KNOWN_WORDS, RUN_BYTES = 1 << 18, 1 << 18, 1 << 20
 #: A feature marks tokens if toxic texts have it so much more often, by share of
 #: texts, and if the likelihood ratio test is beyond what chance gives so many features.
 MARK_SHARE, MARK_TEST = 0.98, 20.0
-#: Gradient steps, their length, and the pull of the weights to zero.
-STEPS, RATE, RIDGE = 12, 1.0, 0.1
-#: Bounds of the log odds that are added up, and their steps in the calibration.
-ODDS, ODDS_STEPS = 12.0, 20
+#: Pull of the weights to zero; the fit ends when the gradient is no longer than this
+#: share of the toxic tokens; past steps that shape the next one.
+RIDGE, SMALL, MEMORY = 0.1, 0.001, 10
+#: Greatest log odds that are added up, steps of the evidence in the calibration, and
+#: standard deviations above the mean that clean texts are granted.
+ODDS, ODDS_STEPS, DEVIATIONS = 12.0, 20, 4.0
 
 # Lower-cases A-Z; blanks for the other ASCII characters that are not in words.
 FOLDED = bytes(
@@ -97,11 +102,9 @@ class Evidence(dict):
 class Chains:
     """The tokens of some texts, by number or evidence, dealt to chains."""
 
-    def __init__(self, texts: list[bytes | None], table: Vocabulary | Evidence):
-        each = [table.of(t.translate(FOLDED).split() if t else []) for t in texts]
-        self.lengths = np.array([len(e) for e in each], np.int64)
-        self.tokens = np.concatenate(each) if each else np.zeros(0)
-        self.text = np.repeat(np.arange(len(each)), self.lengths)
+    def __init__(self, lengths: np.ndarray, tokens: np.ndarray):
+        self.lengths, self.tokens = lengths, tokens
+        self.text = np.repeat(np.arange(len(lengths)), self.lengths)
         first = np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
         place = np.arange(len(self.tokens)) - first
         chains = -(-self.lengths // CHAIN)
@@ -111,6 +114,12 @@ class Chains:
         self.there = np.zeros(self.shape, bool)
         self.there[self.step, self.chain] = True
 
+    @staticmethod
+    def of(texts: list[bytes | None], table: Vocabulary | Evidence) -> Chains:
+        each = [table.of(t.translate(FOLDED).split() if t else []) for t in texts]
+        tokens = np.concatenate(each) if each else np.zeros(0)
+        return Chains(np.array([len(e) for e in each], np.int64), tokens)
+
     def spread(self, values: np.ndarray) -> np.ndarray:
         out = np.zeros(self.shape)
         out[self.step, self.chain] = values
@@ -124,6 +133,7 @@ class Field:
     def __init__(self):
         self.weights = np.zeros(CELLS + 1)  # the bias is last
         self.moves = np.zeros((2, 2))
+        self.clean = (0.0, 0.0)  # odds of a token of clean texts, and their variance
         self.curve = (0.0, -50.0)  # scores of 0 until calibrated
 
     def log_odds(self, chains: Chains, evidence: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -150,17 +160,27 @@ class Field:
         moves = np.array([[p00 + 0 * x, p01 * y], [x * p10, x * p11 * y]])
         return np.where(chains.there[1:], moves / moves.sum(axis=(0, 1)), 0).sum(axis=(2, 3))
 
+    def log_total(self, chains: Chains, odds: np.ndarray, ahead: np.ndarray) -> float:
+        """Log of the summed potentials of all labellings of the chains."""
+        p00, p10 = np.exp(self.moves[:, 0])
+        steps = np.where(chains.there[1:], np.log(p00 + np.exp(ahead) * p10), 0).sum()
+        last = np.append(chains.chain[1:] != chains.chain[:-1], True)  # there nothing comes back
+        return float(steps + np.logaddexp(0, odds[last]).sum())
+
     def tag(self, chains: Chains) -> np.ndarray:
         """Marginal log odds of the tokens, in their order."""
         return self.log_odds(chains, chains.tokens)[0]
 
+    def evidence(self, total: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Log of the summed odds beyond what clean texts of these lengths have, at least 0."""
+        mean, variance = self.clean
+        granted = mean * lengths + DEVIATIONS * np.sqrt(variance * lengths)
+        return np.minimum(np.log1p(np.maximum(total - granted, 0)), ODDS)
+
 
 def summed_odds(odds: np.ndarray, chains: Chains) -> np.ndarray:
-    """Log of the sum of the tokens' odds, for each text."""
-    total = np.bincount(
-        chains.text, np.exp(np.clip(odds, -ODDS, ODDS)), minlength=len(chains.lengths)
-    )
-    return np.clip(np.log(total + np.exp(-ODDS)), -ODDS, ODDS)
+    """Sum of the tokens' odds, for each text."""
+    return np.bincount(chains.text, np.exp(np.minimum(odds, ODDS)), minlength=len(chains.lengths))
 
 
 class _FeatureTexts:
@@ -181,63 +201,128 @@ class _FeatureTexts:
                 self.total[2 * CELLS + y] += 1
 
 
+def _tokenised(sample: DataFrame, marks: np.ndarray) -> DataFrame:
+    """The sample in runs of texts: numbers of their tokens, in order, with labels, and
+    the feature cells of the numbers."""
+    shared = Shared(sample.sparkSession, marks)
+
+    def start():
+        marks = shared.load()
+
+        def work(batch: pa.RecordBatch) -> dict:
+            texts, y = as_bytes(batch), batch.column("y").to_numpy(zero_copy_only=False)
+            out = {"lengths": [], "tokens": [], "cells": [], "labels": []}
+            for part in runs_of(texts, RUN_BYTES):
+                vocabulary = Vocabulary()
+                chains = Chains.of(texts[part], vocabulary)
+                cells = np.array(vocabulary.rows, np.int64).reshape(-1, FEATURES)
+                tokens = chains.tokens.astype(np.int64)
+                marked = marks[cells].any(axis=1)[tokens]
+                out["lengths"].append(chains.lengths)
+                out["tokens"].append(tokens)
+                out["cells"].append(cells.ravel())
+                out["labels"].append(marked & (y[part] == 1)[chains.text])
+            return out
+
+        return work
+
+    schema = "lengths array<long>, tokens array<int>, cells array<int>, labels array<boolean>"
+    return row_pass(sample, schema, start)
+
+
 class _Gradient:
-    """Expected minus observed features of the labelled tokens."""
+    """Loss and expected minus observed features of the labelled tokens."""
 
-    def __init__(self, field: Field, marks: np.ndarray):
-        self.field, self.marks = field, marks
-        self.weights, self.moves = np.zeros(CELLS + 1), np.zeros((2, 2))
+    def __init__(self, field: Field):
+        self.field = field
+        self.loss, self.weights, self.moves = 0.0, np.zeros(CELLS + 1), np.zeros((2, 2))
 
     def __call__(self, batch: pa.RecordBatch) -> None:
-        texts, y = as_bytes(batch), batch.column("y").to_numpy(zero_copy_only=False)
-        for part in runs_of(texts, RUN_BYTES):
-            self._add(texts[part], y[part] == 1)
-
-    def _add(self, texts: list[bytes], toxic_text: np.ndarray) -> None:
-        vocabulary = Vocabulary()
-        chains = Chains(texts, vocabulary)
-        if not len(chains.tokens):
-            return
-        cells = np.array(vocabulary.rows)
-        label = self.marks[cells].any(axis=1)[chains.tokens] & toxic_text[chains.text]
+        for row in zip(*(batch.column(c) for c in ("lengths", "tokens", "cells", "labels"))):
+            if len(row[1]):
+                self._add(*(x.values.to_numpy(zero_copy_only=False) for x in row))
+
+    def _add(self, lengths: np.ndarray, tokens: np.ndarray, cells: np.ndarray, label: np.ndarray) -> None:
+        chains, cells = Chains(lengths, tokens), cells.reshape(-1, FEATURES)
         evidence = self.field.weights[cells].sum(axis=1) + self.field.weights[-1]
-        odds, ahead, after = self.field.log_odds(chains, evidence[chains.tokens])
-        miss = np.bincount(chains.tokens, 1 / (1 + np.exp(-odds)) - label, minlength=len(cells))
-        np.add.at(self.weights, cells, np.repeat(miss[:, None], FEATURES, axis=1))
+        own = evidence[tokens]
+        odds, ahead, after = self.field.log_odds(chains, own)
+        self.loss += self.field.log_total(chains, odds, ahead) - own[label].sum()
+        miss = np.bincount(tokens, 1 / (1 + np.exp(-odds)) - label, minlength=len(cells))
+        self.weights[:-1] += np.bincount(cells.ravel(), np.repeat(miss, FEATURES), minlength=CELLS)
         self.weights[-1] += miss.sum()
         self.moves += self.field.expected_moves(chains, ahead, after)
         seen, pair = chains.spread(label).astype(bool), chains.there[1:]
         for a in (0, 1):
             for b in (0, 1):
-                self.moves[a, b] -= ((seen[:-1] == a) & (seen[1:] == b) & pair).sum()
+                n = ((seen[:-1] == a) & (seen[1:] == b) & pair).sum()
+                self.moves[a, b] -= n
+                self.loss -= n * self.field.moves[a, b]
 
     def sums(self) -> dict:
         cells = np.flatnonzero(self.weights)
         return {
-            "cell": np.concatenate([cells, CELLS + 1 + np.arange(4)]),
-            "value": np.concatenate([self.weights[cells], self.moves.ravel()]),
+            "cell": np.concatenate([cells, CELLS + 1 + np.arange(5)]),
+            "value": np.concatenate([self.weights[cells], self.moves.ravel(), [self.loss]]),
         }
 
 
-def _fit_field(sample: DataFrame, marks: np.ndarray) -> Field:
-    """Gradient steps scaled by coordinate (AdaGrad) on the distributed sums."""
-    spark, field, squares = sample.sparkSession, Field(), np.full(CELLS + 5, 1e-8)
-    for _ in range(STEPS):
-        shared = Shared(spark, (field, marks))
+def _minimum(slope_at: Callable, now: np.ndarray, small: float) -> np.ndarray:
+    """Minimum of a convex function by L-BFGS: ``slope_at`` gives its value and gradient,
+    which is at most ``small`` long at the end."""
+    value, slope = slope_at(now)
+    past: list[tuple[np.ndarray, np.ndarray]] = []
+    while np.linalg.norm(slope) > small:
+        step, shares = -slope, []
+        for s, g in reversed(past):
+            shares.append(s @ step / (s @ g))
+            step = step - shares[-1] * g
+        # Without past steps, one of length 1.
+        step = step * (past[-1][0] @ past[-1][1] / (past[-1][1] @ past[-1][1]) if past else 1 / np.linalg.norm(slope))
+        for (s, g), share in zip(past, reversed(shares)):
+            step = step + s * (share - g @ step / (s @ g))
+        width = 1.0
+        while True:
+            then = now + width * step
+            value_then, slope_then = slope_at(then)
+            if value_then <= value + 1e-4 * width * (slope @ step):
+                break
+            width /= 4
+            if width < 1e-6:  # no descent beyond the rounding of the sums
+                return now
+        s, g = then - now, slope_then - slope
+        if s @ g > 1e-10 * (g @ g):
+            past = [*past, (s, g)][-MEMORY:]
+        now, value, slope = then, value_then, slope_then
+    return now
+
+
+def _fit_field(runs: DataFrame) -> Field:
+    """Weights of the least loss, on the distributed sums."""
+    spark = runs.sparkSession
+
+    def field_of(now: np.ndarray) -> Field:
+        field = Field()
+        field.weights, field.moves = now[: CELLS + 1], now[CELLS + 1 :].reshape(2, 2)
+        return field
+
+    def slope_at(now: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = Shared(spark, field_of(now))
         parts = row_pass(
-            sample, "cell long, value double", lambda s=shared: _Gradient(*s.load()), _Gradient.sums
+            runs, "cell long, value double", lambda: _Gradient(shared.load()), _Gradient.sums
         )
         # Rounded, so that the order of the sums does not show.
         sums = parts.groupBy("cell").agg(F.round(F.sum("value"), 6).alias("value")).toArrow()
         shared.destroy()
-        slope = np.zeros(CELLS + 5)
+        slope = np.zeros(CELLS + 6)
         slope[sums["cell"].to_numpy()] = sums["value"].to_numpy()
-        now = np.concatenate([field.weights, field.moves.ravel()])
-        slope += RIDGE * now * (slope != 0)
-        squares += slope**2
-        now = now - RATE * slope / np.sqrt(squares)
-        field.weights, field.moves = now[: CELLS + 1], np.clip(now[CELLS + 1 :], -4, 4).reshape(2, 2)
-    return field
+        return slope[-1] + RIDGE / 2 * (now @ now), slope[:-1] + RIDGE * now
+
+    count = F.aggregate("labels", F.lit(0).cast("long"), lambda n, x: n + x.cast("long"))
+    toxic, tokens = runs.agg(F.sum(count), F.sum(F.size("labels"))).first()
+    now = np.zeros(CELLS + 5)
+    now[CELLS] = np.log(((toxic or 0) + 1) / ((tokens or 0) - (toxic or 0) + 1))
+    return field_of(_minimum(slope_at, now, SMALL * max(1, toxic or 0)))
 
 
 def _logistic(x: np.ndarray, n: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
@@ -271,7 +356,9 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Field:
         scratch.drop("sample")
         return Field()
     marks = _marks(texts[:CELLS], n_clean, texts[CELLS : 2 * CELLS], n_toxic)
-    field = _fit_field(sample, marks)
+    runs = scratch.keep(_tokenised(sample, marks), "runs")
+    field = _fit_field(runs)
+    scratch.drop("runs")
     shared = Shared(docs.sparkSession, field)
 
     def start():
@@ -279,23 +366,49 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> Field:
         evidence = Evidence(field)
 
         def work(batch: pa.RecordBatch) -> dict:
-            texts, steps = as_bytes(batch), []
+            texts, total, lengths = as_bytes(batch), [], []
             for part in runs_of(texts, RUN_BYTES):
-                chains = Chains(texts[part], evidence)
-                odds = summed_odds(field.tag(chains), chains)
-                steps += np.round(odds * ODDS_STEPS).astype(np.int64).tolist()
-            return {"step": steps}
+                chains = Chains.of(texts[part], evidence)
+                total += summed_odds(field.tag(chains), chains).tolist()
+                lengths += chains.lengths.tolist()
+            return {"total": total, "n": lengths}
+
+        return work
+
+    sums = scratch.keep(row_pass(sample, "total double, n long, y int", start), "sums")
+    field.clean = _clean_odds(sums)
+    clean = field.clean
+
+    def count():
+        field = Field()
+        field.clean = clean
+
+        def work(batch: pa.RecordBatch) -> dict:
+            total, n = (batch.column(c).to_numpy() for c in ("total", "n"))
+            return {"step": np.round(field.evidence(total, n) * ODDS_STEPS).astype(np.int64)}
 
         return work
 
-    steps = row_pass(sample, "step long, y int", start).groupBy("step")
+    steps = row_pass(sums, "step long, y int", count).groupBy("step")
     steps = steps.agg(F.count("y").alias("n"), F.sum("y").alias("toxic")).orderBy("step")
     at, n, toxic = (np.array(c, float) for c in zip(*steps.collect()))
     field.curve = _logistic(at / ODDS_STEPS, n, toxic)
-    scratch.drop("sample")
+    scratch.drop("sample", "sums")
     return field
 
 
+def _clean_odds(sums: DataFrame) -> tuple[float, float]:
+    """Mean odds of a token of clean texts and their variance by token, which counts that
+    odd tokens come together in texts. One token of even odds that was not seen is added."""
+    n, total = F.col("n").cast("double"), F.col("total")
+    parts = (n, total, n * n, n * total, total * total)
+    clean = sums.where("y = 0").agg(*(F.sum(p) for p in parts)).first()
+    # Rounded, so that the order of the sums does not show.
+    n, total, nn, nt, tt = (float(f"{x or 0:.9g}") for x in clean)
+    mean = (total + 1) / max(n, 1)
+    return mean, (max(tt - 2 * mean * nt + mean * mean * nn, 0) + 1) / max(n, 1)
+
+
 def _spans(text: bytes, toxic: np.ndarray) -> list[tuple[int, int]]:
     """Code point offsets of the runs of toxic tokens."""
     places = [m.span() for m in _TOKEN.finditer(text.translate(FOLDED))]
@@ -316,9 +429,10 @@ def tag(docs: DataFrame, field: Field) -> DataFrame:
             texts, scores, spans = as_bytes(batch), [], []
             for part in runs_of(texts, RUN_BYTES):
                 own = texts[part]
-                chains = Chains(own, evidence)
+                chains = Chains.of(own, evidence)
                 odds = field.tag(chains)
-                level = np.clip(slope * summed_odds(odds, chains) + offset, -50, 50)
+                seen = field.evidence(summed_odds(odds, chains), chains.lengths)
+                level = np.clip(slope * seen + offset, -50, 50)
                 scores.append(1 / (1 + np.exp(-level)))
                 toxic = np.split(odds > 0, np.cumsum(chains.lengths)[:-1])
                 spans += [
