@@ -6,8 +6,8 @@ ratio of its n-grams, target over raw, so it does not depend on the length. The
 threshold is the score that all but a share of ``REJECTED`` of the trusted texts
 reach. Every text is judged, and the same input gives the same verdicts.
 
-The target is estimated on at most ``TRUSTED_ROWS`` labelled ids; raw counts
-cover all documents.
+The target and the threshold cover all trusted texts, the raw counts all documents;
+each is a sum of bounded size.
 
 A null or empty text has no words, counts of 0, score 0 and fails the base rules.
 Without trusted texts both multinomials are the same, and only the base rules
@@ -30,15 +30,12 @@ from skyledger.llm.common import (
     as_bytes,
     counted,
     covered,
-    labelled_sample,
     ngrams,
     repeated,
     row_filter,
     row_pass,
 )
 
-#: Most labelled ids the target and the threshold are estimated on.
-TRUSTED_ROWS = 50_000
 #: Share of the trusted texts that may lie below the threshold.
 REJECTED = 0.001
 #: Bytes in an n-gram and number of its hash cells.
@@ -130,10 +127,16 @@ class Rules:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Rules:
-    trusted = labelled_sample(docs, labels, "quality", 1, -1, TRUSTED_ROWS)
-    trusted = trusted.where(F.col("y") == 1).select("text")
+    # An id labelled both ways is trusted.
+    good = labels.where(F.col("quality").cast("int") == 1).select(F.col("doc_id").cast("long").alias("id"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where(F.col("text").isNotNull())
+
+    def of_trusted(rows: DataFrame) -> DataFrame:
+        # Merged also where the ids would fit a broadcast, as they need not.
+        return rows.join(good.hint("merge"), "id", "left_semi").drop("id")
+
     raw = counted(docs.select("text"), CELLS, _GramCount)
-    target = counted(trusted, CELLS, _GramCount)
+    target = counted(of_trusted(texts), CELLS, _GramCount)
     if not target.any():
         return Rules(np.zeros(CELLS, np.float32), -np.inf)
     log = [np.log((n + 1) / (n.sum() + CELLS)) for n in (target, raw)]
@@ -143,13 +146,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Rules:
         hashes = WordHashes()
 
         def work(batch: pa.RecordBatch) -> dict:
-            texts = [t for t in as_bytes(batch) if not base_counts(t, hashes).failed]
-            return {"step": [int(np.floor(_score(t, ratio) / STEP)) for t in texts]}
+            return {
+                "step": [
+                    None if base_counts(t, hashes).failed else int(np.floor(_score(t, ratio) / STEP))
+                    for t in as_bytes(batch)
+                ]
+            }
 
         return work
 
-    # At most one row per step of the score reaches the driver.
-    steps = row_pass(trusted, "step long", start).groupBy("step").count().collect()
+    # All texts are scored where they lie, so that only steps are joined. At most one row
+    # per step of the score reaches the driver.
+    steps = of_trusted(row_pass(texts, "id long, step long", start).where("step IS NOT NULL"))
+    steps = steps.groupBy("step").count().collect()
     reached, below = sum(r["count"] for r in steps), 0
     threshold = -np.inf
     for row in sorted(steps):
