@@ -133,3 +133,56 @@ SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed,
   sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM doc LEFT JOIN kept USING (r)
 """
+
+# CRC-32 bit by bit: 3988292384 is its reversed polynomial.
+ORACLES["op11_prefix_trie"] = r"""
+WITH conv AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS name FROM conversations WHERE conv_id IS NOT NULL),
+bits AS (
+  SELECT conv_id, flatten(list_transform(range(1, length(name) + 1),
+    lambda i: list_transform(range(0, 8), lambda k: (ord(name[i]) >> k) & 1))) AS b
+  FROM conv
+),
+cut AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(b, lambda x: CAST(x AS BIGINT))),
+      lambda c, x: xor(c >> 1, 3988292384 * (xor(c, x) & 1))), 4294967295) % 9 AS h
+  FROM bits
+),
+turn AS (
+  SELECT conv_id, token, n, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, token) - 1 AS pos
+  FROM (SELECT conv_id, turn, md5(md5(coalesce(role, '')) || md5(coalesce(text, ''))) AS token,
+          strlen(coalesce(text, '')) AS n
+        FROM conversations WHERE conv_id IS NOT NULL)
+),
+made AS (
+  SELECT c.conv_id, 0 AS own, pos, token, n FROM cut c JOIN turn t ON t.conv_id = c.base WHERE pos < h
+  UNION ALL
+  SELECT c.conv_id, 1, pos, token, n FROM cut c JOIN turn t ON t.conv_id = c.conv_id WHERE pos >= h
+),
+seq AS (
+  SELECT c.conv_id, coalesce(tokens, []) AS tokens, coalesce(sizes, []) AS sizes
+  FROM conv c LEFT JOIN (
+    SELECT conv_id, list(token ORDER BY own, pos) AS tokens, list(n ORDER BY own, pos) AS sizes
+    FROM made GROUP BY conv_id) USING (conv_id)
+),
+place AS (
+  SELECT conv_id, d, len(tokens) AS size, md5(array_to_string(tokens[1:d], ',')) AS node,
+    CASE WHEN d > 0 THEN md5(array_to_string(tokens[1:d - 1], ',')) END AS parent,
+    CASE WHEN d > 0 THEN sizes[d] ELSE 0 END AS n
+  FROM (SELECT *, unnest(range(0, len(tokens) + 1)) AS d FROM seq)
+),
+node AS (
+  SELECT node, min(conv_id) AS conv_id, min(d) AS depth, min(parent) AS parent, count(*) AS n_convs,
+    min(n) AS n, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (d = size) AS ends
+  FROM place GROUP BY node
+),
+child AS (SELECT parent AS node, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY parent),
+pair AS (SELECT DISTINCT a.node, b.node AS below FROM place a JOIN place b ON a.conv_id = b.conv_id AND a.d <= b.d),
+sums AS (
+  SELECT p.node, count(*) FILTER (n_children IS NULL) AS n_leaves, sum((n_convs - 1) * n) AS saved
+  FROM pair p JOIN node b ON p.below = b.node LEFT JOIN child c ON c.node = b.node GROUP BY p.node
+)
+SELECT v.conv_id, v.depth, up.conv_id AS parent_conv_id, v.n_convs, coalesce(n_children, 0) AS n_children,
+  n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM node v LEFT JOIN node up ON v.parent = up.node LEFT JOIN child c ON c.node = v.node JOIN sums s ON s.node = v.node
+"""

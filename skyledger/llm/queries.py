@@ -13,6 +13,7 @@ from skyledger.llm import (
     language_id,
     mixing,
     near_dedup,
+    prefix_trie,
     quality_classifier,
     quality_rules,
     sharding,
@@ -105,3 +106,8 @@ def op8_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return substring_dedup.remove_repeated(docs, Scratch(spark, "passages"))
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), Scratch(spark, "trie"))
