@@ -13,6 +13,7 @@ from skyledger.llm import (
     language_id,
     mixing,
     near_dedup,
+    periodic_runs,
     prefix_trie,
     quality_classifier,
     quality_rules,
@@ -111,3 +112,8 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), Scratch(spark, "trie"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), Scratch(spark, "runs"))
