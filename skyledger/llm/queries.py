@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyledger.llm import (
     chat_format,
     decontamination,
+    katz,
     language_id,
     mixing,
     near_dedup,
@@ -117,3 +118,8 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), Scratch(spark, "runs"))
+
+
+@query
+def op13_katz_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"), Scratch(spark, "katz"))
