@@ -58,13 +58,30 @@ ANSWER = "bucket int, chunk long, kind int, data binary, stats array<long>"
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs."""
-    kind = np.min_scalar_type(int(values.max())) if len(values) else np.dtype(np.uint8)
-    return kind.char.encode() + values.astype(kind).tobytes()
+    """Whole numbers in as few bytes each as the largest needs, first bytes first."""
+    n = len(values)
+    width = (int(values.max()).bit_length() + 7) // 8 if n else 0
+    planes = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(n, 8)[:, :width].T
+    return bytes([width]) + planes.tobytes() + (n.to_bytes(8, "little") if not width else b"")
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.dtype(data[:1].decode()), offset=1).astype(np.int64)
+    width = data[0]
+    if not width:
+        return np.zeros(int.from_bytes(data[1:9], "little"), np.uint64)
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel().astype(np.uint64, copy=False)
+
+
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Keys in order, by what each adds to the one before."""
+    return packed(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpacked_keys(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data), dtype=np.uint64)
 
 
 def discounts(n: list[int]) -> np.ndarray:
@@ -108,9 +125,10 @@ class Chunk:
     def __init__(self, data: bytes):
         content = pickle.loads(zlib.decompress(data))
         self.doc_ids, self.held_out = content["doc_ids"], content["held_out"]
-        self.vocabulary = content["vocabulary"]
+        self.vocabulary = unpacked_keys(content["vocabulary"])
         self.lengths = content["lengths"]
-        self.tokens = content["tokens"]
+        by_rank = unpacked(content["by_rank"]).astype(np.int64)
+        self.tokens = by_rank[unpacked(content["ranks"]).astype(np.int64)]
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.train = np.repeat(~self.held_out, self.lengths)
         self._distance = np.arange(len(self.tokens)) - np.repeat(self.starts, self.lengths)
@@ -170,13 +188,18 @@ class _Pack:
             return []
         rids, doc_ids, held_out, texts = zip(*self.rows)
         words = np.concatenate([part for text in texts for part in (text, [END])]).astype(np.uint64)
-        vocabulary, tokens = np.unique(words, return_inverse=True)
+        vocabulary, tokens, counts = np.unique(words, return_inverse=True, return_counts=True)
+        # Frequent words get small numbers, whose upper bytes are mostly zero.
+        by_rank = np.argsort(-counts, kind="stable")
+        ranks = np.empty(len(by_rank), np.int64)
+        ranks[by_rank] = np.arange(len(by_rank))
         content = {
             "doc_ids": doc_ids,
             "held_out": np.array(held_out, bool),
             "lengths": np.array([len(t) + 1 for t in texts]),
-            "vocabulary": vocabulary,
-            "tokens": tokens.astype(np.uint32),
+            "vocabulary": packed_keys(vocabulary),
+            "by_rank": packed(by_rank),
+            "ranks": packed(ranks[tokens]),
         }
         self.rows, self.size = [], 0
         return [(rids[0], len(words), zlib.compress(pickle.dumps(content, 5), 1))]
@@ -253,17 +276,21 @@ class Model:
             if k > 1:
                 self._weigh(k)
 
-    def _gathered(self) -> DataFrame:
-        """Chunks with the answers they got, each together."""
+    def _gathered(self, with_answers: bool) -> DataFrame:
+        """Chunks, each together with the answers it got where these are needed."""
         rows = self.chunks.select(
             F.lit(0).alias("bucket"), "chunk", F.lit(0).alias("kind"), "data"
         )
+        if not with_answers:
+            return rows
         for answer in self.answers:
             given = answer.where(F.col("chunk").isNotNull())
             rows = rows.unionByName(given.select("bucket", "chunk", "kind", "data"))
         return rows.repartition("chunk").sortWithinPartitions("chunk", "kind", "bucket")
 
-    def _per_chunk(self, work: Callable, schema: pa.Schema, ddl: str) -> DataFrame:
+    def _per_chunk(
+        self, work: Callable, schema: pa.Schema, ddl: str, with_answers: bool = True
+    ) -> DataFrame:
         """``work(id, chunk, answers by kind)`` gives rows of a chunk."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,9 +300,9 @@ class Model:
                     answers.setdefault(kind, []).append(data)
                 yield _batch(schema, work(chunk, Chunk(rows[0][1]), answers))
 
-        return self._gathered().mapInArrow(run, ddl)
+        return self._gathered(with_answers).mapInArrow(run, ddl)
 
-    def _ask(self, make: Callable, reply: Callable, name: str) -> DataFrame:
+    def _ask(self, make: Callable, reply: Callable, name: str, with_answers: bool) -> DataFrame:
         """``make(chunk, answers)`` gives keys in order and data of each as a function of
         a slice; ``reply(requests)`` gives a bucket's answers and its statistics."""
         bits = self.bits
@@ -285,7 +312,7 @@ class Model:
             edges = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else []
             cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
             return [
-                (b, chunk_id, keys[i:j].tobytes(), data(slice(i, j)))
+                (b, chunk_id, packed_keys(keys[i:j]), data(slice(i, j)))
                 for b, (i, j) in enumerate(zip(cuts, cuts[1:]))
                 if j > i
             ]
@@ -296,7 +323,8 @@ class Model:
                 out = [(bucket, c, kind, a, None) for c, a in zip(chunks, answers)]
                 yield _batch(_ANSWER, [*out, (bucket, None, kind, None, stats)])
 
-        asked = self._per_chunk(requests, _REQUEST, "bucket int, chunk long, keys binary, data binary")
+        ddl = "bucket int, chunk long, keys binary, data binary"
+        asked = self._per_chunk(requests, _REQUEST, ddl, with_answers)
         asked = asked.repartition("bucket").sortWithinPartitions("bucket", "chunk")
         answered = self.scratch.keep(asked.mapInArrow(answer, ANSWER), name)
         self.answers.append(answered)
@@ -309,8 +337,8 @@ class Model:
             return keys, lambda part: packed(counts[part])
 
         def reply(rows: list):
-            keys = [np.frombuffer(r[1], np.uint64) for r in rows]
-            told = np.concatenate([unpacked(r[2]) for r in rows])
+            keys = [unpacked_keys(r[1]) for r in rows]
+            told = _joined([r[2] for r in rows])
             different, number = np.unique(np.concatenate(keys), return_inverse=True)
             counts = np.zeros(len(different), np.int64)
             np.add.at(counts, number, told)
@@ -324,7 +352,7 @@ class Model:
             stats = [int((counts > 0).sum()), int(counts.sum()), *few[1:].tolist()]
             return [r[0] for r in rows], 2 * k, [packed(values[a:b]) for a, b in zip(cuts, cuts[1:])], stats
 
-        answered = self._ask(make, reply, f"counts{k}")
+        answered = self._ask(make, reply, f"counts{k}", False)
         sums = answered.where("chunk is null").select(F.posexplode("stats").alias("i", "n"))
         sums = sums.groupBy("i").agg(F.sum("n").alias("n")).orderBy("i").collect()
         stats = [row.n for row in sums] or [0] * (FEW + 3)
@@ -344,12 +372,12 @@ class Model:
             own = np.flatnonzero(told & 1)
             counts = told[own] >> 1
             parts = (counts, discounted(counts, factors[k - 1]), 10 ** evaluated.logs[k - 1][shorter[own]])
-            sums = np.array([np.bincount(of[own], p, minlength=len(histories)) for p in parts])
-            return histories, lambda part: sums[:, part].tobytes()
+            total, *sums = (np.bincount(of[own], p, minlength=len(histories)) for p in parts)
+            return histories, lambda part: _mixed(total[part], *(x[part] for x in sums))
 
         def reply(rows: list):
-            keys = [np.frombuffer(r[1], np.uint64) for r in rows]
-            told = np.concatenate([np.frombuffer(r[2], np.float64).reshape(3, -1) for r in rows], axis=1)
+            keys = [unpacked_keys(r[1]) for r in rows]
+            told = [np.concatenate(column) for column in zip(*(_unmixed(r[2], 2) for r in rows))]
             different, number = np.unique(np.concatenate(keys), return_inverse=True)
             total, kept, lower = (np.bincount(number, t, minlength=len(different)) for t in told)
             free = total - kept
@@ -359,13 +387,12 @@ class Model:
             seen = total > 0
             with np.errstate(divide="ignore", invalid="ignore"):
                 weight = np.where(seen, np.log10(free / all_ / (1 - lower)), 0.0)
-                size = np.where(seen, np.log10(all_), 0.0)
-            answers = np.array([weight, size])[:, number]
+            size, weight = np.where(seen, all_, 1)[number], weight[number]
             cuts = np.cumsum([0, *map(len, keys)])
-            data = [answers[:, a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            data = [_mixed(size[a:b], weight[a:b]) for a, b in zip(cuts, cuts[1:])]
             return [r[0] for r in rows], 2 * k + 1, data, [int(seen.sum())]
 
-        self._ask(make, reply, f"weights{k}")
+        self._ask(make, reply, f"weights{k}", True)
 
     def scores(self) -> DataFrame:
         unigrams, factors, order = self.unigrams, list(self.factors), self.order
@@ -394,7 +421,19 @@ class Model:
 
 
 def _joined(blobs: list[bytes]) -> np.ndarray:
-    return np.concatenate([unpacked(b) for b in blobs])
+    return np.concatenate([unpacked(b) for b in blobs]).astype(np.int64)
+
+
+def _mixed(whole: np.ndarray, *numbers: np.ndarray) -> bytes:
+    """A column of whole numbers and columns of others of the same length."""
+    others = b"".join(n.astype(np.float64).tobytes() for n in numbers)
+    return len(whole).to_bytes(8, "little") + others + packed(whole.astype(np.uint64))
+
+
+def _unmixed(data: bytes, numbers: int) -> list[np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    others = np.frombuffer(data, np.float64, numbers * n, offset=8).reshape(numbers, n)
+    return [unpacked(data[8 + 8 * numbers * n :]), *others]
 
 
 class Evaluation:
@@ -406,13 +445,10 @@ class Evaluation:
         for k in range(2, order + 1):
             *_, of, shorter = chunk.grams(k)
             counts = _joined(answers[2 * k]) >> 1
-            weights = np.concatenate(
-                [np.frombuffer(b, np.float64).reshape(2, -1) for b in answers[2 * k + 1]], axis=1
-            )
-            weight, size = weights[:, of]
+            size, weight = map(np.concatenate, zip(*(_unmixed(b, 1) for b in answers[2 * k + 1])))
             with np.errstate(divide="ignore"):
-                direct = np.log10(discounted(counts, factors[k - 1])) - size
-            self.logs[k] = np.where(counts > 0, direct, weight + self.logs[k - 1][shorter])
+                direct = np.log10(discounted(counts, factors[k - 1])) - np.log10(size.astype(np.float64))[of]
+            self.logs[k] = np.where(counts > 0, direct, weight[of] + self.logs[k - 1][shorter])
 
 
 def score(docs: DataFrame, scratch: Scratch, order: int = ORDER) -> DataFrame:

@@ -151,3 +151,13 @@ def test_query(spark):
     same(rows, [brute.row(d.doc_id, d.text) for d in docs])
     test = [r for r in rows if r.held_out]
     assert test and sum(r.score for r in test) > sum(r.base_score for r in test)
+
+
+@pytest.mark.parametrize("values", [[], [0, 0, 0], [1, 2, 255], [0, 256, 70_000], [2**63 + 5, 2**64 - 1, 7]])
+def test_packing(values):
+    values = np.array(values, np.uint64)
+    assert katz.unpacked(katz.packed(values)).tolist() == values.tolist()
+    ordered = np.sort(values)
+    assert katz.unpacked_keys(katz.packed_keys(ordered)).tolist() == ordered.tolist()
+    mixture = katz._unmixed(katz._mixed(values, values / 3, values / 7), 2)
+    assert [m.tolist() for m in mixture] == [values.tolist(), (values / 3).tolist(), (values / 7).tolist()]
