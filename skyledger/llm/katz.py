@@ -273,8 +273,10 @@ class Model:
         self.factors: list[np.ndarray] = []
         for k in range(1, order + 1):
             self._count(k)
+            scratch.free()
             if k > 1:
                 self._weigh(k)
+                scratch.free()
 
     def _gathered(self, with_answers: bool) -> DataFrame:
         """Chunks, each together with the answers it got where these are needed."""
@@ -328,7 +330,6 @@ class Model:
         asked = asked.repartition("bucket").sortWithinPartitions("bucket", "chunk")
         answered = self.scratch.keep(asked.mapInArrow(answer, ANSWER), name)
         self.answers.append(answered)
-        self.scratch.free()
         return answered
 
     def _count(self, k: int) -> None:
