@@ -304,8 +304,10 @@ class Model:
 
         return self._gathered(with_answers).mapInArrow(run, ddl)
 
-    def _ask(self, make: Callable, reply: Callable, name: str, with_answers: bool) -> DataFrame:
-        """``make(chunk, answers)`` gives keys in order and data of each as a function of
+    def _ask(self, make: Callable, reply: Callable, name: str, with_answers: bool) -> list[int]:
+        """Adds a table of answers; returns the sums of what the buckets say of themselves.
+
+        ``make(chunk, answers)`` gives keys in order and data of each as a function of
         a slice; ``reply(requests)`` gives a bucket's answers and its statistics."""
         bits = self.bits
 
@@ -330,7 +332,8 @@ class Model:
         asked = asked.repartition("bucket").sortWithinPartitions("bucket", "chunk")
         answered = self.scratch.keep(asked.mapInArrow(answer, ANSWER), name)
         self.answers.append(answered)
-        return answered
+        sums = answered.where("chunk is null").select(F.posexplode("stats").alias("i", "n"))
+        return [row.n for row in sums.groupBy("i").agg(F.sum("n").alias("n")).orderBy("i").collect()]
 
     def _count(self, k: int) -> None:
         def make(chunk: Chunk, answers: dict):
@@ -353,10 +356,7 @@ class Model:
             stats = [int((counts > 0).sum()), int(counts.sum()), *few[1:].tolist()]
             return [r[0] for r in rows], 2 * k, [packed(values[a:b]) for a, b in zip(cuts, cuts[1:])], stats
 
-        answered = self._ask(make, reply, f"counts{k}", False)
-        sums = answered.where("chunk is null").select(F.posexplode("stats").alias("i", "n"))
-        sums = sums.groupBy("i").agg(F.sum("n").alias("n")).orderBy("i").collect()
-        stats = [row.n for row in sums] or [0] * (FEW + 3)
+        stats = self._ask(make, reply, f"counts{k}", False) or [0] * (FEW + 3)
         if k == 1:
             self.unigrams = Unigrams(stats[0], stats[1], stats[2:])
             self.factors.append(self.unigrams.factors)
