@@ -1,17 +1,34 @@
-"""Managed tables: create, overwrite, append by batch, remove."""
+"""Tables: create, overwrite, append by batch, remove.
+
+Rows are written once, into a folder of their own below the table's folder, and become
+the table's rows by one statement of the catalog: a load moves the table to its new
+folder, a batch moves its partition. What a statement leaves behind is marked as retired
+and stays readable for ``GRACE_SECONDS``, so a running reader finishes on the rows it
+began with. ``sweep`` removes it after that, together with what failed loads left.
+"""
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyledger.config import BATCH_LAYERS, STREAM_LAYERS, LakeConfig
-from skyledger.session import shared_scratch
 
 BATCH_ID = "batch_id"
 
+#: Seconds for which rows that are not live any more are kept for running readers.
+GRACE_SECONDS = 3600
+#: Mark in a folder that is not live any more. Its name hides it from readers.
+RETIRED = "_retired"
+#: Ending of a table that is complete and about to take another one's name.
+NEXT = "__next"
+
 
 def create_schemas(spark: SparkSession, cfg: LakeConfig) -> list[str]:
     """The batch and streaming schemas, each at its configured location."""
@@ -30,12 +47,23 @@ def drop_schema(spark: SparkSession, schema: str, *, confirm: str) -> None:
     """Drops a schema with all its tables; ``confirm`` must repeat its name."""
     if confirm != schema:
         raise ValueError(f"not dropping {schema}: confirm says {confirm!r}")
+    if spark.catalog.databaseExists(schema):
+        held = spark.catalog.listTables(schema)
+        drop_tables(spark, [f"{schema}.{t.name}" for t in held if not t.isTemporary and t.tableType != "VIEW"])
     spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
 
 
 def drop_tables(spark: SparkSession, names: Iterable[str]) -> None:
+    """Drops tables with their rows, retired ones included."""
     for name in names:
+        folder = None
+        if spark.catalog.tableExists(name) and _by_folder(name):
+            folder = table_folder(spark, name)
+            if not (location(spark, name) + "/").startswith(folder + "/"):
+                folder = None
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        if folder:
+            delete_paths(spark, [folder], root=folder.rsplit("/", 1)[0])
 
 
 def delete_paths(spark: SparkSession, paths: Iterable[str], *, root: str) -> list[str]:
@@ -59,18 +87,136 @@ def delete_paths(spark: SparkSession, paths: Iterable[str], *, root: str) -> lis
     return [path for path, target in targets if fs.delete(target, True)]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def _hadoop(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _by_folder(name: str, fmt: str = "parquet") -> bool:
+    """Whether versions are kept in folders: in the session's own catalog, unless the
+    format has transactions of its own."""
+    return name.count(".") == 1 and fmt != "delta"
+
+
+def table_folder(spark: SparkSession, name: str) -> str:
+    """The folder below which all rows of a table lie, live or not."""
+    schema, table = name.split(".")
+    return f"{spark.catalog.getDatabase(schema).locationUri.rstrip('/')}/{table}"
+
+
+def location(spark: SparkSession, name: str, partition: str = "") -> str:
+    """Where the live rows of a table or of one of its partitions lie."""
+    return _fact(spark, name, "Location", partition).rstrip("/")
+
+
+def _fact(spark: SparkSession, name: str, fact: str, partition: str = "") -> str:
+    rows = spark.sql(f"DESCRIBE EXTENDED {name} {partition}").collect()
+    # Columns come first, and may be called anything.
+    start = next(i for i, row in enumerate(rows) if row[0].startswith("# Detailed "))
+    return next(row[1] for row in rows[start:] if row[0] == fact)
+
+
+def version(spark: SparkSession, name: str) -> str:
+    """Name of the load that a table's rows come from."""
+    return location(spark, name).rsplit("/", 1)[-1]
+
+
+def _stamp() -> str:
+    return f"v{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"
+
+
+def _retire(spark: SparkSession, place: str) -> None:
+    fs, target = _hadoop(spark, f"{place}/{RETIRED}")
+    if fs.exists(target.getParent()):
+        fs.createNewFile(target)
+
+
+def sweep(spark: SparkSession, name: str, grace_seconds: float = GRACE_SECONDS) -> list[str]:
+    """Removes folders of a table that have been retired for the grace period; returns them.
+
+    A folder that is neither live nor marked is a load under way or the rest of one that
+    failed. Once it is older than the period it is marked, and so goes one period later;
+    the period must be longer than a load and than a reader takes.
+    """
+    if not _by_folder(name) or not spark.catalog.tableExists(name):
+        return []
+    folder = table_folder(spark, name)
+    fs, base = _hadoop(spark, folder)
+    if not fs.exists(base):
+        return []
+    now = time.time() * 1000
+    live = {location(spark, name)}
+    batches = set(batch_ids(spark, name)) if BATCH_ID in spark.table(name).columns else set()
+    removed = []
+    for status in fs.listStatus(base):
+        child = status.getPath().getName()
+        stamp = child.rsplit("-", 1)[-1]
+        if not (status.isDirectory() and stamp.startswith("v") and "_" in stamp):
+            continue
+        place = f"{folder}/{child}"
+        if child.startswith(f"{BATCH_ID}="):
+            number = int(child.split("=", 1)[1].rsplit("-", 1)[0])
+            if number in batches and location(spark, name, _partition(number)).endswith("/" + child):
+                continue
+        elif any(at.endswith("/" + child) for at in live):
+            continue
+        mark = _hadoop(spark, f"{place}/{RETIRED}")[1]
+        if fs.exists(mark):
+            if now - fs.getFileStatus(mark).getModificationTime() >= grace_seconds * 1000:
+                fs.delete(status.getPath(), True)
+                removed.append(place)
+        elif now - int(stamp[1:].split("_")[0]) >= grace_seconds * 1000:
+            fs.createNewFile(mark)
+    return removed
+
+
+def _ddl(fields: Iterable[T.StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+
+
+def _shape(fields: Iterable[T.StructField]) -> list[tuple[str, str]]:
+    return [(f.name.lower(), f.dataType.simpleString()) for f in fields]
+
+
+def _finish_replacing(spark: SparkSession, name: str) -> None:
+    """Completes a replacement that was stopped between dropping the old table and giving
+    its name to the new one; forgets one that was stopped before that."""
+    waiting = name + NEXT
+    if not _by_folder(name) or not spark.catalog.tableExists(waiting):
+        return
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE IF EXISTS {waiting}")
+    else:
+        spark.sql(f"ALTER TABLE {waiting} RENAME TO {name}")
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
-    return spark.table(name)
+    try:
+        return spark.table(name)
+    except AnalysisException:
+        _finish_replacing(spark, name)
+        return spark.table(name)
 
 
 def overwrite_table(
-    df: DataFrame, name: str, fmt: str = "parquet", partition_by: Iterable[str] = ()
+    df: DataFrame,
+    name: str,
+    fmt: str = "parquet",
+    partition_by: Iterable[str] = (),
+    grace_seconds: float = GRACE_SECONDS,
 ) -> None:
-    """Replaces a managed table.
+    """Replaces the rows of a table, and its columns where they differ.
 
-    The new rows are written to a table beside the old one, which is dropped only
-    after that and gives its name; a load that fails leaves the old rows. Delta
-    replaces a table in one transaction by itself.
+    The new rows are written to a folder of their own first; a load that fails leaves the
+    old ones. Then one statement moves the table there. Where that cannot be one statement
+    (other columns, or partitions, which the catalog lists one by one) a complete table is
+    created beside the old one and takes its name; if that is stopped halfway, the next
+    ``read_table`` or load completes it. Delta replaces a table in one transaction.
 
     Without partitions every task writes its own rows and nothing is shuffled.
     With them, rows are gathered by partition value first, so that a partition
@@ -84,17 +230,51 @@ def overwrite_table(
     if columns:
         writer = writer.partitionBy(*columns)
     spark = df.sparkSession
-    if fmt == "delta" or not spark.catalog.tableExists(name):
+    if not _by_folder(name, fmt):
         writer.saveAsTable(name)
         return
-    beside = f"{name}_{uuid.uuid4().hex[:12]}"
+    _finish_replacing(spark, name)
+    folder = table_folder(spark, name)
+    place = f"{folder}/{_stamp()}"
     try:
-        writer.saveAsTable(beside)
+        writer.save(place)
     except Exception:
-        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        delete_paths(spark, [place], root=folder)
         raise
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {name}")
+    last = {c.lower() for c in columns}
+    data = [f for f in df.schema if f.name.lower() not in last]
+    keys = [f for c in columns for f in df.schema if f.name.lower() == c.lower()]
+    _make_live(spark, name, fmt, place, data, keys)
+    sweep(spark, name, grace_seconds)
+
+
+def _make_live(
+    spark: SparkSession, name: str, fmt: str, place: str, data: list[T.StructField], keys: list[T.StructField]
+) -> None:
+    def create(table: str) -> None:
+        parts = f"PARTITIONED BY ({', '.join(f'`{f.name}`' for f in keys)})" if keys else ""
+        spark.sql(f"CREATE TABLE {table} ({_ddl([*data, *keys])}) USING {fmt} {parts} LOCATION '{place}'")
+        if keys:
+            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+    if not spark.catalog.tableExists(name):
+        create(name)
+        return
+    before = location(spark, name)
+    stored = spark.catalog.listColumns(name)
+    old = list(spark.table(name).schema)
+    known = len(old)
+    whole = not keys and not any(c.isPartition for c in stored)
+    same_kind = _fact(spark, name, "Provider").lower() == fmt.lower()
+    if whole and same_kind and _shape(old) == _shape(data[:known]):
+        if len(data) > known:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(data[known:])})")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
+    else:
+        create(name + NEXT)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"ALTER TABLE {name}{NEXT} RENAME TO {name}")
+    _retire(spark, before)
 
 
 def settle(df: DataFrame, path: str) -> DataFrame:
@@ -109,48 +289,63 @@ def settle(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _batch_table(spark: SparkSession, df: DataFrame, name: str, fmt: str) -> None:
-    if spark.catalog.tableExists(name):
-        return
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}, `{BATCH_ID}` BIGINT) "
-        f"USING {fmt} PARTITIONED BY (`{BATCH_ID}`)"
-    )
+def _partition(batch_id: int) -> str:
+    return f"PARTITION (`{BATCH_ID}` = {int(batch_id)})"
+
+
+def _fitted(field: T.StructField, kind: T.DataType) -> Column:
+    """A column as the table stores it; a value that does not fit is an error."""
+    column = F.col(f"`{field.name}`")
+    if field.dataType.simpleString() == kind.simpleString():
+        return column
+    fitted = column.try_cast(kind)
+    lost = F.raise_error(F.concat(F.lit(f"no {kind.simpleString()} for {field.name}: "), column.cast("string")))
+    return F.when(column.isNotNull() & fitted.isNull(), lost.cast(kind)).otherwise(fitted).alias(field.name)
 
 
 def write_batch(df: DataFrame, name: str, batch_id: int, fmt: str = "parquet") -> None:
     """Appends one micro-batch as the partition ``batch_id`` of a table.
 
-    A batch that is replayed after a failure replaces its own partition, so its
-    rows are in the table once. The static partition clause is essential: a
-    DataFrame overwrite of a partitioned table removes the other batches too.
-
-    The batch is computed and settled first, as the overwrite removes the old
-    partition before it writes: a replay that cannot be computed leaves the batch
-    as it was. Columns that the table lacks are added to it; earlier batches have
-    NULL there. A batch without one of the table's columns is an error.
+    The rows are written once, to a folder of their own, with the types the table has;
+    then one statement makes that folder the partition. So a batch that is replayed
+    after a failure is in the table once, and a replay that fails, for whatever reason,
+    leaves the batch as it was. Columns that the table lacks are added to it; earlier
+    batches have NULL there. A batch without one of the table's columns is an error.
     """
     spark = df.sparkSession
-    staging = shared_scratch(spark, "batch")
-    df = settle(df, staging)
-    _batch_table(spark, df, name, fmt)
-    there = {c.lower() for c in spark.table(name).columns}
-    new = [f for f in df.schema if f.name.lower() not in there]
-    if new:
-        added = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added})")
-    view = f"batch_{uuid.uuid4().hex}"
-    df.createOrReplaceTempView(view)
-    try:
-        columns = ", ".join(f"`{c}`" for c in spark.table(name).columns if c != BATCH_ID)
+    if not _by_folder(name, fmt):
+        rows = df.withColumn(BATCH_ID, F.lit(int(batch_id)).cast("bigint"))
+        rows.write.format(fmt).mode("overwrite").partitionBy(BATCH_ID).option("mergeSchema", "true").option(
+            "replaceWhere", f"{BATCH_ID} = {int(batch_id)}"
+        ).saveAsTable(name)
+        return
+    folder = table_folder(spark, name)
+    if not spark.catalog.tableExists(name):
         spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION (`{BATCH_ID}` = {int(batch_id)}) "
-            f"SELECT {columns} FROM {view}"
+            f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(df.schema)}, `{BATCH_ID}` BIGINT) "
+            f"USING {fmt} PARTITIONED BY (`{BATCH_ID}`) LOCATION '{folder}'"
         )
-    finally:
-        spark.catalog.dropTempView(view)
-        delete_paths(spark, [staging], root=staging.rsplit("/", 1)[0])
+    stored = {f.name.lower(): f.dataType for f in spark.table(name).schema if f.name != BATCH_ID}
+    missing = stored.keys() - {c.lower() for c in df.columns}
+    if missing:
+        raise ValueError(f"batch {batch_id} lacks columns of {name}: {', '.join(sorted(missing))}")
+    rows = df.select(*(_fitted(f, stored.get(f.name.lower(), f.dataType)) for f in df.schema))
+    place = f"{folder}/{BATCH_ID}={int(batch_id)}-{_stamp()}"
+    try:
+        rows.write.format(fmt).save(place)
+    except Exception:
+        delete_paths(spark, [place], root=folder)
+        raise
+    new = [f for f in df.schema if f.name.lower() not in stored]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_ddl(new)})")
+    part = _partition(batch_id)
+    if int(batch_id) in batch_ids(spark, name):
+        before = location(spark, name, part)
+        spark.sql(f"ALTER TABLE {name} {part} SET LOCATION '{place}'")
+        _retire(spark, before)
+    else:
+        spark.sql(f"ALTER TABLE {name} ADD {part} LOCATION '{place}'")
 
 
 def batch_ids(spark: SparkSession, name: str) -> list[int]:
@@ -160,6 +355,12 @@ def batch_ids(spark: SparkSession, name: str) -> list[int]:
 
 
 def drop_batches(spark: SparkSession, name: str, ids: Iterable[int]) -> None:
-    clauses = ", ".join(f"PARTITION (`{BATCH_ID}` = {int(i)})" for i in ids)
-    if clauses:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {clauses}")
+    """Takes batches out of a table, by one statement; ``sweep`` removes their rows."""
+    held = set(batch_ids(spark, name))
+    ids = [int(i) for i in ids if int(i) in held]
+    if not ids:
+        return
+    places = [location(spark, name, _partition(i)) for i in ids] if _by_folder(name) else []
+    spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(_partition, ids))}")
+    for place in places:
+        _retire(spark, place)
