@@ -10,7 +10,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from skyledger.config import LakeConfig
+from skyledger.config import BATCH_LAYERS, STREAM_LAYERS, LakeConfig
 from skyledger.plans import batch
 from skyledger.session import build_session, stream_session
 from skyledger.sources import csv_files, generators, streams, tables
@@ -101,10 +101,36 @@ def run_stream(spark, cfg, args):
         query.awaitTermination()
 
 
+def run_merge(spark, cfg, args):
+    taken = jobs.merge_gold(
+        spark,
+        cfg.table_name("silver"),
+        cfg.table_name("gold", stream=True),
+        cfg.table_name("gold", stream=True, table=jobs.MERGED_TABLE),
+        f"{cfg.checkpoint('merge')}_staging",
+        side=args.side,
+        fmt=cfg.table_format,
+    )
+    print("merged batches:", taken)
+
+
 def run_summary(spark, cfg, args):
     gold = cfg.table_name("gold", stream=True)
+    merged = cfg.table_name("gold", stream=True, table=jobs.MERGED_TABLE)
     summary = cfg.table_name("gold", stream=True, table=jobs.SUMMARY_TABLE)
-    jobs.store_summary(spark, gold, summary, cfg.table_format)
+    if spark.catalog.tableExists(merged):
+        jobs.store_summary(spark, merged, summary, cfg.table_format, merged=True)
+    else:
+        jobs.store_summary(spark, gold, summary, cfg.table_format)
+
+
+def run_sweep(spark, cfg, args):
+    layers = [(name, False) for name in BATCH_LAYERS] + [(name, True) for name in STREAM_LAYERS]
+    for schema in (cfg.schema(layer, stream=stream) for layer, stream in layers):
+        for one in spark.catalog.listTables(schema):
+            if not one.isTemporary:
+                removed = tables.sweep(spark, f"{schema}.{one.name}", args.grace)
+                print(f"{schema}.{one.name}: {len(removed)} folders removed")
 
 
 def run_compact(spark, cfg, args):
@@ -172,6 +198,10 @@ def parser() -> argparse.ArgumentParser:
             help="reading option of the jobs behind bronze, such as maxFilesPerTrigger=N",
         )
     current.add_argument("--stateful", action="store_true")
+    merge = job("merge", run_merge, "merge the batches of joined states into a table of current rows")
+    merge.add_argument("--side", choices=sorted(jobs.SIDES), default="active")
+    sweep = job("sweep", run_sweep, "remove the rows that loads and batches left behind")
+    sweep.add_argument("--grace", type=float, default=tables.GRACE_SECONDS, help="seconds they are kept for readers")
     job("summary", run_summary, "store the dashboard's summary of the joined states")
     job("compact", run_compact, "merge the current-state log")
     flights = job("make-flights", run_flights, "write generated flights")

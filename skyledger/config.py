@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from decimal import Decimal
 
 from pyspark.sql import SparkSession
@@ -23,6 +23,16 @@ class Rules:
     min_delay: int = 15
     high_delay: int = 60
 
+    @classmethod
+    def from_session(cls, spark: SparkSession) -> Rules:
+        """Limits set as ``spark.skyledger.rules.<field>`` in the session."""
+        found = {}
+        for one in fields(cls):
+            text = spark.conf.get(f"spark.skyledger.rules.{one.name}", None)
+            if text is not None:
+                found[one.name] = type(one.default)(text)
+        return cls(**found)
+
 
 @dataclass(frozen=True)
 class LakeConfig:
@@ -44,6 +54,8 @@ class LakeConfig:
     table_format: str = "parquet"
     three_part_names: bool = False
     silver_partitions: tuple[str, ...] = ()
+    # Parts the history is stored in by a hash of the flight id; 0 for none.
+    flight_buckets: int = 0
     rules: Rules = field(default_factory=Rules)
 
     @classmethod
@@ -54,6 +66,7 @@ class LakeConfig:
         for name, kind in (
             ("catalog", str), ("stream_catalog", str), ("root", str), ("table", str),
             ("table_format", str), ("three_part_names", bool), ("silver_partitions", tuple),
+            ("flight_buckets", int),
         ):
             text = spark.conf.get(f"spark.skyledger.{name}", None)
             if text is None:
@@ -62,8 +75,12 @@ class LakeConfig:
                 found[name] = text.lower() == "true"
             elif kind is tuple:
                 found[name] = tuple(part.strip() for part in text.split(",") if part.strip())
+            elif kind is int:
+                found[name] = int(text)
             else:
                 found[name] = text
+        if "rules" not in overrides:
+            found["rules"] = Rules.from_session(spark)
         return cls(**{**found, **overrides})
 
     def schema(self, layer: str, *, stream: bool = False) -> str:

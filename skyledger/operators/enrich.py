@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyledger.operators import buckets
 from skyledger.operators.skew import (
     HeavyKeys,
     aqe_splits_skew,
@@ -50,7 +51,16 @@ def flights_with_state(
     history: DataFrame, latest: DataFrame, heavy: HeavyKeys | None = None
 ) -> DataFrame:
     """Every historical flight, with its latest state where there is one."""
-    return _join(history, latest, "left", heavy).drop(TRACKING_KEY)
+    return _join(buckets.without(history), latest, "left", heavy).drop(TRACKING_KEY)
+
+
+def touched_flights(
+    history: DataFrame, latest: DataFrame, heavy: HeavyKeys | None = None
+) -> DataFrame:
+    """The historical flights that have a state, with it. Of a history that is stored in
+    parts by flight, only the parts that hold them are read."""
+    history = buckets.without(buckets.holding(history, latest, TRACKING_KEY))
+    return _join(history, latest, "inner", heavy)
 
 
 def active_with_history(
@@ -67,12 +77,13 @@ def active_with_history(
     side) and could not split a heavy flight there; the inner join can
     broadcast ``latest`` and can split either side.
 
-    With ``staging`` the matched rows are settled there and say which flights
+    Of a history that is stored in parts by flight, only the parts that hold tracked
+    flights are read. With ``staging`` the matched rows are settled there and say which flights
     have history, so the history is scanned once. Without it, a second scan
     reads the id column only, reduced to distinct ids in each task; a ``latest``
     small enough to broadcast is moved below that by the optimizer.
     """
-    matched = _join(history, latest, "inner", heavy)
+    matched = touched_flights(history, latest, heavy)
     if staging:
         matched = settle(matched, staging)
         known = matched.select(FLIGHT).distinct()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from skyledger.config import LakeConfig
+from skyledger.operators import buckets
 from skyledger.operators.bronze import rename_flights, stamp_ingestion
 from skyledger.operators.gold import monthly_by_airline, monthly_by_route
 from skyledger.operators.silver import silver_flights
@@ -29,12 +30,11 @@ def ingest(spark: SparkSession, cfg: LakeConfig, csv_path: str) -> dict[str, int
 
 def transform(spark: SparkSession, cfg: LakeConfig) -> None:
     bronze = tables.read_table(spark, cfg.table_name("bronze"))
-    tables.overwrite_table(
-        silver_flights(bronze, cfg.rules),
-        cfg.table_name("silver"),
-        cfg.table_format,
-        cfg.silver_partitions,
-    )
+    silver, partitions = silver_flights(bronze, cfg.rules), cfg.silver_partitions
+    if cfg.flight_buckets:
+        silver = buckets.add(silver, cfg.flight_buckets)
+        partitions = (buckets.column(cfg.flight_buckets), *partitions)
+    tables.overwrite_table(silver, cfg.table_name("silver"), cfg.table_format, partitions)
 
 
 def load(spark: SparkSession, cfg: LakeConfig) -> None:

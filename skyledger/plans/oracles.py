@@ -615,6 +615,15 @@ FROM silver WHERE analisis_mes IS NOT NULL GROUP BY 1""",
 ORACLES["airline_month_table"] = ORACLES["gold_airline_month"]
 # Four batches that each wrote all flights show every flight once, with its state.
 ORACLES["gold_current"] = _JOINED
+ORACLES["gold_merged"] = ORACLES["gold_reloaded"] = _JOINED
+ORACLES["gold_reloaded_active"] = _ACTIVE
+ORACLES["bi_total_merged"] = ORACLES["bi_total"]
+ORACLES["gold_empty_batch"] = f"""WITH {SILVER}
+SELECT CAST(batch_id AS DOUBLE) AS batch_id, CAST((SELECT count(*) FROM silver) AS DOUBLE) AS vuelos
+FROM (VALUES (0), (2)) AS batches(batch_id)"""
+ORACLES["active_enriched_parts"] = _ACTIVE.replace(
+    "FROM latest LEFT JOIN", "FROM (SELECT * FROM latest WHERE tracking_key LIKE '%7') AS latest LEFT JOIN"
+)
 ORACLES["bi_total_gold"] = ORACLES["bi_total"]
 ORACLES["bi_passengers_month_gold"] = ORACLES["bi_passengers_month"]
 ORACLES["bi_filter_options_gold"] = ORACLES["bi_filter_options_month"]

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from skyledger.config import LakeConfig, Rules
 from skyledger.functions import tracking as tr
-from skyledger.operators import bi, enrich, gold, silver
+from skyledger.operators import bi, buckets, enrich, gold, silver
 from skyledger.operators import tracking as tk
 from skyledger.operators.bronze import rename_flights, require_present, stamp_ingestion
 from skyledger.operators.skew import heavy_keys
@@ -28,6 +28,9 @@ from skyledger.sources.star_tables import (
 )
 from skyledger.streaming import jobs
 
+#: Parts in which the queries below store a history by flight.
+FLIGHT_BUCKETS = 32
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -316,6 +319,20 @@ def active_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(enrich.active_with_history(flights, latest, heavy, matched))
 
 
+@query
+def active_enriched_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history stored in parts by flight; those without a tracked flight are not read.
+    Tracked are the flights whose id ends in 7."""
+    cfg = _lake(spark, "parts")
+    history = cfg.table_name("silver")
+    flights = buckets.add(_flights(spark, sf_dir), FLIGHT_BUCKETS)
+    tables.overwrite_table(flights, history, partition_by=[buckets.column(FLIGHT_BUCKETS)])
+    latest = _latest(spark, sf_dir).where(F.col("tracking_key").endswith("7"))
+    stored = _stored(spark, cfg, history)
+    heavy = enrich.skew_plan(stored, latest)
+    return plain(enrich.active_with_history(stored, latest, heavy, shared_scratch(spark, "matched")))
+
+
 # Dashboard
 
 
@@ -441,7 +458,7 @@ def _gold_stream(spark: SparkSession, sf_dir: str, side: str) -> DataFrame:
         rules=RULES,
         side=side,
     ).awaitTermination()
-    return plain(_stored(spark, cfg, name).drop(tables.BATCH_ID))
+    return plain(_stored(spark, cfg, name).drop(tables.BATCH_ID, jobs.HISTORY_VERSION))
 
 
 @query
@@ -466,7 +483,77 @@ def gold_batches_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw_events(spark, sf_dir)
     for batch_id in (0, 1, 2, 3, 2, 4):
         write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
-    return plain(_stored(spark, cfg, name))
+    return plain(_stored(spark, cfg, name).drop(jobs.HISTORY_VERSION))
+
+
+@query
+def gold_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each batch, of which the second has no events: it writes nothing, also
+    where a batch has a row for every flight of the history."""
+    cfg = _lake(spark, "gold_empty")
+    history, name = cfg.table_name("silver"), cfg.table_name("gold", stream=True)
+    tables.overwrite_table(_flights(spark, sf_dir), history)
+    write = jobs.gold_batch_writer(history, name, f"{cfg.root}/staging", rules=RULES, side="history")
+    raw = _raw_events(spark, sf_dir)
+    for batch_id, hub in enumerate(("0", "none", "1")):
+        write(tk.parse_events(raw.where(F.col("partition") == hub)), batch_id)
+    stored = _stored(spark, cfg, name).groupBy(tables.BATCH_ID).agg(F.count("*").alias("vuelos"))
+    return plain(stored)
+
+
+def _merged_gold(spark: SparkSession, sf_dir: str, label: str, side: str, loads: dict[int, DataFrame]) -> DataFrame:
+    """Current rows after four batches, merged after the second and at the end; ``loads``:
+    what is loaded as the history before a batch."""
+    cfg = _lake(spark, label)
+    history, name = cfg.table_name("silver"), cfg.table_name("gold", stream=True)
+    merged = cfg.table_name("gold", stream=True, table=jobs.MERGED_TABLE)
+    staging = f"{cfg.root}/staging"
+    write = jobs.gold_batch_writer(history, name, staging, rules=RULES, side=side)
+    raw = _raw_events(spark, sf_dir)
+    for batch_id in range(4):
+        if batch_id in loads:
+            flights = buckets.add(loads[batch_id], FLIGHT_BUCKETS)
+            tables.overwrite_table(flights, history, partition_by=[buckets.column(FLIGHT_BUCKETS)])
+        write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
+        if batch_id % 2:
+            jobs.merge_gold(spark, history, name, merged, staging, side=side)
+    tables.delete_paths(spark, [f"{staging}_states", f"{staging}_changed"], root=cfg.root)
+    _stored(spark, cfg, name)
+    return jobs.read_merged(spark, merged)
+
+
+@query
+def gold_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches over one load of the history; the second merge joins again only the
+    flights with newer events."""
+    return plain(_merged_gold(spark, sf_dir, "gold_merged", "history", {0: _flights(spark, sf_dir)}))
+
+
+def _old_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An earlier load: fewer flights, with other seats and airlines."""
+    return _flights(spark, sf_dir).where("analisis_mes <= 9").withColumns(
+        {"capacidad_pasajeros": F.col("capacidad_pasajeros") + 1, "info_aerolinea": F.lit("antes")}
+    )
+
+
+@query
+def gold_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The history is loaded again between the batches; all current rows are of the
+    second load, whichever batch brought their state."""
+    loads = {0: _old_load(spark, sf_dir), 2: _flights(spark, sf_dir)}
+    return plain(_merged_gold(spark, sf_dir, "gold_reloaded", "history", loads))
+
+
+@query
+def gold_reloaded_active(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loads = {0: _old_load(spark, sf_dir), 3: _flights(spark, sf_dir)}
+    return plain(_merged_gold(spark, sf_dir, "gold_reloaded_active", "active", loads))
+
+
+@query
+def bi_total_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loads = {0: _old_load(spark, sf_dir), 1: _flights(spark, sf_dir)}
+    return bi.total_flights(_merged_gold(spark, sf_dir, "bi_total_merged", "history", loads))
 
 
 def _gold_by_hub(spark: SparkSession, sf_dir: str) -> str:
@@ -614,10 +701,14 @@ def table_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.overwrite_table(flights.select("id_vuelo"), kept)
     tables.overwrite_table(flights, kept)
     tables.overwrite_table(flights.select("id_vuelo"), gone)
-    batch.teardown(spark, cfg, tables_to_drop=[gone], paths=[cfg.location("exploratory")])
+    # Folders that belong to no schema, as checkpoints do, which only the delete removes.
+    strays = [cfg.checkpoint("borrador"), f"{cfg.root}/landing/borrador"]
+    for stray in strays:
+        flights.select("id_vuelo").limit(1).write.parquet(stray)
+    batch.teardown(spark, cfg, tables_to_drop=[gone], paths=strays)
     tables.drop_schema(spark, cfg.schema("exploratory"), confirm=cfg.schema("exploratory"))
     schema_left = spark.catalog.databaseExists(cfg.schema("exploratory"))
-    paths_left = tables.delete_paths(spark, [cfg.location("exploratory")], root=cfg.root)
+    paths_left = [stray for stray in strays if tables.path_exists(spark, stray)]
     place = spark.sql(f"DESCRIBE EXTENDED {kept}").where("col_name = 'Location'").first()[1]
     return (
         tables.read_table(spark, kept)

@@ -126,6 +126,17 @@ def version(spark: SparkSession, name: str) -> str:
     return location(spark, name).rsplit("/", 1)[-1]
 
 
+def snapshot(spark: SparkSession, name: str) -> tuple[str, DataFrame]:
+    """A table's load and its rows, which stay those of that load whatever comes later."""
+    if not _by_folder(name) or _fact(spark, name, "Provider").lower() == "delta":
+        spark.catalog.refreshTable(name)
+        return "", spark.table(name)
+    spark.catalog.refreshTable(name)
+    place, schema = location(spark, name), spark.table(name).schema
+    rows = spark.read.format(_fact(spark, name, "Provider")).schema(schema).load(place)
+    return place.rsplit("/", 1)[-1], rows.select(*schema.fieldNames())
+
+
 def _stamp() -> str:
     return f"v{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"
 

@@ -17,12 +17,15 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 from skyledger.config import LakeConfig, Rules
 from skyledger.operators import bi, enrich
 from skyledger.operators import tracking as tk
-from skyledger.schemas import TRACKING_EVENT
+from skyledger.schemas import TRACKING_COLUMNS, TRACKING_EVENT, TRACKING_KEY
 from skyledger.sources import tables
 from skyledger.sources.streams import follow_table
 
 SIDES = {"history": enrich.flights_with_state, "active": enrich.active_with_history}
 
+#: Column that says which load of the history a joined row comes from.
+HISTORY_VERSION = "version_historia"
+
 
 def _triggered(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
@@ -68,6 +71,11 @@ def _start_batches(
     return _triggered(writer, every).start()
 
 
+def states_table(table: str) -> str:
+    """Name of the table with the states that a joined table was made from."""
+    return f"{table}_estados"
+
+
 def gold_batch_writer(
     history: str,
     table: str,
@@ -80,8 +88,10 @@ def gold_batch_writer(
     """Function that joins one micro-batch of events with the history and
     writes the result as that batch's partition.
 
-    The history table is refreshed and read again in each batch, so later loads
-    are seen, also those of another application.
+    Each batch takes the load of the history that is live when it begins, so later loads
+    are seen, also those of another application, and one that comes during a batch does
+    not disturb it. Its rows carry the name of that load. The states themselves are kept
+    as batches of a table beside it, also those of flights that the history lacks yet.
     The batch's states are settled in ``staging`` first (overwritten by the
     next batch): the events are parsed once, and the join is planned with the
     real number of states. ``side="history"`` writes every historical flight in
@@ -95,11 +105,11 @@ def gold_batch_writer(
     def write(events: DataFrame, batch_id: int) -> None:
         if events.isEmpty():
             return
-        spark = events.sparkSession
-        spark.catalog.refreshTable(history)
-        flights = spark.table(history)
+        version, flights = tables.snapshot(events.sparkSession, history)
         latest = tables.settle(tk.latest_state(events, rules), staging)
         joined = combine(flights, latest, enrich.skew_plan(flights, latest))
+        joined = joined.withColumn(HISTORY_VERSION, F.lit(version))
+        tables.write_batch(latest, states_table(table), batch_id, fmt)
         tables.write_batch(joined, table, batch_id, fmt)
 
     return write
@@ -214,28 +224,119 @@ def read_current(spark: SparkSession, table: str, rules: Rules = Rules()) -> Dat
     return log.transform(tk.latest_per_key).transform(tk.tracking_view, rules)
 
 
-def read_gold(spark: SparkSession, table: str) -> DataFrame:
-    """Current rows of the batch-wise joined table, as the dashboard reads them.
+def _newest_states(spark: SparkSession, table: str) -> DataFrame:
+    """The newest state of each flight; of equally new ones that of the later batch."""
+    time, rest = TRACKING_COLUMNS[0], TRACKING_COLUMNS[1:]
+    newest = F.max(F.struct(time, tables.BATCH_ID, *rest)).alias("newest")
+    states = spark.table(states_table(table)).groupBy(TRACKING_KEY).agg(newest)
+    return states.select(TRACKING_KEY, *(F.col(f"newest.{c}").alias(c) for c in TRACKING_COLUMNS))
+
+
+def read_gold(
+    spark: SparkSession, table: str, history: str | None = None, *, side: str = "history"
+) -> DataFrame:
+    """Current rows of the batch-wise joined table, all of one load of the history.
 
     Every batch adds rows for the flights it touched (with ``side="history"``, for
     all flights). Of each flight id, the rows of one batch are current: the one
     with the newest event, the last one where events are equally new or missing.
     Which one it is takes three columns and one row per id and task in the shuffle.
+
+    Where the history was loaded again between the batches, the states are joined with
+    the load that is live now, for which ``history`` and ``side`` must be given.
+    ``merge_gold`` stores the result, so that a reader scans no batches at all.
     """
     stored = spark.table(table)
+    loads = stored.select(HISTORY_VERSION).distinct().limit(2).collect()
+    if len(loads) > 1:
+        if history is None:
+            raise ValueError(f"{table} holds several loads of the history: name its table")
+        return SIDES[side](tables.snapshot(spark, history)[1], _newest_states(spark, table))
     age = F.struct(F.col("tracking_timestamp_evento").alias("t"), F.col(tables.BATCH_ID).alias("b"))
     current = stored.groupBy(F.col(enrich.FLIGHT).alias("_id")).agg(F.max(age)["b"].alias("_b"))
     same = stored[enrich.FLIGHT].eqNullSafe(F.col("_id")) & (stored[tables.BATCH_ID] == F.col("_b"))
-    return stored.join(current, same, "left_semi").drop(tables.BATCH_ID)
+    return stored.join(current, same, "left_semi").drop(tables.BATCH_ID, HISTORY_VERSION)
+
+
+#: Table with the current rows of the joined table, which the dashboard reads.
+MERGED_TABLE = "vuelos_actual"
+
+
+def merge_gold(
+    spark: SparkSession,
+    history: str,
+    table: str,
+    merged: str,
+    staging: str,
+    *,
+    side: str = "history",
+    fmt: str = "parquet",
+) -> int:
+    """Merges the batches of the joined table into a table of current rows, which is
+    replaced in one step; returns how many batches were taken.
+
+    While the history is the one the merged table was made from, only the flights with
+    new events are joined again and the other rows are copied. After a load of the
+    history all rows are joined with it, so the merged rows are always of one load.
+    Then the batches go, but for the newest, which may be replayed, and their states
+    become one batch: neither table grows with the number of batches ever written. A run
+    that stops anywhere, or merges a batch twice, gives the same rows.
+    """
+    states = states_table(table)
+    if not spark.catalog.tableExists(states):
+        return 0
+    batches = [b for b in tables.batch_ids(spark, states) if b >= 0]
+    version, flights = tables.snapshot(spark, history)
+    newest = tables.settle(_newest_states(spark, table), f"{staging}_states")
+    before = tables.snapshot(spark, merged)[1] if spark.catalog.tableExists(merged) else None
+    held = before.select(HISTORY_VERSION).first() if before is not None else None
+    if held is not None and held[0] == version:
+        new = spark.table(states).where(F.col(tables.BATCH_ID).isin(batches)) if batches else newest.limit(0)
+        ids = new.select(TRACKING_KEY).distinct()
+        changed = tables.settle(newest.join(ids, TRACKING_KEY, "left_semi"), f"{staging}_changed")
+        gone = changed.select(F.col(TRACKING_KEY).alias("_id"))
+        kept = before.join(gone, F.col(enrich.FLIGHT) == F.col("_id"), "left_anti").drop(HISTORY_VERSION)
+        join = enrich.touched_flights if side == "history" else enrich.active_with_history
+        again = join(flights, changed, enrich.skew_plan(flights, changed)).drop(TRACKING_KEY)
+        rows = kept.unionByName(again)
+    else:
+        rows = SIDES[side](flights, newest, enrich.skew_plan(flights, newest))
+    tables.overwrite_table(rows.withColumn(HISTORY_VERSION, F.lit(version)), merged, fmt)
+    if spark.catalog.tableExists(table):
+        tables.drop_batches(spark, table, batches[:-1])
+        tables.sweep(spark, table)
+    if len(batches) > 1:
+        _merge_batches(spark, states, newest, fmt)
+    return len(batches)
+
+
+def _merge_batches(spark: SparkSession, table: str, rows: DataFrame, fmt: str) -> int:
+    """Makes ``rows`` the one batch of a table besides its newest, which may be replayed;
+    returns its number (negative, so no batch can take it)."""
+    merged = tables.batch_ids(spark, table)[:-1]
+    target = min(merged[0], 0) - 1
+    tables.write_batch(rows, table, target, fmt)
+    tables.drop_batches(spark, table, merged)
+    tables.sweep(spark, table)
+    return target
+
+
+def read_merged(spark: SparkSession, merged: str) -> DataFrame:
+    """The current rows as ``merge_gold`` stored them."""
+    return tables.snapshot(spark, merged)[1].drop(HISTORY_VERSION)
 
 
 #: Table with the dashboard's summary of the joined table.
 SUMMARY_TABLE = "resumen_tablero"
 
 
-def store_summary(spark: SparkSession, table: str, summary: str, fmt: str = "parquet") -> None:
-    """Stores what the dashboard needs of the joined table, one row per flight and date."""
-    tables.overwrite_table(bi.summarise(read_gold(spark, table)), summary, fmt)
+def store_summary(
+    spark: SparkSession, table: str, summary: str, fmt: str = "parquet", *, merged: bool = False
+) -> None:
+    """Stores what the dashboard needs of the joined table (of its merged form where
+    ``merged``), one row per flight and date."""
+    rows = read_merged(spark, table) if merged else read_gold(spark, table)
+    tables.overwrite_table(bi.summarise(rows), summary, fmt)
 
 
 def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> int | None:
@@ -243,20 +344,16 @@ def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> in
     the merged partition (negative, so no batch can take it).
 
     The newest batch is left out: it may not be committed, and its replay may be
-    under way. Old partitions go only after the merged one is complete. A run that
-    stops halfway leaves copies of rows, which ``read_current`` ignores.
+    under way. Old partitions go only after the merged one is complete, and their rows
+    stay for the readers that have begun. A run that stops halfway leaves copies of
+    rows, which ``read_current`` ignores.
     """
     merged = tables.batch_ids(spark, table)[:-1]
     if len(merged) < 2:
         return None
     log = spark.table(table).where(F.col(tables.BATCH_ID).isin(merged))
     newest = log.select(*TRACKING_EVENT.fieldNames()).transform(tk.latest_per_key)
-    target = min(merged[0], 0) - 1
-    newest.withColumn(tables.BATCH_ID, F.lit(target).cast("bigint")).select(
-        *spark.table(table).columns
-    ).write.format(fmt).insertInto(table, overwrite=False)
-    tables.drop_batches(spark, table, merged)
-    return target
+    return _merge_batches(spark, table, newest, fmt)
 
 
 def preview(stream: DataFrame, view: str, rows: int = 20) -> StreamingQuery:

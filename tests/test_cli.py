@@ -29,7 +29,10 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     run("gold", "--follow", "maxFilesPerTrigger=2")
     run("current", "--follow", "maxFilesPerTrigger=2")
     run("summary")
+    run("merge")
+    run("summary")
     run("compact")
+    run("sweep", "--grace", "0")
     events = spark.table(cfg.table_name("silver", stream=True))
     flights = spark.table(cfg.table_name("silver"))
     states = jobs.read_current(spark, cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE))

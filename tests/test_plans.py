@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from skyledger.operators import bi, enrich, gold
+from skyledger.operators import bi, buckets, enrich, gold
 from skyledger.operators import tracking as tk
 from skyledger.operators.silver import silver_flights
 from skyledger.sources import tables
@@ -96,3 +96,21 @@ def test_dates_alone_skip_partitions(spark, lake):
     text = plan(bi.passengers_by_month(tables.read_table(spark, name), days))
     filters = text[text.index("PartitionFilters: ["):].split("]")[0]
     assert "analisis_anio" in filters and "analisis_mes" in filters
+
+
+def test_tracked_flights_read_their_parts_of_the_history_only(spark, lake, tmp_path):
+    name = lake.table_name("silver")
+    flights = silver_flights(bronze(spark, *({"ID_Vuelo": f"AA{i}"} for i in range(200))))
+    tables.overwrite_table(buckets.add(flights, 16), name, partition_by=[buckets.column(16)])
+    history = tables.snapshot(spark, name)[1]
+    states = tk.latest_state(tk.parse_events(bodies(spark, message(ID_Vuelo="AA3"), message(ID_Vuelo="none"))))
+    latest = tables.settle(states, str(tmp_path / "latest"))
+    joined = enrich.touched_flights(history, latest)
+    scan = re.search(r"FileScan parquet .*", plan(joined)).group(0)
+    kept = re.search(r"PartitionFilters: \[.*?cubeta_vuelo_16#\w+ (?:IN \((.*?)\)|= (\d+))", scan)
+    assert len((kept.group(1) or kept.group(2)).split(",")) <= 2
+    whole = enrich.active_with_history(flights, latest)
+    parts = enrich.active_with_history(history, latest, staging=str(tmp_path / "matched"))
+    assert rows(parts) == rows(whole) and parts.count() == 2
+    # A heavy flight in one part is split by adaptive execution as before: the join is on its id.
+    assert "cubeta" not in ", ".join(parts.columns)

@@ -6,7 +6,7 @@ from pathlib import Path
 
 import pytest
 
-from skyledger.operators import enrich
+from skyledger.operators import buckets, enrich
 from skyledger.operators import tracking as tk
 from skyledger.operators.silver import silver_flights
 from skyledger.schemas import EVENT_ENVELOPE, TRACKING_EVENT
@@ -120,7 +120,7 @@ def test_gold_writes_the_joined_states_of_each_batch(spark, lake, tmp_path, hist
     for batch_id, payloads in enumerate(FILES):
         latest = tk.latest_state(tk.parse_events(bodies(spark, *payloads)))
         expected = jobs.SIDES[side](spark.table(history), latest)
-        stored = spark.table(name).where(f"batch_id = {batch_id}").drop("batch_id")
+        stored = spark.table(name).where(f"batch_id = {batch_id}").drop("batch_id", jobs.HISTORY_VERSION)
         assert rows(stored) == rows(expected)
 
 
@@ -275,3 +275,85 @@ def test_broker_options_pass_through(spark):
     assert "body" in stream.columns and "value" not in stream.columns
     with pytest.raises(Exception, match="eventhubs"):
         streams.read_events(spark, "eventhubs", **{"eventhubs.eventHubName": "hub"})
+
+
+@pytest.fixture
+def merging(spark, lake, tmp_path, history):
+    name = lake.table_name("gold", stream=True)
+    merged = lake.table_name("gold", stream=True, table=jobs.MERGED_TABLE)
+    staging = str(tmp_path / "staging")
+
+    def write(side, batch_id, payloads):
+        jobs.gold_batch_writer(history, name, staging, side=side)(tk.parse_events(bodies(spark, *payloads)), batch_id)
+
+    def merge(side):
+        return jobs.merge_gold(spark, history, name, merged, staging, side=side)
+
+    return name, merged, write, merge
+
+
+def load(spark, history, parts=0):
+    """Another load: AA1 with other seats, AA4 new, AA9 gone."""
+    flights = silver_flights(bronze(spark, {"ID_Vuelo": "AA1", "Capacidad_Pasajeros": 7}, {"ID_Vuelo": "AA4"}))
+    if parts:
+        flights = buckets.add(flights, parts)
+    tables.overwrite_table(flights, history, partition_by=[buckets.column(parts)] if parts else [])
+
+
+@pytest.mark.parametrize("parts", [0, 4])
+@pytest.mark.parametrize("side", ["history", "active"])
+def test_merged_rows_are_of_one_load(spark, history, merging, side, parts):
+    name, merged, write, merge = merging
+    assert merge(side) == 0
+    write(side, 0, FILES[0])
+    write(side, 1, FILES[1])
+    assert merge(side) == 2
+
+    def expected(files):
+        flights = buckets.without(spark.table(history))
+        return rows(jobs.SIDES[side](flights, tk.latest_state(all_events(spark, files))))
+
+    assert rows(jobs.read_merged(spark, merged)) == expected(FILES[:2])
+    load(spark, history, parts)
+    assert merge(side) == 1  # the newest batch is left, as it may be replayed
+    assert rows(jobs.read_merged(spark, merged)) == expected(FILES[:2])
+    write(side, 2, FILES[2])
+    with pytest.raises(ValueError, match="several loads"):
+        jobs.read_gold(spark, name)
+    assert rows(jobs.read_gold(spark, name, history, side=side)) == expected(FILES)
+    merge(side)
+    first = rows(jobs.read_merged(spark, merged))
+    assert first == expected(FILES)
+    merge(side)
+    assert rows(jobs.read_merged(spark, merged)) == first
+
+
+def test_merging_keeps_one_batch_and_few_states(spark, merging):
+    name, merged, write, merge = merging
+    for batch_id in range(6):
+        write("active", batch_id, FILES[batch_id % 3])
+    merge("active")
+    assert tables.batch_ids(spark, name) == [5]
+    states = jobs.states_table(name)
+    assert tables.batch_ids(spark, states) == [-1, 5]
+    write("active", 5, FILES[2])  # a replay of the newest batch
+    write("active", 6, FILES[0])
+    before = rows(jobs.read_merged(spark, merged))
+    merge("active")
+    assert tables.batch_ids(spark, states) == [-2, 6] and rows(jobs.read_merged(spark, merged)) == before
+
+
+def test_a_reload_during_a_batch_does_not_disturb_it(spark, lake, tmp_path, history, monkeypatch):
+    name = lake.table_name("gold", stream=True)
+    join = jobs.SIDES["history"]
+
+    def reloading(flights, latest, heavy=None):
+        load(spark, history)
+        return join(flights, latest, heavy)
+
+    before = rows(join(spark.table(history), tk.latest_state(all_events(spark))))
+    monkeypatch.setitem(jobs.SIDES, "history", reloading)
+    jobs.gold_batch_writer(history, name, str(tmp_path / "staging"))(all_events(spark), 0)
+    stored = spark.table(name)
+    assert rows(stored.drop("batch_id", jobs.HISTORY_VERSION)) == before
+    assert {r[0] for r in stored.select(jobs.HISTORY_VERSION).collect()} != {tables.version(spark, history)}
