@@ -12,13 +12,17 @@ at most ``WEIGHT_ROWS`` of them. Training rows have a language and lie outside t
 held-out fold. Ids, sources and the languages of scored rows are not inputs.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text
-when there are no training rows. Languages are the distinct values of ``lang``,
-taken as they are. Other columns are ignored.
+when there are no training rows or the table is empty. Languages are the distinct values
+of ``lang``, taken as they are, the ``MOST_LANGUAGES`` most frequent of them; of equally
+frequent ones, and of equally near codewords, the first by code point. Repeated rows
+count as often as they occur; very long texts count whole, by the mean of their n-grams.
+Other columns are ignored.
 """
 
 from __future__ import annotations
 
 from itertools import product
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +35,9 @@ FOLDS, HELD_OUT = 3, 1
 #: Most training rows the weights of the bits are measured on.
 WEIGHT_ROWS = 20_000
 GRAM, CELLS = 3, 1 << 15
+#: Most values of ``lang`` that are learnt, the most frequent ones: what is counted is this
+#: many times ``CELLS`` numbers, also where the column holds junk. Rows of others are scored.
+MOST_LANGUAGES = 256
 #: Languages up to which all codeword columns are used, and columns per bit beyond.
 EXHAUSTIVE, COLUMNS = 6, 12
 #: Steepness of the loss; share of the loss by which the next codeword must be worse.
@@ -63,8 +70,11 @@ def codewords(languages: int) -> np.ndarray:
     if languages <= EXHAUSTIVE:
         rows = [bits for bits in product((-1, 1), repeat=languages) if bits[0] == 1 and -1 in bits]
         return np.array(rows).T
+    # Halves of the languages, each told from the rest once: there are no more columns.
+    halves = comb(languages, languages // 2) // (2 if languages % 2 == 0 else 1)
+    wanted = min(halves, COLUMNS * int(np.ceil(np.log2(languages))))
     random, columns = np.random.default_rng(languages), []
-    while len(columns) < COLUMNS * int(np.ceil(np.log2(languages))):
+    while len(columns) < wanted or len({row.tobytes() for row in np.array(columns).T}) < languages:
         column = np.where(random.permutation(languages) % 2, 1, -1)
         if all(abs(int(column @ c)) < languages for c in columns):
             columns.append(column)
@@ -151,9 +161,14 @@ def fit(docs: DataFrame) -> Model:
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     known = known.where(fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     rows = known.select("text", lang)
-    languages = sorted(r.lang for r in rows.select("lang").distinct().collect())
+    frequent = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES + 1)
+    found = [r.lang for r in frequent.collect()]
+    languages = sorted(found[:MOST_LANGUAGES])
     if not languages:
         return Model([], np.zeros((0, CELLS), np.int64))
+    if len(found) > MOST_LANGUAGES:
+        known = known.where(lang.isin(languages))
+        rows = known.select("text", lang)
     counts = counted(rows, len(languages) * CELLS, lambda: _GramCount(languages))
     model = Model(languages, counts.reshape(len(languages), CELLS))
     if len(languages) > 1:
