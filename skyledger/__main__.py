@@ -7,10 +7,11 @@ Names and locations come from ``spark.skyledger.*`` session settings (see
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from skyledger.config import BATCH_LAYERS, STREAM_LAYERS, LakeConfig
+from skyledger.config import BATCH_LAYERS, STREAM_LAYERS, Horizon, LakeConfig
 from skyledger.plans import batch
 from skyledger.session import build_session, stream_session
 from skyledger.sources import csv_files, generators, streams, tables
@@ -27,6 +28,15 @@ def _source(spark: SparkSession, args: argparse.Namespace):
     )
 
 
+def _horizon(args: argparse.Namespace) -> Horizon | None:
+    if args.keep_finished is None:
+        return None
+    silent = args.keep_silent
+    return Horizon(
+        dt.timedelta(hours=args.keep_finished), None if silent is None else dt.timedelta(hours=silent)
+    )
+
+
 def _follow_bronze(spark: SparkSession, cfg: LakeConfig, args: argparse.Namespace):
     bronze = cfg.table_name("bronze", stream=True)
     return streams.follow_table(stream_session(spark), bronze, **_options(args.follow))
@@ -77,6 +87,7 @@ def run_current(spark, cfg, args):
         stateful=args.stateful,
         fmt=cfg.table_format,
         every=args.every,
+        horizon=_horizon(args),
     ).awaitTermination()
 
 
@@ -135,7 +146,7 @@ def run_sweep(spark, cfg, args):
 
 def run_compact(spark, cfg, args):
     name = cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
-    print("merged into batch", jobs.compact_current(spark, name, cfg.table_format))
+    print("merged into batch", jobs.compact_current(spark, name, cfg.table_format, _horizon(args)))
 
 
 def run_flights(spark, cfg, args):
@@ -203,7 +214,10 @@ def parser() -> argparse.ArgumentParser:
     sweep = job("sweep", run_sweep, "remove the rows that loads and batches left behind")
     sweep.add_argument("--grace", type=float, default=tables.GRACE_SECONDS, help="seconds they are kept for readers")
     job("summary", run_summary, "store the dashboard's summary of the joined states")
-    job("compact", run_compact, "merge the current-state log")
+    compact = job("compact", run_compact, "merge the current-state log")
+    for one in (current, compact):
+        one.add_argument("--keep-finished", type=float, help="hours that finished flights stay in the state")
+        one.add_argument("--keep-silent", type=float, help="hours that other flights stay without an event")
     flights = job("make-flights", run_flights, "write generated flights")
     flights.add_argument("csv")
     flights.add_argument("--rows", type=int, default=10_000)

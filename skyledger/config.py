@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field, fields
 from decimal import Decimal
 
@@ -34,6 +35,25 @@ class Rules:
         return cls(**found)
 
 
+@dataclass(frozen=True)
+class Horizon:
+    """How long flights stay in the current state, by the clock of the events.
+
+    The clock is the newest event time of all batches so far. A landed or cancelled flight
+    leaves ``finished`` after its last event, any other one ``silent`` after it (never, if
+    None). An event that is older than the clock before its batch by more than
+    ``finished`` is late and not taken. So no event that is taken is older than what has
+    left, and the answer does not depend on when the log was compacted.
+    """
+
+    finished: dt.timedelta
+    silent: dt.timedelta | None = None
+
+    def __post_init__(self):
+        if self.silent is not None and self.silent < self.finished:
+            raise ValueError("silent flights must stay at least as long as finished ones")
+
+
 @dataclass(frozen=True)
 class LakeConfig:
     """Names and locations of one environment.

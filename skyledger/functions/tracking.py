@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Normalised name of the late state, marker of a corrupt id.
+from skyledger.config import Horizon
+
+# Normalised names of the late state and of those that end a flight, marker
+# of a corrupt id.
 LATE_STATE = "RETRASADO"
+FINISHED_STATES = ("ATERRIZADO", "CANCELADO")
 CORRUPT_ID_MARK = "_ERR"
 
 
@@ -32,3 +38,21 @@ def corrected_delay(state: Column, delay: Column, min_delay: int) -> Column:
 def is_high_delay(delay: Column, limit: int) -> Column:
     """True from ``limit`` minutes on; an unknown delay is not high."""
     return F.coalesce(delay >= F.lit(limit), F.lit(False))
+
+
+def is_over(state: Column, time: Column, clock: int, horizon: Horizon) -> Column:
+    """Whether a flight with this newest event has left by the clock (microseconds)."""
+    age = F.lit(clock) - F.unix_micros(time)
+    over = normal_state(state).isin(*FINISHED_STATES) & (age > _micros(horizon.finished))
+    return over if horizon.silent is None else over | (age > _micros(horizon.silent))
+
+
+def is_late(time: Column, clock: int | None, horizon: Horizon) -> Column:
+    """Whether an event comes too late to be taken, by the clock before its batch."""
+    if clock is None:
+        return F.lit(False)
+    return F.lit(clock) - F.unix_micros(time) > _micros(horizon.finished)
+
+
+def _micros(span: dt.timedelta) -> int:
+    return span // dt.timedelta(microseconds=1)

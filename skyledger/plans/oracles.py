@@ -627,3 +627,32 @@ ORACLES["active_enriched_parts"] = _ACTIVE.replace(
 ORACLES["bi_total_gold"] = ORACLES["bi_total"]
 ORACLES["bi_passengers_month_gold"] = ORACLES["bi_passengers_month"]
 ORACLES["bi_filter_options_gold"] = ORACLES["bi_filter_options_month"]
+
+_BATCHED = f"""{EVENTS},{_with_state("clean")},
+batched AS (
+  SELECT *, epoch_us("Timestamp_Evento") AS us, (day("Timestamp_Evento") - 1) // 10
+    + CASE WHEN epoch_us("Timestamp_Evento") % 9 = 0 THEN 1 ELSE 0 END AS b
+  FROM stated
+),
+clocks AS (
+  SELECT x.b, max(y.us) AS clock
+  FROM (SELECT DISTINCT b FROM batched) x JOIN batched y ON y.b < x.b GROUP BY x.b
+),
+taken AS (
+  SELECT * FROM batched LEFT JOIN clocks USING (b)
+  WHERE clock IS NULL OR clock - us <= 6 * 3600000000
+)"""
+ORACLES["stream_current_expiring"] = f"""WITH {_BATCHED},
+newest AS (
+  SELECT * FROM taken QUALIFY row_number() OVER (PARTITION BY "ID_Vuelo" {_NEWEST}) = 1
+),
+latest AS (
+  SELECT {_STATE_COLUMNS} FROM newest, (SELECT max(us) AS now FROM batched)
+  WHERE now - us <= 24 * 3600000000
+    AND NOT (estado_actual_normalizado IN ('ATERRIZADO', 'CANCELADO') AND now - us > 6 * 3600000000)
+)
+{_LATEST_OUT}"""
+ORACLES["late_events"] = f"""WITH {_BATCHED}
+SELECT CAST((SELECT count(*) FROM batched) AS DOUBLE) AS eventos,
+  CAST((SELECT count(*) FROM batched) - (SELECT count(*) FROM taken) AS DOUBLE) AS tardios,
+  CAST((SELECT max(us) FROM batched) AS DOUBLE) AS hasta"""

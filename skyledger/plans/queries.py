@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyledger.config import LakeConfig, Rules
+from skyledger.config import Horizon, LakeConfig, Rules
 from skyledger.functions import tracking as tr
 from skyledger.operators import bi, buckets, enrich, gold, silver
 from skyledger.operators import tracking as tk
@@ -648,6 +648,43 @@ def stream_current_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(jobs.read_current(spark, name, RULES))
 
 
+#: Finished flights stay six hours, silent ones a day.
+HORIZON = Horizon(dt.timedelta(hours=6), dt.timedelta(days=1))
+
+
+def _expiring_log(spark: SparkSession, sf_dir: str) -> str:
+    """A log of batches of ten days of events each, of which every ninth comes with the
+    next batch; compacted twice on the way."""
+    cfg = _lake(spark, "expiring")
+    name = cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
+    write = jobs.current_batch_writer(name, horizon=HORIZON)
+    events = tables.settle(tk.clean_events(_events(spark, sf_dir)), f"{cfg.root}/landing")
+    time = F.col(tk.TIME)
+    delayed = (F.unix_micros(time) % 9 == 0).cast("int")
+    batch_of = F.floor((F.dayofmonth(time) - 1) / 10) + delayed
+    for batch_id in range(5):
+        write(events.where(batch_of == batch_id), batch_id)
+        if batch_id in (2, 3):
+            jobs.compact_current(spark, name, horizon=HORIZON)
+    _stored(spark, cfg, name)
+    return name
+
+
+@query
+def stream_current_expiring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current states when flights leave and late events are not taken."""
+    return plain(jobs.read_current(spark, _expiring_log(spark, sf_dir), RULES, HORIZON))
+
+
+@query
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches say of themselves: events, late ones, newest time."""
+    told = spark.table(jobs.clock_table(_expiring_log(spark, sf_dir)))
+    return plain(
+        told.agg(F.sum("eventos").alias("eventos"), F.sum("tardios").alias("tardios"), F.max("hasta").alias("hasta"))
+    )
+
+
 @query
 def operational_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current state of each tracked flight with its history, joined on reading

@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from skyledger.config import LakeConfig, Rules
+from skyledger.config import Horizon, LakeConfig, Rules
+from skyledger.functions import tracking as tr
 from skyledger.operators import bi, enrich
 from skyledger.operators import tracking as tk
 from skyledger.schemas import TRACKING_COLUMNS, TRACKING_EVENT, TRACKING_KEY
@@ -136,6 +137,54 @@ def start_gold(
     return _start_batches(tk.parse_events(bronze), write, checkpoint, every)
 
 
+def clock_table(table: str) -> str:
+    """Name of the table with one row per batch of a log with a horizon: newest event
+    time so far, events, and how many of them came too late."""
+    return f"{table}_reloj"
+
+
+def _clock(spark: SparkSession, table: str, before: int | None = None) -> int | None:
+    """Newest event time of the batches (before one of them), in microseconds."""
+    if not spark.catalog.tableExists(clock_table(table)):
+        return None
+    batches = spark.table(clock_table(table))
+    if before is not None:
+        batches = batches.where(F.col(tables.BATCH_ID) < before)
+    return batches.agg(F.max("hasta")).first()[0]
+
+
+def current_batch_writer(
+    table: str, *, stateful: bool = False, fmt: str = "parquet", horizon: Horizon | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Function that adds a micro-batch of clean events to the log of current states.
+
+    With a ``horizon``, late events are left out and counted; the counts, and the clock
+    that later batches go by, are kept beside the log. What is late depends on earlier
+    batches only, so a replay takes the same events.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        if horizon is None:
+            tables.write_batch(rows if stateful else tk.latest_per_key(rows), table, batch_id, fmt)
+            return
+        late = tr.is_late(F.col(tk.TIME), _clock(rows.sparkSession, table, batch_id), horizon)
+        seen = Observation()
+        counted = rows.observe(
+            seen,
+            F.max(F.unix_micros(tk.TIME)).alias("hasta"),
+            F.count(F.lit(1)).alias("eventos"),
+            F.count_if(late).alias("tardios"),
+        )
+        tables.write_batch(tk.latest_per_key(counted.where(~late)), table, batch_id, fmt)
+        told = rows.sparkSession.createDataFrame(
+            [(seen.get["hasta"], seen.get["eventos"], seen.get["tardios"])],
+            "hasta long, eventos long, tardios long",
+        )
+        tables.write_batch(told, clock_table(table), batch_id, fmt)
+
+    return write
+
+
 def start_current(
     bronze: DataFrame,
     table: str,
@@ -144,6 +193,7 @@ def start_current(
     stateful: bool = False,
     fmt: str = "parquet",
     every: str | None = None,
+    horizon: Horizon | None = None,
 ) -> StreamingQuery:
     """Latest event of each flight across batches, as a log by batch.
 
@@ -151,14 +201,13 @@ def start_current(
     one state row per flight, so what a batch writes is the latest of all
     events so far. ``stateful=False`` writes the latest of the batch and leaves
     the merge to ``read_current``: no state store, no fixed number of state
-    partitions, same answer when read.
+    partitions, same answer when read. A ``horizon`` lets flights leave the log, which
+    ``compact_current`` then keeps to the flights still flying and those just finished.
     """
+    if stateful and horizon:
+        raise ValueError("a horizon needs the log: the state store keeps every flight")
     events = tk.clean_events(tk.parse_events(bronze))
-
-    def write(rows: DataFrame, batch_id: int) -> None:
-        newest = rows if stateful else tk.latest_per_key(rows)
-        tables.write_batch(newest, table, batch_id, fmt)
-
+    write = current_batch_writer(table, stateful=stateful, fmt=fmt, horizon=horizon)
     return _start_batches(tk.latest_by_max(events) if stateful else events, write, checkpoint, every)
 
 
@@ -214,14 +263,24 @@ def start_all(
     ]
 
 
-def read_current(spark: SparkSession, table: str, rules: Rules = Rules()) -> DataFrame:
-    """Latest state per flight from the log.
+def _standing(log: DataFrame, table: str, horizon: Horizon | None) -> DataFrame:
+    """Newest event of each flight in the rows of a log, less those that have left."""
+    newest = log.select(*TRACKING_EVENT.fieldNames()).transform(tk.latest_per_key)
+    clock = _clock(log.sparkSession, table) if horizon else None
+    if clock is None:
+        return newest
+    return newest.where(~tr.is_over(F.coalesce("Estado_Actual", F.lit("")), F.col(tk.TIME), clock, horizon))
+
+
+def read_current(
+    spark: SparkSession, table: str, rules: Rules = Rules(), horizon: Horizon | None = None
+) -> DataFrame:
+    """Latest state per flight from the log, without the flights that have left.
 
     The newest event wins whichever batch wrote it, so late batches, replayed
     batches and compacted copies cannot change the answer.
     """
-    log = spark.table(table).select(*TRACKING_EVENT.fieldNames())
-    return log.transform(tk.latest_per_key).transform(tk.tracking_view, rules)
+    return _standing(spark.table(table), table, horizon).transform(tk.tracking_view, rules)
 
 
 def _newest_states(spark: SparkSession, table: str) -> DataFrame:
@@ -339,9 +398,11 @@ def store_summary(
     tables.overwrite_table(bi.summarise(rows), summary, fmt)
 
 
-def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> int | None:
-    """Merges the log's batches into one row per flight; returns the number of
-    the merged partition (negative, so no batch can take it).
+def compact_current(
+    spark: SparkSession, table: str, fmt: str = "parquet", horizon: Horizon | None = None
+) -> int | None:
+    """Merges the log's batches into one row per flight that has not left; returns the
+    number of the merged partition (negative, so no batch can take it).
 
     The newest batch is left out: it may not be committed, and its replay may be
     under way. Old partitions go only after the merged one is complete, and their rows
@@ -352,8 +413,13 @@ def compact_current(spark: SparkSession, table: str, fmt: str = "parquet") -> in
     if len(merged) < 2:
         return None
     log = spark.table(table).where(F.col(tables.BATCH_ID).isin(merged))
-    newest = log.select(*TRACKING_EVENT.fieldNames()).transform(tk.latest_per_key)
-    return _merge_batches(spark, table, newest, fmt)
+    target = _merge_batches(spark, table, _standing(log, table, horizon), fmt)
+    clocks = clock_table(table)
+    if horizon and spark.catalog.tableExists(clocks) and len(tables.batch_ids(spark, clocks)) > 2:
+        old = spark.table(clocks).where(F.col(tables.BATCH_ID).isin(tables.batch_ids(spark, clocks)[:-1]))
+        sums = old.agg(*(f(c).alias(c) for f, c in ((F.max, "hasta"), (F.sum, "eventos"), (F.sum, "tardios"))))
+        _merge_batches(spark, clocks, sums, fmt)
+    return target
 
 
 def preview(stream: DataFrame, view: str, rows: int = 20) -> StreamingQuery:

@@ -31,7 +31,7 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     run("summary")
     run("merge")
     run("summary")
-    run("compact")
+    run("compact", "--keep-finished", "100000")
     run("sweep", "--grace", "0")
     events = spark.table(cfg.table_name("silver", stream=True))
     flights = spark.table(cfg.table_name("silver"))

@@ -6,6 +6,7 @@ from pathlib import Path
 
 import pytest
 
+from skyledger.config import Horizon
 from skyledger.operators import buckets, enrich
 from skyledger.operators import tracking as tk
 from skyledger.operators.silver import silver_flights
@@ -357,3 +358,65 @@ def test_a_reload_during_a_batch_does_not_disturb_it(spark, lake, tmp_path, hist
     stored = spark.table(name)
     assert rows(stored.drop("batch_id", jobs.HISTORY_VERSION)) == before
     assert {r[0] for r in stored.select(jobs.HISTORY_VERSION).collect()} != {tables.version(spark, history)}
+
+
+HOUR = Horizon(dt.timedelta(hours=1), dt.timedelta(hours=3))
+
+
+def states_of(spark, name, horizon=HOUR):
+    found = jobs.read_current(spark, name, horizon=horizon).collect()
+    return {r.tracking_key: r.estado_actual_normalizado for r in found}
+
+
+def log_of(spark, name, *batches, compact=()):
+    write = jobs.current_batch_writer(name, horizon=HOUR)
+    for batch_id, events in enumerate(batches):
+        payloads = [message(ID_Vuelo=f, Timestamp_Evento=at(m), Estado_Actual=e) for f, m, e in events]
+        write(tk.clean_events(tk.parse_events(bodies(spark, *payloads))), batch_id)
+        if batch_id in compact:
+            jobs.compact_current(spark, name, horizon=HOUR)
+
+
+BATCHES = [
+    [("A", 0, " aterrizado"), ("B", 0, "En Vuelo"), ("C", 0, "Cancelado"), ("D", 200, "En Vuelo")],
+    [("C", 139, "En Vuelo"), ("E", 140, "Aterrizado"), ("A", 10, "En Vuelo")],  # clock 200: C, A late
+    [("E", 201, "Puerta Asignada"), ("F", 260, "Cancelado")],
+    [("F", 190, "En Vuelo"), ("G", 320, "En Vuelo")],  # clock 260: F late
+]
+
+
+@pytest.mark.parametrize("compact", [(), (1, 2), (1, 2, 3)])
+def test_flights_leave_and_late_events_are_not_taken(spark, lake, compact):
+    name = lake.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
+    log_of(spark, name, *BATCHES, compact=compact)
+    # The clock is 320: F finished an hour ago and stays, B was silent for more than three.
+    assert states_of(spark, name) == {
+        "D": "EN VUELO", "E": "PUERTA ASIGNADA", "F": "CANCELADO", "G": "EN VUELO",
+    }
+    told = spark.table(jobs.clock_table(name)).agg({"eventos": "sum", "tardios": "sum", "hasta": "max"}).first()
+    assert told["sum(eventos)"] == 11 and told["sum(tardios)"] == 3
+    assert told["max(hasta)"] == int((at(320) - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+
+
+def test_a_replay_takes_the_same_events(spark, lake):
+    name = lake.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
+    log_of(spark, name, *BATCHES)
+    before, rows_before = states_of(spark, name), rows(spark.table(name))
+    log_of(spark, name, *BATCHES[:2])
+    assert states_of(spark, name) == before and rows(spark.table(name)) == rows_before
+
+
+def test_rows_of_the_log_are_bounded_by_what_flies(spark, lake):
+    """Every batch brings new flights that land; the log keeps those of the last hour."""
+    name = lake.table_name("gold", stream=True, table=jobs.CURRENT_TABLE)
+    days = [[(f"X{b}-{i}", 120 * b, "Aterrizado") for i in range(10)] for b in range(8)]
+    log_of(spark, name, *days, compact=range(8))
+    assert spark.table(name).count() <= 20
+    assert spark.table(jobs.clock_table(name)).count() <= 3
+
+
+def test_a_horizon_is_for_the_log(spark, lake):
+    with pytest.raises(ValueError, match="finished"):
+        Horizon(dt.timedelta(hours=2), dt.timedelta(hours=1))
+    with pytest.raises(ValueError, match="log"):
+        jobs.start_current(None, "x", "y", stateful=True, horizon=HOUR)
