@@ -4,6 +4,7 @@ import pytest
 
 from skyledger.__main__ import main
 from skyledger.config import LakeConfig
+from skyledger.sources import tables
 from skyledger.streaming import jobs
 
 
@@ -29,10 +30,7 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     run("gold", "--follow", "maxFilesPerTrigger=2")
     run("current", "--follow", "maxFilesPerTrigger=2")
     run("summary")
-    run("merge")
-    run("summary")
     run("compact", "--keep-finished", "100000")
-    run("sweep", "--grace", "0")
     events = spark.table(cfg.table_name("silver", stream=True))
     flights = spark.table(cfg.table_name("silver"))
     states = jobs.read_current(spark, cfg.table_name("gold", stream=True, table=jobs.CURRENT_TABLE))
@@ -41,6 +39,13 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     assert spark.table(cfg.table_name("gold", stream=True)).count() >= states.count()
     summary = spark.table(cfg.table_name("gold", stream=True, table=jobs.SUMMARY_TABLE))
     assert summary.select("id_vuelo").distinct().count() == states.count()
+    run("merge")
+    run("summary")
+    run("sweep", "--grace", "0")
+    merged = jobs.read_merged(spark, cfg.table_name("gold", stream=True, table=jobs.MERGED_TABLE))
+    assert merged.select("id_vuelo").distinct().count() == states.count()
+    assert spark.table(summary_name := cfg.table_name("gold", stream=True, table=jobs.SUMMARY_TABLE)).count()
+    assert tables.sweep(spark, summary_name, 0) == []
     run("teardown", "--table", cfg.table_name("gold"), "--path", cfg.checkpoint("gold"))
     assert not spark.catalog.tableExists(cfg.table_name("gold"))
     assert cfg.checkpoint("gold") in capsys.readouterr().out
