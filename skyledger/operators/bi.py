@@ -72,6 +72,59 @@ def summarise(df: DataFrame) -> DataFrame:
     )
 
 
+# Columns of a summary with bitmaps: which 32,768 flight numbers a row is about, and which
+# of them occur. Numbers are dealt in runs, one for each task that numbers flights.
+BUCKET, BITMAP, NUMBER = "tramo", "vuelos", "numero"
+_RUN = 1 << 33
+
+
+def number_flights(df: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """A number for each flight id that ``known`` (``id_vuelo, numero``) has not. Store the
+    result beside ``known``: numbers must stay as they are once a summary uses them.
+    """
+    ids = df.select("id_vuelo").where(F.col("id_vuelo").isNotNull()).distinct()
+    first = 0
+    if known is not None:
+        ids = ids.join(known, "id_vuelo", "left_anti")
+        last = known.agg(F.max(NUMBER)).first()[0]
+        first = 0 if last is None else (last // _RUN + 1) * _RUN
+    return ids.withColumn(NUMBER, F.monotonically_increasing_id() + first)
+
+
+def summarise_bitmaps(df: DataFrame, numbers: DataFrame) -> DataFrame:
+    """One row per date and run of 32,768 flight numbers, enough for every query below.
+
+    Where flights fly daily, that is a handful of rows per date however many flights and
+    rows there are, with the flights of the date as bits, so different flights are
+    counted exactly without their ids. Summaries of several loads can be put together as
+    they are. Flights without an id are counted as rows.
+    """
+    number = F.col(NUMBER)
+    return (
+        df.select(DATE, YEAR, MONTH, "id_vuelo", "op_pasajeros_reservados")
+        .join(numbers, "id_vuelo", "left")
+        .groupBy(DATE, YEAR, MONTH, F.bitmap_bucket_number(number).alias(BUCKET))
+        .agg(
+            F.count("*").alias(ROWS),
+            F.sum("op_pasajeros_reservados").alias("op_pasajeros_reservados"),
+            F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias(BITMAP),
+        )
+    )
+
+
+def flights_by_month_bitmaps(summary: DataFrame, filters: BiFilter = NO_FILTER) -> DataFrame:
+    """``flights_by_month`` from a summary with bitmaps: tasks send one bitmap per month
+    and run of numbers, no ids."""
+    runs = filters.apply(summary).groupBy(MONTH, BUCKET).agg(
+        F.sum(ROWS).alias(ROWS), F.bitmap_or_agg(BITMAP).alias(BITMAP)
+    )
+    different = F.when(F.col(BUCKET).isNotNull(), F.bitmap_count(F.col(BITMAP)))
+    return runs.groupBy(MONTH).agg(
+        F.sum(ROWS).alias("registros"),
+        F.coalesce(F.sum(different), F.lit(0)).alias("vuelos_distintos"),
+    )
+
+
 def _count(summary: bool, condition: Column | None = None) -> Column:
     """Rows of the full table, of those that meet ``condition`` if given."""
     if summary:

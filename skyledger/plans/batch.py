@@ -6,10 +6,14 @@ in one keeps the next from starting.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from skyledger.config import LakeConfig
-from skyledger.operators import buckets
+from skyledger.operators import buckets, gold
 from skyledger.operators.bronze import rename_flights, stamp_ingestion
 from skyledger.operators.gold import monthly_by_airline, monthly_by_route
 from skyledger.operators.silver import silver_flights
@@ -45,13 +49,89 @@ def load(spark: SparkSession, cfg: LakeConfig) -> None:
     tables.overwrite_table(monthly_by_airline(silver), airlines, cfg.table_format)
 
 
-def run(spark: SparkSession, cfg: LakeConfig, csv_path: str) -> dict[str, int]:
-    """All three steps in order, on schemas that are created if missing."""
+#: Tables of the incremental results: partial sums by load, and the results by month.
+PARTIALS_TABLE, MONTHS_TABLE, AIRLINE_MONTHS_TABLE = "parciales", "vuelos_por_mes", "aerolineas_por_mes"
+
+
+def load_increment(spark: SparkSession, cfg: LakeConfig, silver: DataFrame, load_id: int) -> list[int]:
+    """Adds one load of silver flights to the monthly results; returns the months it
+    touched (as year times 100 plus month, 0 for flights without a date).
+
+    Only this load is aggregated, to partial sums that are kept by load. The results of
+    the touched months are then added up again from the partial sums of all loads, and
+    only these months' partitions are replaced. A load that comes again replaces what it
+    added before, the months it has left included.
+    """
+    partials = cfg.table_name("gold", table=PARTIALS_TABLE)
+
+    def months() -> set[int]:
+        if not spark.catalog.tableExists(partials):
+            return set()
+        mine = spark.table(partials).where(F.col(tables.BATCH_ID) == load_id)
+        return {row[0] for row in mine.select(gold.PERIOD).distinct().collect()}
+
+    before = months()
+    tables.write_batch(gold.partial_sums(silver), partials, load_id, cfg.table_format)
+    touched = sorted(before | months())
+    sums = spark.table(partials).where(F.col(gold.PERIOD).isin(touched))
+    for table, result in (
+        (MONTHS_TABLE, gold.monthly_from_partials(sums)),
+        (AIRLINE_MONTHS_TABLE, gold.airlines_from_partials(sums)),
+    ):
+        name = cfg.table_name("gold", table=table)
+        tables.replace_partitions(result, name, gold.PERIOD, touched, cfg.table_format)
+    return touched
+
+
+#: Table property with the load of a table and what it was made from.
+MADE_FROM = "skyledger.made_from"
+
+
+def _files(spark: SparkSession, path: str) -> str:
+    """Fingerprint of the names, sizes and times of the files at a path."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    told = files.agg(F.count("*"), F.sum(F.xxhash64(*files.columns).cast("decimal(20,0)"))).first()
+    return f"{told[0]} files {told[1]}"
+
+
+def run(
+    spark: SparkSession, cfg: LakeConfig, csv_path: str, *, resume: bool = False
+) -> dict[str, int]:
+    """All three steps in order, on schemas that are created if missing.
+
+    Each table says which load it is and what that was made from: the input files or the
+    load before it, and the parameters. With ``resume`` a step whose table says that it
+    is made from exactly this is left out, so a chain that was stopped goes on where it
+    was, and a changed input, limit or layout runs all that depends on it. The result is
+    empty where the ingestion was left out.
+    """
     tables.create_schemas(spark, cfg)
-    bad_cells = ingest(spark, cfg, csv_path)
-    transform(spark, cfg)
-    load(spark, cfg)
-    return bad_cells
+    bronze, silver, result = (cfg.table_name(layer) for layer in ("bronze", "silver", "gold"))
+    airlines = cfg.table_name("gold", table=AIRLINE_TABLE)
+
+    def step(work: Callable[[], object], source: str, *made: str) -> object:
+        source = hashlib.sha256(source.encode()).hexdigest()
+
+        def mark(name: str) -> str:
+            return f"{tables.version(spark, name)} {source}"
+
+        if resume and all(
+            tables.property_of(spark, name, MADE_FROM) == mark(name)
+            for name in made
+            if spark.catalog.tableExists(name)
+        ) and all(map(spark.catalog.tableExists, made)):
+            return None
+        done = work()
+        for name in made:
+            tables.set_property(spark, name, MADE_FROM, mark(name))
+        return done
+
+    layout = f"{cfg.table_format} {cfg.rules}"
+    bad_cells = step(lambda: ingest(spark, cfg, csv_path), f"{_files(spark, csv_path)} {cfg.table_format}", bronze)
+    shape = f"{layout} {cfg.silver_partitions} {cfg.flight_buckets}"
+    step(lambda: transform(spark, cfg), f"{tables.version(spark, bronze)} {shape}", silver)
+    step(lambda: load(spark, cfg), f"{tables.version(spark, silver)} {layout}", result, airlines)
+    return bad_cells or {}
 
 
 def schema_report(df: DataFrame) -> list[tuple[str, str, bool]]:

@@ -656,3 +656,9 @@ ORACLES["late_events"] = f"""WITH {_BATCHED}
 SELECT CAST((SELECT count(*) FROM batched) AS DOUBLE) AS eventos,
   CAST((SELECT count(*) FROM batched) - (SELECT count(*) FROM taken) AS DOUBLE) AS tardios,
   CAST((SELECT max(us) FROM batched) AS DOUBLE) AS hasta"""
+
+ORACLES["bi_flights_month_bitmap"] = ORACLES["bi_flights_month"]
+ORACLES["bi_options_bitmap"] = ORACLES["bi_filter_options_month"]
+ORACLES["gold_monthly_incremental"] = _GOLD_OUT
+ORACLES["gold_airline_incremental"] = ORACLES["gold_airline_month"]
+ORACLES["batch_chain_resumed"] = f"SELECT *, 'true' AS cargas_iguales FROM ({_GOLD_OUT})"

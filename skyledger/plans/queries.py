@@ -392,6 +392,31 @@ def bi_flights_month_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bi.flights_by_month(summary, SALES_WINDOW, summary=True)
 
 
+def _bitmap_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, the second with flights that the first does not know; each is numbered
+    and summarised alone."""
+    root = shared_scratch(spark, "bitmaps")
+    flights, parts, known = _flights(spark, sf_dir), [], None
+    early = F.coalesce(F.col("fecha_programada") < dt.date(1998, 6, 1), F.lit(False))
+    for i, load in enumerate((flights.where(early), flights.where(~early))):
+        new = tables.settle(bi.number_flights(load, known), f"{root}/numbers{i}")
+        known = new if known is None else known.unionByName(new)
+        parts.append(tables.settle(bi.summarise_bitmaps(load, known), f"{root}/summary{i}"))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def bi_flights_month_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bi_flights_month`` from stored bitmaps."""
+    return bi.flights_by_month_bitmaps(_bitmap_summary(spark, sf_dir), SALES_WINDOW)
+
+
+@query
+def bi_options_bitmap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bi_filter_options_month`` from the same summary."""
+    return bi.filter_options(_bitmap_summary(spark, sf_dir), bi.MONTH, MONTHS_PICKED, summary=True)
+
+
 # Streams: the whole events table arrives as files, in about four batches
 
 
@@ -718,6 +743,47 @@ def airline_month_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_stored(spark, cfg, cfg.table_name("gold", table=batch.AIRLINE_TABLE)))
 
 
+def _incremental(spark: SparkSession, sf_dir: str, result: str) -> DataFrame:
+    """Monthly results after three loads, the second of which comes twice: first with
+    flights that belong to the third, then as it should be."""
+    cfg = _lake(spark, "incremental")
+    flights = _flights(spark, sf_dir)
+    first_class = F.coalesce(F.col("tarifa_clase") == "Primera", F.lit(False))
+    early = F.coalesce(F.col("analisis_mes") <= 3, F.lit(True))
+    batch.load_increment(spark, cfg, flights.where(~first_class), 0)
+    batch.load_increment(spark, cfg, flights.where(first_class & ~early), 1)
+    batch.load_increment(spark, cfg, flights.where(first_class & early), 1)
+    batch.load_increment(spark, cfg, flights.where(first_class & ~early), 2)
+    return _stored(spark, cfg, cfg.table_name("gold", table=result)).drop(gold.PERIOD)
+
+
+@query
+def gold_monthly_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(_incremental(spark, sf_dir, batch.MONTHS_TABLE))
+
+
+@query
+def gold_airline_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(_incremental(spark, sf_dir, batch.AIRLINE_MONTHS_TABLE))
+
+
+@query
+def batch_chain_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain whose last step is missing is run again: bronze and silver are the loads
+    they were, gold is made."""
+    cfg = _lake(spark, "resumed")
+    csv = _staged_csv(spark, sf_dir)
+    batch.run(spark, cfg, csv)
+    names = [cfg.table_name(layer) for layer in ("bronze", "silver")]
+    loads = [tables.version(spark, name) for name in names]
+    tables.drop_tables(spark, [cfg.table_name("gold")])
+    batch.run(spark, cfg, csv, resume=True)
+    same = loads == [tables.version(spark, name) for name in names]
+    tables.delete_paths(spark, [csv], root=csv.rsplit("/", 1)[0])
+    stored = _stored(spark, cfg, cfg.table_name("gold"))
+    return plain(stored.withColumn("cargas_iguales", F.lit(same)))
+
+
 @query
 def silver_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver stored by year and month, read back through the dashboard filter

@@ -163,6 +163,7 @@ def sweep(spark: SparkSession, name: str, grace_seconds: float = GRACE_SECONDS)
     now = time.time() * 1000
     live = {location(spark, name)}
     batches = set(batch_ids(spark, name)) if BATCH_ID in spark.table(name).columns else set()
+    keyed = not batches and location(spark, name) == folder
     removed = []
     for status in fs.listStatus(base):
         child = status.getPath().getName()
@@ -176,6 +177,10 @@ def sweep(spark: SparkSession, name: str, grace_seconds: float = GRACE_SECONDS)
                 continue
         elif any(at.endswith("/" + child) for at in live):
             continue
+        elif keyed:
+            parts = [p for p in fs.listStatus(status.getPath()) if p.isDirectory()]
+            removed += _sweep_parts(spark, name, place, parts, now, grace_seconds)
+            continue
         mark = _hadoop(spark, f"{place}/{RETIRED}")[1]
         if fs.exists(mark):
             if now - fs.getFileStatus(mark).getModificationTime() >= grace_seconds * 1000:
@@ -186,6 +191,27 @@ def sweep(spark: SparkSession, name: str, grace_seconds: float = GRACE_SECONDS)
     return removed
 
 
+def _sweep_parts(spark: SparkSession, name: str, place: str, parts, now: float, grace_seconds: float) -> list[str]:
+    """The retired partitions of one change of ``replace_partitions``."""
+    held = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    removed = []
+    for status in parts:
+        child = status.getPath().getName()
+        at = f"{place}/{child}"
+        key, value = child.split("=", 1)
+        tail = "/".join(at.rsplit("/", 2)[1:])
+        if child in held and location(spark, name, f"PARTITION (`{key}` = {value})").endswith("/" + tail):
+            continue
+        fs, mark = _hadoop(spark, f"{at}/{RETIRED}")
+        if fs.exists(mark):
+            if now - fs.getFileStatus(mark).getModificationTime() >= grace_seconds * 1000:
+                fs.delete(status.getPath(), True)
+                removed.append(at)
+        elif now - status.getModificationTime() >= grace_seconds * 1000:
+            fs.createNewFile(mark)
+    return removed
+
+
 def _ddl(fields: Iterable[T.StructField]) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
@@ -359,6 +385,60 @@ def write_batch(df: DataFrame, name: str, batch_id: int, fmt: str = "parquet") -
         spark.sql(f"ALTER TABLE {name} ADD {part} LOCATION '{place}'")
 
 
+def replace_partitions(
+    df: DataFrame, name: str, key: str, values: Iterable[int], fmt: str = "parquet"
+) -> None:
+    """Replaces the partitions ``values`` of a whole-number column ``key``, and no other.
+
+    The rows, which must be of these partitions, are written once below a folder of this
+    change; then each partition moves there by one statement, and one that has no rows
+    any more is dropped. A change that is stopped halfway is completed by running it again.
+    """
+    spark = df.sparkSession
+    folder = table_folder(spark, name)
+    if not spark.catalog.tableExists(name):
+        fields = [f for f in df.schema if f.name != key]
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({_ddl(fields)}, `{key}` INT) "
+            f"USING {fmt} PARTITIONED BY (`{key}`) LOCATION '{folder}'"
+        )
+    place = f"{folder}/{_stamp()}"
+    try:
+        df.hint("rebalance", key).write.format(fmt).partitionBy(key).save(place)
+    except Exception:
+        delete_paths(spark, [place], root=folder)
+        raise
+    held = {int(row[0].split("=", 1)[1]) for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    fs, written = _hadoop(spark, place)
+    names = [p.getPath().getName() for p in fs.listStatus(written) if p.isDirectory()]
+    filled = {int(n.split("=", 1)[1]) for n in names}
+    asked = {int(v) for v in values}
+
+    def part(value: int) -> str:
+        return f"PARTITION (`{key}` = {value})"
+
+    new = [f"{part(v)} LOCATION '{place}/{key}={v}'" for v in sorted(filled - held)]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(new)}")
+    for value in sorted(filled & held):
+        spark.sql(f"ALTER TABLE {name} {part(value)} SET LOCATION '{place}/{key}={value}'")
+    empty = sorted((asked - filled) & held)
+    if empty:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(map(part, empty))}")
+
+
+def property_of(spark: SparkSession, name: str, key: str) -> str | None:
+    """A table property; None where it, or the table, is missing."""
+    if not spark.catalog.tableExists(name):
+        return None
+    found = {row[0]: row[1] for row in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return found.get(key)
+
+
+def set_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
 def batch_ids(spark: SparkSession, name: str) -> list[int]:
     """Batches a table holds, from the catalog (no data is read)."""
     rows = spark.sql(f"SHOW PARTITIONS {name}").collect()
