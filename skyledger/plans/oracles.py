@@ -662,3 +662,18 @@ ORACLES["bi_options_bitmap"] = ORACLES["bi_filter_options_month"]
 ORACLES["gold_monthly_incremental"] = _GOLD_OUT
 ORACLES["gold_airline_incremental"] = ORACLES["gold_airline_month"]
 ORACLES["batch_chain_resumed"] = f"SELECT *, 'true' AS cargas_iguales FROM ({_GOLD_OUT})"
+
+_PACED = COUNTED_EVENTS.replace(
+    "  FROM events\n",
+    "  FROM (SELECT unnest(range(3 * CAST(ceil(count(*) / 3.0) AS BIGINT))) AS event_id FROM customer)\n",
+)
+ORACLES["paced_events"] = f"WITH {_PACED}{_event_rows(_slot_event)}"
+_FIELDS = (
+    "ID_Vuelo Timestamp_Evento Estado_Actual Retraso_Minutos Puerta_Asignada Ruta_Evento "
+    "Nivel_Servicio Consumo_Combustible_Litros"
+).split()
+ORACLES["stream_counts"] = f"""WITH {EVENTS}
+SELECT CAST(count(*) AS DOUBLE) AS filas,
+  CAST(count_if(coalesce({", ".join(f'CAST("{f}" AS VARCHAR)' for f in _FIELDS)}) IS NULL) AS DOUBLE) AS rechazadas,
+  {", ".join(f'CAST(count_if("{f}" IS NULL) AS DOUBLE) AS sin_{f.lower()}' for f in _FIELDS)}
+FROM parsed"""

@@ -26,7 +26,7 @@ from skyledger.sources.star_tables import (
     source_flights,
     table,
 )
-from skyledger.streaming import jobs
+from skyledger.streaming import jobs, metrics, pace
 
 #: Parts in which the queries below store a history by flight.
 FLIGHT_BUCKETS = 32
@@ -456,6 +456,29 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(_stored(spark, cfg, name))
 
 
+@query
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the batches of the parsed events say of themselves, added up."""
+    cfg = _lake(spark, "stream_counts")
+    session = stream_session(spark)
+    bronze = _bronze_stream(session, sf_dir, cfg)
+    counts = cfg.table_name("silver", stream=True, table=jobs.COUNTS_TABLE)
+    events, listener = metrics.start_counted_silver(
+        streams.follow_table(session, bronze),
+        cfg.table_name("silver", stream=True),
+        counts,
+        cfg.checkpoint("silver"),
+        jobs.start_append,
+    )
+    try:
+        listener.wait(events)
+    finally:
+        session.streams.removeListener(listener)
+    stored = _stored(spark, cfg, counts)
+    names = [c for c in stored.columns if c not in ("hora", tables.BATCH_ID)]
+    return plain(stored.agg(*(F.sum(c).alias(c) for c in names)))
+
+
 @query
 def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = _lake(spark, "stream_rejects")
@@ -721,6 +744,19 @@ def operational_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(enrich.active_with_history(flights, current, heavy, f"{cfg.root}/matched"))
 
 
+@query
+def paced_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many events of generated flights as there are customers, in three batches."""
+    cfg = _lake(spark, "paced")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey")
+    flights = generators.flights_for(orders, "o_orderkey")
+    each = -(-table(spark, sf_dir, "customer").count() // 3)
+    path = f"{cfg.root}/paced"
+    how = {"heavy_per_mille": 300, "damaged_per_mille": 40}
+    pace.emit(stream_session(spark), flights, path, each, 3, cfg.checkpoint("paced"), **how)
+    return plain(tk.parse_events(spark.read.parquet(path)))
+
+
 # Tables, the batch chain, generated inputs
 
 

@@ -213,6 +213,7 @@ def start_current(
 
 CURRENT_TABLE = "estado_actual"
 REJECTS_TABLE = "rechazados"
+COUNTS_TABLE = "conteos"
 
 
 def start_all(
