@@ -6,13 +6,19 @@ tree of the shards by remaining capacity; if none holds them, a shard is opened.
 For a wanted number of shards the least capacity that needs no more is searched
 for, which makes the sizes near equal.
 
-Packing is sequential, so what is packed is bounded: groups of at least
-``1 / (FINE * shards)`` of all bytes are parcels of their own (there are at most
-``FINE * shards``), all others are dealt by hash into ``FINE * shards`` parcels.
+Packing is sequential, but groups of equal size are interchangeable, so sizes and their
+counts are packed: as many of a size at once as the tightest shard holds. Sizes that add
+up to ``n`` bytes have at most ``sqrt(2 n)`` different values, which is what the driver
+sees. Every group then takes its shard by its number among the groups of its size, so
+the shards are those of packing one group after the other, at every size of the input.
+Groups of at least ``1 / (FINE * shards)`` of all bytes, of which there are at most that
+many, are broadcast with their shard, so that no large group is one task.
 
 Size: UTF-8 bytes and 1. Null texts are one group of size 1 per row; empty texts
-are another. An empty table gives no rows. Repeated rows get slots of their own.
-Other columns are ignored or, in ``sharded_rows``, passed on.
+are another. Very long texts are groups like others; one larger than a shard makes its
+shard larger. Of equally large groups the one with the lower digest comes first, of
+equally free shards the one with the lower number. An empty table gives no rows. Repeated
+rows get slots of their own. Other columns are ignored or, in ``sharded_rows``, passed on.
 """
 
 from __future__ import annotations
@@ -23,10 +29,10 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import Scratch, fresh, text_key
 
-#: Parcels per shard.
+#: Share of a shard from which on a group is broadcast with its shard.
 FINE = 256
-#: Cells per shard in which rows are numbered.
-SLOT_CELLS = 1024
+#: Cells in which the rows of a shard, and the groups of a size, are numbered.
+SLOT_CELLS = RANK_CELLS = 1024
 
 
 class FreeSpace:
@@ -76,33 +82,42 @@ class FreeSpace:
         return node[0]
 
 
-def pack(sizes: list[int], capacity: int) -> list[int]:
-    """Shard of each size, by best fit in decreasing order; ties in the order given."""
-    space, shards, opened = FreeSpace(), [0] * len(sizes), 0
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
-        if found := space.take(sizes[i]):
-            free, shard = found
-        else:
-            free, shard = max(capacity, sizes[i]), opened
-            opened += 1
-        shards[i] = shard
-        space.add(free - sizes[i], shard)
-    return shards
-
-
-def pack_into(sizes: list[int], shards: int) -> list[int]:
-    """Shard of each size, at most ``shards`` of them, by the least capacity found
-    (to one in ten thousand)."""
+def pack_counts(sizes: list[tuple[int, int]], capacity: int, most: int | None = None) -> list[tuple[int, int, int, int]] | None:
+    """Best fit in decreasing order of ``(size, count)``: runs ``size, first, n, shard`` of
+    the groups of a size, by number. None once more than ``most`` shards are opened."""
+    space, runs, opened = FreeSpace(), [], 0
+    for size, count in sorted(sizes, reverse=True):
+        done = 0
+        while done < count:
+            if found := space.take(size):
+                free, shard = found
+            else:
+                free, shard = max(capacity, size), opened
+                opened += 1
+                if most is not None and opened > most:
+                    return None
+            # Once it holds one, it stays the tightest until it holds no more.
+            n = min(count - done, free // size)
+            runs.append((size, done, n, shard))
+            space.add(free - n * size, shard)
+            done += n
+    return runs
+
+
+def pack_into(sizes: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int, int]]:
+    """Runs in at most ``shards`` shards, by the least capacity found (to one in ten
+    thousand)."""
     if not sizes:
         return []
-    mean = -(-sum(sizes) // shards)
+    largest = max(size for size, _ in sizes)
+    mean = -(-sum(size * count for size, count in sizes) // shards)
     # Were a shard too many opened, all would hold more than the mean.
-    low, high = max(mean, max(sizes)), mean + max(sizes)
-    best, high = pack(sizes, high), high - 1
+    low, high = max(mean, largest), mean + largest
+    best, high = pack_counts(sizes, high), high - 1
     while high - low > mean // 10_000:
         capacity = (low + high) // 2
-        packed = pack(sizes, capacity)
-        if max(packed) < shards:
+        packed = pack_counts(sizes, capacity, shards)
+        if packed is not None:
             best, high = packed, capacity
         else:
             low = capacity + 1
@@ -118,57 +133,58 @@ def _size(text: Column) -> Column:
 
 
 class Assignment:
-    """Shard of every group, held as two bounded tables: large groups and parcels."""
+    """Shard of every group: a bounded table of large ones, and a table of all others."""
 
-    def __init__(self, groups: DataFrame, shards: int):
+    def __init__(self, groups: DataFrame, shards: int, scratch: Scratch):
         """``groups``: ``key, size`` of any parts of the groups."""
         spark = groups.sparkSession
-        self.parcels = FINE * shards
-        total = groups.agg(F.sum("size")).first()[0] or 0
-        whole = groups.groupBy("key").agg(F.sum("size").alias("size"))
-        alone = F.col("size") * self.parcels >= total
-        packed = (
-            whole.select(
-                F.when(alone, F.col("key")).alias("key"),
-                F.when(~alone, self.parcel(F.col("key"))).alias("parcel"),
-                "size",
-            )
-            .groupBy("key", "parcel")
-            .agg(F.sum("size").alias("size"))
-            .collect()  # at most 2 * FINE * shards rows
-        )
-        packed.sort(key=lambda r: (-1 if r.parcel is None else r.parcel, bytes(r.key or b"")))
-        shard = pack_into([r.size for r in packed], shards)
+        whole = scratch.keep(groups.groupBy("key").agg(F.sum("size").alias("size")), "groups")
+        sizes = [tuple(r) for r in whole.groupBy("size").count().collect()]  # at most sqrt(2 bytes)
+        total = sum(size * count for size, count in sizes)
+        runs = pack_into(sizes, shards)
+        large = F.col("size") * (FINE * shards) >= total
+        # At most FINE * shards rows, numbered within their size like all others.
+        heavy = whole.where(large).orderBy(F.desc("size"), "key").collect()
+        spans = [(size, shard) for size, _, n, shard in runs if size * FINE * shards >= total for _ in range(n)]
         self.large = spark.createDataFrame(
-            [(r.key, s) for r, s in zip(packed, shard) if r.parcel is None],
-            "large_key binary, large_shard int",
+            [(r.key, shard) for r, (_, shard) in zip(heavy, spans, strict=True)], "large_key binary, large_shard int"
         )
-        self.small = spark.createDataFrame(
-            [(r.parcel, s) for r, s in zip(packed, shard) if r.parcel is not None],
-            "parcel long, parcel_shard int",
-        )
-
-    def parcel(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.parcels))
+        cell = F.pmod(F.xxhash64("key"), F.lit(RANK_CELLS))
+        small = whole.where(~large).withColumn("cell", cell)
+        sooner = W.partitionBy("size").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
+        cells = small.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("n"))
+        cells = cells.select("size", "cell", F.coalesce(F.sum("n").over(sooner), F.lit(0)).alias("before"))
+        place = F.row_number().over(W.partitionBy("size", "cell").orderBy("key")) - 1
+        small = small.withColumn("place", place).join(cells, ["size", "cell"])
+        small = small.select("key", "size", (F.col("place") + F.col("before")).alias("nth"))
+        light = [run for run in runs if run[0] * FINE * shards < total]
+        table = spark.createDataFrame(light, "run_size long, first long, n long, small_shard int")
+        here = (F.col("size") == F.col("run_size")) & (F.col("nth") >= F.col("first"))
+        here &= F.col("nth") < F.col("first") + F.col("n")
+        found = small.join(table, here).select(F.col("key").alias("small_key"), "small_shard")
+        self.small = scratch.keep(found, "assigned")
 
     def assign(self, rows: DataFrame, key: str, shard: str) -> DataFrame:
-        """Adds the shard of the group in column ``key``."""
-        large, small = (F.broadcast(t.select(F.struct("*").alias(n))) for t, n in zip(
-            (self.large, self.small), fresh(rows, "large", "small")))
-        big, little = large.columns[0], small.columns[0]
-        found = rows.join(large, F.col(key) == F.col(f"{big}.large_key"), "left").join(
-            small, self.parcel(F.col(key)) == F.col(f"{little}.parcel"), "left"
+        """Adds the shard of the group in column ``key``; rows of large groups stay where
+        they are, the others meet their group, of which none holds many."""
+        names = rows.columns
+        large, small = (
+            table.select(F.struct("*").alias(n)) for table, n in zip((self.large, self.small), fresh(rows, "large", "small"))
         )
-        shards = F.coalesce(F.col(f"{big}.large_shard"), F.col(f"{little}.parcel_shard"))
-        return found.withColumn(shard, shards).drop(big, little)
+        big, little = large.columns[0], small.columns[0]
+        same = F.col(key) == F.col(f"{big}.large_key")
+        heavy = rows.join(F.broadcast(large), same).select(*names, F.col(f"{big}.large_shard").alias(shard))
+        light = rows.join(F.broadcast(large), same, "left_anti")
+        light = light.join(small, F.col(key) == F.col(f"{little}.small_key"))
+        return heavy.unionByName(light.select(*names, F.col(f"{little}.small_shard").alias(shard)))
 
 
 def shard_documents(docs: DataFrame, shards: int, scratch: Scratch) -> DataFrame:
     """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` of every row.
 
-    Slots follow the order of the input and have no gaps. Rows are numbered in
-    cells, each some input splits of a shard, on top of the counts of the cells
-    before, so neither a shard nor a large group is gathered in one task.
+    Slots have no gaps. Rows are numbered in cells, each some input splits of a shard, on
+    top of the counts of the cells before, so neither a shard nor a large group is
+    gathered in one task; within a cell they follow the order of the input.
     """
     rows = scratch.keep(
         docs.select(
@@ -180,11 +196,11 @@ def shard_documents(docs: DataFrame, shards: int, scratch: Scratch) -> DataFrame
         ),
         "rows",
     )
-    placed = Assignment(rows, shards).assign(rows, "key", "shard").drop("key")
+    placed = Assignment(rows, shards, scratch).assign(rows, "key", "shard").drop("key")
     # The upper bits of the place are the input split.
     split = F.shiftright("place", 33) % SLOT_CELLS
     placed = scratch.keep(placed.withColumn("cell", split), "placed")
-    scratch.drop("rows")
+    scratch.drop("rows", "groups", "assigned")
     before = F.sum("n").over(
         W.partitionBy("shard").orderBy("cell").rowsBetween(W.unboundedPreceding, -1)
     )
@@ -207,5 +223,5 @@ def sharded_rows(docs: DataFrame, shards: int, name: str = "shard") -> DataFrame
     """All rows and columns, and the shard of each in a further column."""
     key, shard = fresh(docs, "group", name)
     groups = docs.select(_group(F.col("text")).alias("key"), _size(F.col("text")).alias("size"))
-    placed = Assignment(groups, shards).assign(docs.withColumn(key, _group(F.col("text"))), key, shard)
-    return placed.drop(key)
+    found = Assignment(groups, shards, Scratch(docs.sparkSession, "shards"))
+    return found.assign(docs.withColumn(key, _group(F.col("text"))), key, shard).drop(key)

@@ -25,34 +25,52 @@ def test_reference_sql(spark, name):
     assert differences(spark, connect(SMALL), SMALL, name) == []
 
 
+def best_fit(sizes, capacity):
+    """Shards of groups of these decreasing sizes, one group after the other."""
+    free, shards = [], []
+    for size in sizes:
+        fits = [(f, s) for s, f in enumerate(free) if f >= size]
+        shard = min(fits)[1] if fits else len(free)
+        if not fits:
+            free.append(max(capacity, size))
+        free[shard] -= size
+        shards.append(shard)
+    return shards
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60), st.integers(1, 60))
 def test_best_fit(sizes, capacity):
-    free, shards = [], [0] * len(sizes)
-    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
-        fits = [(f, s) for s, f in enumerate(free) if f >= sizes[i]]
-        shard = min(fits)[1] if fits else len(free)
-        if not fits:
-            free.append(max(capacity, sizes[i]))
-        free[shard] -= sizes[i]
-        shards[i] = shard
-    assert sharding.pack(sizes, capacity) == shards
+    runs = sharding.pack_counts(list(Counter(sizes).items()), capacity)
+    shards = [shard for _, _, n, shard in runs for _ in range(n)]
+    assert shards == best_fit(sorted(sizes, reverse=True), capacity)
 
 
 def test_shards(spark, monkeypatch):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    for fine in (256, 2):  # the second deals most groups into shared parcels
+    sizes = Counter()
+    for d in docs.collect():
+        sizes[d.text] += len((d.text or "").encode()) + 1
+    for fine in (256, 2):  # with the second, nearly all groups are numbered within their size
         monkeypatch.setattr(sharding, "FINE", fine)
         rows = sharding.shard_documents(docs, 4, Scratch(spark, "t")).collect()
-        by_text, slots, sizes = defaultdict(set), defaultdict(list), Counter()
+        by_text, slots, filled = defaultdict(set), defaultdict(list), Counter()
         texts = {r.doc_id: r.text for r in docs.collect()}
         for r in rows:
             by_text[texts[r.doc_id]].add(r.shard)
             slots[r.shard].append(r.slot)
-            sizes[r.shard] += r.size
-        assert all(len(s) == 1 for s in by_text.values())
+            filled[r.shard] += r.size
+        assert len(rows) == len(texts) and all(len(s) == 1 for s in by_text.values())
         assert all(sorted(s) == list(range(len(s))) for s in slots.values())
-        assert len(sizes) == 4 and max(sizes.values()) < (1.01 if fine > 2 else 1.5) * min(sizes.values())
+        assert len(filled) == 4 and max(filled.values()) < 1.01 * min(filled.values())
+        # Every group is packed: the shards hold what naive packing at this capacity puts there.
+        ordered = sorted(sizes.values(), reverse=True)
+        mean = -(-sum(ordered) // 4)
+        naive = [
+            sorted(Counter(dict(enumerate(np.bincount(best_fit(ordered, c), ordered).astype(int)))).values())
+            for c in range(max(filled.values()), max(filled.values()) + mean // 2_000)
+        ]
+        assert sorted(filled.values()) in naive
 
 
 @settings(max_examples=40, deadline=None)
