@@ -88,7 +88,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "toxic")
     field = toxicity.fit(docs, table(spark, sf_dir, "labels"), scratch)
-    return toxicity.tag(docs, field).drop("spans")
+    return toxicity.tag(docs, field)
 
 
 @query
