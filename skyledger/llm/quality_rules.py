@@ -132,8 +132,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Rules:
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where(F.col("text").isNotNull())
 
     def of_trusted(rows: DataFrame) -> DataFrame:
-        # Spark's size check decides: few ids are broadcast and no text is shuffled.
-        return rows.join(good, "id", "left_semi").drop("id")
+        # Merged also where the ids would fit a broadcast, so that the plan, and what it
+        # shuffles by byte of text, is the same at every size.
+        return rows.join(good.hint("merge"), "id", "left_semi").drop("id")
 
     raw = counted(docs.select("text"), CELLS, _GramCount)
     target = counted(of_trusted(texts), CELLS, _GramCount)
