@@ -20,7 +20,9 @@ Bounds. A shard task builds one index after another, each of about ``INDEX_WORDS
 words. An anchor with more than ``HOT_SEGMENTS`` distinct segments (a passage in
 very many contexts) has them cut into single windows, dealt by their content, so
 no group of distinct texts is unbounded; equal texts, segments and windows are
-collapsed before they are sent.
+collapsed before they are sent. Where rows meet what was found for their anchor,
+segment or window, those of frequent ones are not shuffled: at most ``HEAVY_KEYS``
+such keys are broadcast.
 
 Null texts have no words; texts shorter than a window keep all. Repeated rows are
 occurrences of their own, and each gets the result of its text. An empty table
@@ -45,6 +47,8 @@ WINDOW = 35
 GRAM = 8
 #: Words of an index, and distinct segments of an anchor that stay whole.
 INDEX_WORDS, HOT_SEGMENTS = 250_000, 4096
+#: A key with more than HEAVY_ROWS rows and more than 1/HEAVY_KEYS of all is joined apart.
+HEAVY_ROWS, HEAVY_KEYS = 100_000, 1000
 
 
 def anchor_places(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -243,11 +247,31 @@ def _scan(docs: DataFrame) -> DataFrame:
     )
 
 
-def _common_anchors(texts: DataFrame) -> DataFrame:
+def _heavy(counts: DataFrame, key: str) -> DataFrame:
+    """The keys with more than 1/HEAVY_KEYS of all rows, so fewer than HEAVY_KEYS, of
+    ``counts`` (``rows`` for each key)."""
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    return counts.where(F.col("rows") > max(HEAVY_ROWS, total // HEAVY_KEYS)).select(key)
+
+
+def _split_join(left: DataFrame, right: DataFrame, key: str, heavy: DataFrame, how: str = "inner") -> DataFrame:
+    """The join with a ``right`` that has a row per key; rows of the heavy keys stay
+    where they are and meet a broadcast of at most HEAVY_KEYS rows."""
+    if heavy.isEmpty():
+        return left.join(right, key, how)
+    light = left.join(F.broadcast(heavy), key, "left_anti").join(right, key, how)
+    few = right.join(F.broadcast(heavy), key, "left_semi")
+    return light.unionByName(left.join(F.broadcast(few), key, how))
+
+
+def _common_anchors(texts: DataFrame, scratch: Scratch) -> DataFrame:
     """``id, anchors``: for each text those of its anchors that occur again."""
     rows = texts.select("id", "n", F.explode("anchors").alias("anchor"))
-    common = rows.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    return rows.join(common, "anchor", "left_semi").groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
+    counts = rows.groupBy("anchor").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    counts = scratch.keep(counts.where("n > 1").select("anchor", "rows"), "anchors")
+    heavy, rows = _heavy(counts, "anchor"), rows.select("id", "anchor")
+    again = _split_join(rows, counts.select("anchor"), "anchor", heavy, "left_semi")
+    return again.groupBy("id").agg(F.collect_set("anchor").alias("anchors"))
 
 
 def _cut_segments(wanted: DataFrame) -> DataFrame:
@@ -336,28 +360,31 @@ def _judged(units: DataFrame) -> DataFrame:
     return dealt.select("part", "seg", "words", "n").mapInArrow(run, "seg binary, spans array<int>")
 
 
-def _repeated_segments(cut: DataFrame, scratch: Scratch) -> DataFrame:
-    """``seg, spans`` of all distinct segments with repeated intervals."""
-    distinct = cut.groupBy("part", "seg", "words").agg(F.sum("n").alias("n"))
+def _repeated_segments(cut: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``seg, spans`` of all distinct segments with repeated intervals, and the ``seg``
+    of heavy ones."""
+    distinct = cut.groupBy("part", "seg", "words").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
     distinct = scratch.keep(distinct, "distinct")
+    heavy = scratch.keep(_heavy(distinct, "seg"), "heavy")
     scratch.free()
     hot = (
         distinct.groupBy("part").agg(F.count(F.lit(1)).alias("segments")).where(F.col("segments") > HOT_SEGMENTS)
     ).select("part")
     hot = scratch.keep(hot, "hot")
     if hot.isEmpty():
-        return scratch.keep(_judged(distinct), "judged")
+        return scratch.keep(_judged(distinct.drop("rows")), "judged"), heavy
     # A hot anchor has thousands of segments, so there are few of them per shard.
     windows = scratch.keep(_single_windows(distinct.join(hot, "part", "left_semi")), "windows")
-    single = windows.groupBy("seg", "words").agg(F.sum("n").alias("n"))
+    single = windows.groupBy("seg", "words").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("rows"))
+    single = scratch.keep(single, "single")
+    frequent = _heavy(single, "seg")
     single = single.select(F.xxhash64("seg").alias("part"), "seg", "words", "n")
     judged = scratch.keep(
         _judged(distinct.join(hot, "part", "left_anti").select("part", "seg", "words", "n").unionByName(single)),
         "judged",
     )
     runs = (
-        windows.select("owner", "start", "seg")
-        .join(judged.select("seg"), "seg")
+        _split_join(windows.select("owner", "start", "seg"), judged.select("seg"), "seg", frequent)
         .groupBy("owner")
         .agg(F.collect_set("start").alias("starts"))
         .select(
@@ -368,7 +395,7 @@ def _repeated_segments(cut: DataFrame, scratch: Scratch) -> DataFrame:
         )
     )
     cold = judged.join(windows.select("seg").distinct(), "seg", "left_anti")
-    return cold.unionByName(scratch.keep(runs, "runs"))
+    return cold.unionByName(scratch.keep(runs, "runs")), heavy
 
 
 def remove_repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -381,7 +408,8 @@ def remove_repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .withColumn("id", F.monotonically_increasing_id()),
         "texts",
     )
-    common = scratch.keep(_common_anchors(texts), "common")
+    common = scratch.keep(_common_anchors(texts, scratch), "common")
+    scratch.drop("anchors")
     touched = texts.select("key", "id", "n").join(common, "id")
     nth = F.row_number().over(W.partitionBy("key").orderBy("key"))
     once = (
@@ -395,11 +423,10 @@ def remove_repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
     del once, touched
     scratch.drop("common")
     cut = scratch.keep(_cut_segments(wanted), "cut")
-    spans = _repeated_segments(cut, scratch)
-    scratch.drop("hot")
+    spans, heavy = _repeated_segments(cut, scratch)
+    scratch.drop("hot", "single")
     places = (
-        cut.select("id", "start", "seg")
-        .join(spans, "seg")
+        _split_join(cut.select("id", "start", "seg"), spans, "seg", heavy)
         .groupBy("id")
         .agg(F.flatten(F.collect_list(F.transform("spans", lambda s: s + F.col("start")))).alias("spans"))
     )
@@ -421,7 +448,7 @@ def remove_repeated(docs: DataFrame, scratch: Scratch) -> DataFrame:
         wanted.select("id", "text").join(places, "id"), "id long, n_removed long, kept_sha256 string", start
     )
     changed = scratch.keep(changed.join(texts.select("id", "key"), "id").drop("id"), "changed")
-    scratch.drop("wanted", "cut", "distinct", "judged", "windows", "runs", "texts")
+    scratch.drop("wanted", "cut", "distinct", "heavy", "judged", "windows", "runs", "texts")
     return scan.join(changed, "key", "left").select(
         "doc_id",
         "n_words",
