@@ -3,9 +3,10 @@
 ``latest`` always has one row per flight. Which join Spark runs is left to its
 size check: a small ``latest`` is broadcast and the history is not shuffled at
 all, a large one gets a sort-merge join. The check needs the real size, so
-callers settle ``latest`` in storage first. In the sort-merge case a flight id
-that dominates the history is split by adaptive execution; ``heavy`` does the
-same by salting for sessions without it.
+callers settle ``latest`` in storage first. In the sort-merge case only the flights
+that may have a state are shuffled, as far as the history is much larger than
+``latest`` (see ``sieve``). A flight id that dominates the history is split by adaptive
+execution there; ``heavy`` does the same by salting for sessions without it.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.operators import buckets
+from skyledger.operators import buckets, sieve
 from skyledger.operators.skew import (
     HeavyKeys,
     aqe_splits_skew,
@@ -21,6 +22,7 @@ from skyledger.operators.skew import (
     heavy_keys,
     replicate,
     scatter,
+    size_of,
 )
 from skyledger.schemas import TRACKING_KEY
 from skyledger.sources.tables import settle
@@ -47,11 +49,31 @@ def _join(history: DataFrame, latest: DataFrame, how: str, heavy: HeavyKeys | No
     return left.join(right, same, how).drop(_SALT, _SALT_R)
 
 
+def sifted(
+    flights: DataFrame, keys: DataFrame, key: str = TRACKING_KEY
+) -> tuple[DataFrame, DataFrame | None]:
+    """The flights that may be among the keys, and those that are not where it pays to
+    tell them apart: where the keys are not broadcast, but are few beside the flights."""
+    if broadcast_by_size(keys) or not sieve.pays(flights.sparkSession, size_of(flights), size_of(keys)):
+        return flights, None
+    return sieve.sift(flights, FLIGHT, keys, key)
+
+
 def flights_with_state(
     history: DataFrame, latest: DataFrame, heavy: HeavyKeys | None = None
 ) -> DataFrame:
     """Every historical flight, with its latest state where there is one."""
-    return _join(buckets.without(history), latest, "left", heavy).drop(TRACKING_KEY)
+    asked, rest = sifted(buckets.without(history), latest)
+    joined = _join(asked, latest, "left", heavy).drop(TRACKING_KEY)
+    return joined if rest is None else joined.unionByName(rest, allowMissingColumns=True)
+
+
+def flights_without(flights: DataFrame, keys: DataFrame, key: str = TRACKING_KEY) -> DataFrame:
+    """The flights that are not among the keys."""
+    asked, rest = sifted(flights, keys, key)
+    gone = keys.select(F.col(key).alias("_id"))
+    left = asked.join(gone, F.col(FLIGHT) == F.col("_id"), "left_anti")
+    return left if rest is None else left.unionByName(rest)
 
 
 def touched_flights(
@@ -60,7 +82,7 @@ def touched_flights(
     """The historical flights that have a state, with it. Of a history that is stored in
     parts by flight, only the parts that hold them are read."""
     history = buckets.without(buckets.holding(history, latest, TRACKING_KEY))
-    return _join(history, latest, "inner", heavy)
+    return _join(sifted(history, latest)[0], latest, "inner", heavy)
 
 
 def active_with_history(

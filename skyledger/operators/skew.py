@@ -54,11 +54,15 @@ def aqe_splits_skew(spark: SparkSession) -> bool:
     )
 
 
+def size_of(df: DataFrame) -> int:
+    """Bytes that Spark's own size check takes a frame for."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def broadcast_by_size(df: DataFrame) -> bool:
     """Whether Spark's own size check will broadcast this side of a join."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= limit
+    return size_of(df) <= limit
 
 
 def heavy_keys(

@@ -9,6 +9,7 @@ began with. ``sweep`` removes it after that, together with what failed loads lef
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from collections.abc import Iterable
@@ -141,6 +142,11 @@ def _stamp() -> str:
     return f"v{time.time_ns() // 1_000_000:013d}_{uuid.uuid4().hex[:8]}"
 
 
+def is_load(version: str) -> bool:
+    """Whether a version names one load, whose rows are what they were when it went live."""
+    return re.fullmatch(r"v\d{13}_[0-9a-f]{8}", version) is not None
+
+
 def _retire(spark: SparkSession, place: str) -> None:
     fs, target = _hadoop(spark, f"{place}/{RETIRED}")
     if fs.exists(target.getParent()):

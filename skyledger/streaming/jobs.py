@@ -16,7 +16,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from skyledger.config import Horizon, LakeConfig, Rules
 from skyledger.functions import tracking as tr
-from skyledger.operators import bi, enrich
+from skyledger.operators import bi, enrich, sieve
 from skyledger.operators import tracking as tk
 from skyledger.schemas import TRACKING_COLUMNS, TRACKING_EVENT, TRACKING_KEY
 from skyledger.sources import tables
@@ -300,22 +300,41 @@ def read_gold(
     Every batch adds rows for the flights it touched (with ``side="history"``, for
     all flights). Of each flight id, the rows of one batch are current: the one
     with the newest event, the last one where events are equally new or missing.
-    Which one it is takes three columns and one row per id and task in the shuffle.
+    Only rows with an event are compared and shuffled. A flight without any is in every
+    batch that wrote all flights of the load, so its current row is in the last of these,
+    where it passes without a shuffle (see ``sieve``). Where the version does not name a
+    load, batches may hold different flights, and all rows are compared.
 
     Where the history was loaded again between the batches, the states are joined with
     the load that is live now, for which ``history`` and ``side`` must be given.
     ``merge_gold`` stores the result, so that a reader scans no batches at all.
     """
     stored = spark.table(table)
-    loads = stored.select(HISTORY_VERSION).distinct().limit(2).collect()
+    age = F.struct(F.col("tracking_timestamp_evento").alias("t"), F.col(tables.BATCH_ID).alias("b"))
+    seen = F.col("tracking_timestamp_evento").isNotNull()
+    counts = (F.count(F.lit(1)).alias("rows"), F.count_if(seen).alias("seen"))
+    loads = stored.groupBy(HISTORY_VERSION).agg(*counts).limit(2).collect()
     if len(loads) > 1:
         if history is None:
             raise ValueError(f"{table} holds several loads of the history: name its table")
         return SIDES[side](tables.snapshot(spark, history)[1], _newest_states(spark, table))
-    age = F.struct(F.col("tracking_timestamp_evento").alias("t"), F.col(tables.BATCH_ID).alias("b"))
-    current = stored.groupBy(F.col(enrich.FLIGHT).alias("_id")).agg(F.max(age)["b"].alias("_b"))
-    same = stored[enrich.FLIGHT].eqNullSafe(F.col("_id")) & (stored[tables.BATCH_ID] == F.col("_b"))
-    return stored.join(current, same, "left_semi").drop(tables.BATCH_ID, HISTORY_VERSION)
+    of_one_load = bool(loads) and tables.is_load(loads[0][HISTORY_VERSION] or "")
+    tracked = stored.where(seen) if of_one_load else stored
+    current = tracked.groupBy(F.col(enrich.FLIGHT).alias("_id")).agg(F.max(age)["b"].alias("_b"))
+    same = tracked[enrich.FLIGHT].eqNullSafe(F.col("_id")) & (tracked[tables.BATCH_ID] == F.col("_b"))
+    rows = tracked.join(current, same, "left_semi")
+    if of_one_load:
+        unseen = stored.where(~seen)
+        last = unseen.select(F.max(tables.BATCH_ID)).scalar()
+        known, rest = tracked.select(F.col(enrich.FLIGHT).alias("_id")), []
+        unseen = unseen.where(F.col(tables.BATCH_ID) == last)
+        if sieve.pays(spark, loads[0]["rows"], loads[0]["seen"]):
+            unseen, never = sieve.sift(unseen, enrich.FLIGHT, known, "_id")
+            rest.append(never)
+        rest.append(unseen.join(known.distinct(), F.col(enrich.FLIGHT) == F.col("_id"), "left_anti"))
+        for part in rest:
+            rows = rows.unionByName(part)
+    return rows.drop(tables.BATCH_ID, HISTORY_VERSION)
 
 
 #: Table with the current rows of the joined table, which the dashboard reads.
