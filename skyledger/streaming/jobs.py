@@ -373,8 +373,7 @@ def merge_gold(
         new = spark.table(states).where(F.col(tables.BATCH_ID).isin(batches)) if batches else newest.limit(0)
         ids = new.select(TRACKING_KEY).distinct()
         changed = tables.settle(newest.join(ids, TRACKING_KEY, "left_semi"), f"{staging}_changed")
-        gone = changed.select(F.col(TRACKING_KEY).alias("_id"))
-        kept = before.join(gone, F.col(enrich.FLIGHT) == F.col("_id"), "left_anti").drop(HISTORY_VERSION)
+        kept = enrich.flights_without(before, changed).drop(HISTORY_VERSION)
         join = enrich.touched_flights if side == "history" else enrich.active_with_history
         again = join(flights, changed, enrich.skew_plan(flights, changed)).drop(TRACKING_KEY)
         rows = kept.unionByName(again)
