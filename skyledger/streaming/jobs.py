@@ -18,6 +18,7 @@ from skyledger.config import Horizon, LakeConfig, Rules
 from skyledger.functions import tracking as tr
 from skyledger.operators import bi, enrich, sieve
 from skyledger.operators import tracking as tk
+from skyledger.operators.skew import broadcast_by_size
 from skyledger.schemas import TRACKING_COLUMNS, TRACKING_EVENT, TRACKING_KEY
 from skyledger.sources import tables
 from skyledger.sources.streams import follow_table
@@ -292,6 +293,15 @@ def _newest_states(spark: SparkSession, table: str) -> DataFrame:
     return states.select(TRACKING_KEY, *(F.col(f"newest.{c}").alias(c) for c in TRACKING_COLUMNS))
 
 
+def _states_of(spark: SparkSession, table: str, batches: list[int]) -> DataFrame | None:
+    """The states that these batches of a joined table were made from, None if some are not kept."""
+    if not spark.catalog.tableExists(states_table(table)):
+        return None
+    states = spark.table(states_table(table)).where(F.col(tables.BATCH_ID).isin(batches))
+    kept = states.select(tables.BATCH_ID).distinct().count()
+    return states if kept == len(batches) else None
+
+
 def read_gold(
     spark: SparkSession, table: str, history: str | None = None, *, side: str = "history"
 ) -> DataFrame:
@@ -300,9 +310,11 @@ def read_gold(
     Every batch adds rows for the flights it touched (with ``side="history"``, for
     all flights). Of each flight id, the rows of one batch are current: the one
     with the newest event, the last one where events are equally new or missing.
-    Only rows with an event are compared and shuffled. A flight without any is in every
-    batch that wrote all flights of the load, so its current row is in the last of these,
-    where it passes without a shuffle (see ``sieve``). Where the version does not name a
+    Which batch that is, the states kept beside the table tell; where they lack a batch, its
+    rows with an event do. A flight without any event is in every batch that wrote all flights
+    of the load, so its current row is in the last of these, where it passes without a
+    shuffle (see ``sieve``). So a row is read once to find the loads and once, if it has an
+    event or is of that batch, for the result. Where the version does not name a
     load, batches may hold different flights, and all rows are compared.
 
     Where the history was loaded again between the batches, the states are joined with
@@ -310,30 +322,34 @@ def read_gold(
     ``merge_gold`` stores the result, so that a reader scans no batches at all.
     """
     stored = spark.table(table)
-    age = F.struct(F.col("tracking_timestamp_evento").alias("t"), F.col(tables.BATCH_ID).alias("b"))
     seen = F.col("tracking_timestamp_evento").isNotNull()
     counts = (F.count(F.lit(1)).alias("rows"), F.count_if(seen).alias("seen"))
-    loads = stored.groupBy(HISTORY_VERSION).agg(*counts).limit(2).collect()
+    batches = stored.groupBy(HISTORY_VERSION, tables.BATCH_ID).agg(*counts).collect()
+    loads = {batch[HISTORY_VERSION] for batch in batches}
     if len(loads) > 1:
         if history is None:
             raise ValueError(f"{table} holds several loads of the history: name its table")
         return SIDES[side](tables.snapshot(spark, history)[1], _newest_states(spark, table))
-    of_one_load = bool(loads) and tables.is_load(loads[0][HISTORY_VERSION] or "")
+    of_one_load = bool(loads) and tables.is_load(loads.pop() or "")
     tracked = stored.where(seen) if of_one_load else stored
-    current = tracked.groupBy(F.col(enrich.FLIGHT).alias("_id")).agg(F.max(age)["b"].alias("_b"))
+    states = _states_of(spark, table, [b[tables.BATCH_ID] for b in batches]) if of_one_load else None
+    told, flight = (tracked, enrich.FLIGHT) if states is None else (states.where(seen), TRACKING_KEY)
+    time, batch = F.col("tracking_timestamp_evento").alias("_t"), F.col(tables.BATCH_ID).alias("_in")
+    flights = told.select(F.col(flight).alias("_id"), time, batch)
+    current = flights.groupBy("_id").agg(F.max(F.struct("_t", "_in"))["_in"].alias("_b"))
     same = tracked[enrich.FLIGHT].eqNullSafe(F.col("_id")) & (tracked[tables.BATCH_ID] == F.col("_b"))
     rows = tracked.join(current, same, "left_semi")
-    if of_one_load:
-        unseen = stored.where(~seen)
-        last = unseen.select(F.max(tables.BATCH_ID)).scalar()
-        known, rest = tracked.select(F.col(enrich.FLIGHT).alias("_id")), []
-        unseen = unseen.where(F.col(tables.BATCH_ID) == last)
-        if sieve.pays(spark, loads[0]["rows"], loads[0]["seen"]):
+    without = [b for b in batches if b["rows"] > b["seen"]]
+    if of_one_load and without:
+        last = max(b[tables.BATCH_ID] for b in without)
+        unseen, known = stored.where(~seen & (F.col(tables.BATCH_ID) == last)), flights.select("_id")
+        some = sum(b["rows"] for b in batches), sum(b["seen"] for b in batches)
+        if not broadcast_by_size(known) and sieve.pays(spark, *some):
             unseen, never = sieve.sift(unseen, enrich.FLIGHT, known, "_id")
-            rest.append(never)
-        rest.append(unseen.join(known.distinct(), F.col(enrich.FLIGHT) == F.col("_id"), "left_anti"))
-        for part in rest:
-            rows = rows.unionByName(part)
+            rows = rows.unionByName(never)
+        rows = rows.unionByName(
+            unseen.join(known.distinct(), F.col(enrich.FLIGHT) == F.col("_id"), "left_anti")
+        )
     return rows.drop(tables.BATCH_ID, HISTORY_VERSION)
 
 

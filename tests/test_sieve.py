@@ -89,6 +89,25 @@ def test_flights_without_an_event_are_read_from_one_batch_and_not_shuffled(spark
     assert grouped and any("isnotnull(tracking_timestamp_evento" in line for line in below)
 
 
+@pytest.mark.parametrize("times", [0, 1 << 60])
+def test_the_states_tell_which_batch_is_current(spark, lake, tmp_path, history, few, monkeypatch, times):
+    """Rows of all batches are read for the result once, besides those of the last batch; where
+    a batch's states are not kept, its rows tell the same."""
+    monkeypatch.setattr(sieve, "TIMES", times)
+    name = lake.table_name("gold", stream=True)
+    write = jobs.gold_batch_writer(history, name, str(tmp_path / "staging"))
+    for batch_id, flight in enumerate(("AA1", "AA2", "AA1", "NEW")):
+        write(tk.parse_events(bodies(spark, message(ID_Vuelo=flight))), batch_id)
+    current = jobs.read_gold(spark, name)
+    text = current._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count(f"Relation spark_catalog.{name}[") == (3 if times == 0 else 2)
+    told = rows(current)
+    tables.drop_batches(spark, jobs.states_table(name), [1])
+    assert rows(jobs.read_gold(spark, name)) == told
+    spark.sql(f"DROP TABLE {jobs.states_table(name)}")
+    assert rows(jobs.read_gold(spark, name)) == told and len(told) == 8
+
+
 def test_batches_of_unnamed_loads_may_hold_different_flights(spark, lake, tmp_path, history):
     """As a history without versions leaves them: a flight that only an older batch has stays."""
     name, other = lake.table_name("gold", stream=True), lake.table_name("gold", stream=True, table="sin_version")
