@@ -551,7 +551,8 @@ def gold_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _merged_gold(spark: SparkSession, sf_dir: str, label: str, side: str, loads: dict[int, DataFrame]) -> DataFrame:
     """Current rows after four batches, merged after the second and at the end; ``loads``:
-    what is loaded as the history before a batch."""
+    what is loaded as the history before a batch. Nobody else reads this environment, so
+    nothing is kept for readers of loads and batches that are not live any more."""
     cfg = _lake(spark, label)
     history, name = cfg.table_name("silver"), cfg.table_name("gold", stream=True)
     merged = cfg.table_name("gold", stream=True, table=jobs.MERGED_TABLE)
@@ -560,11 +561,11 @@ def _merged_gold(spark: SparkSession, sf_dir: str, label: str, side: str, loads:
     raw = _raw_events(spark, sf_dir)
     for batch_id in range(4):
         if batch_id in loads:
-            flights = buckets.add(loads[batch_id], FLIGHT_BUCKETS)
-            tables.overwrite_table(flights, history, partition_by=[buckets.column(FLIGHT_BUCKETS)])
+            flights, parts = buckets.add(loads[batch_id], FLIGHT_BUCKETS), [buckets.column(FLIGHT_BUCKETS)]
+            tables.overwrite_table(flights, history, partition_by=parts)
         write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
         if batch_id % 2:
-            jobs.merge_gold(spark, history, name, merged, staging, side=side)
+            jobs.merge_gold(spark, history, name, merged, staging, side=side, grace_seconds=0)
     tables.delete_paths(spark, [f"{staging}_states", f"{staging}_changed"], root=cfg.root)
     _stored(spark, cfg, name)
     return jobs.read_merged(spark, merged)

@@ -366,6 +366,7 @@ def merge_gold(
     *,
     side: str = "history",
     fmt: str = "parquet",
+    grace_seconds: float = tables.GRACE_SECONDS,
 ) -> int:
     """Merges the batches of the joined table into a table of current rows, which is
     replaced in one step; returns how many batches were taken.
@@ -376,6 +377,10 @@ def merge_gold(
     Then the batches go, but for the newest, which may be replayed, and their states
     become one batch: neither table grows with the number of batches ever written. A run
     that stops anywhere, or merges a batch twice, gives the same rows.
+
+    What is not live any more is kept ``grace_seconds`` for running readers. With 0 there are
+    none, so the merged batches, which the states can make again, go before the new rows are
+    written and the old ones right after: the disk never holds both batches and merge.
     """
     states = states_table(table)
     if not spark.catalog.tableExists(states):
@@ -395,23 +400,34 @@ def merge_gold(
         rows = kept.unionByName(again)
     else:
         rows = SIDES[side](flights, newest, enrich.skew_plan(flights, newest))
-    tables.overwrite_table(rows.withColumn(HISTORY_VERSION, F.lit(version)), merged, fmt)
-    if spark.catalog.tableExists(table):
-        tables.drop_batches(spark, table, batches[:-1])
-        tables.sweep(spark, table)
+    rows = rows.withColumn(HISTORY_VERSION, F.lit(version))
+    if not grace_seconds:
+        _leave_out(spark, table, batches[:-1], grace_seconds)
+    tables.overwrite_table(rows, merged, fmt, grace_seconds=grace_seconds)
+    if grace_seconds:
+        _leave_out(spark, table, batches[:-1], grace_seconds)
     if len(batches) > 1:
-        _merge_batches(spark, states, newest, fmt)
+        _merge_batches(spark, states, newest, fmt, grace_seconds)
     return len(batches)
 
 
-def _merge_batches(spark: SparkSession, table: str, rows: DataFrame, fmt: str) -> int:
+def _leave_out(spark: SparkSession, table: str, batches: list[int], grace_seconds: float) -> None:
+    """Drops batches of the joined table, whose rows go after the grace period."""
+    if spark.catalog.tableExists(table):
+        tables.drop_batches(spark, table, batches)
+        tables.sweep(spark, table, grace_seconds)
+
+
+def _merge_batches(
+    spark: SparkSession, table: str, rows: DataFrame, fmt: str, grace_seconds: float = tables.GRACE_SECONDS
+) -> int:
     """Makes ``rows`` the one batch of a table besides its newest, which may be replayed;
     returns its number (negative, so no batch can take it)."""
     merged = tables.batch_ids(spark, table)[:-1]
     target = min(merged[0], 0) - 1
     tables.write_batch(rows, table, target, fmt)
     tables.drop_batches(spark, table, merged)
-    tables.sweep(spark, table)
+    tables.sweep(spark, table, grace_seconds)
     return target
 
 
