@@ -562,7 +562,7 @@ def _merged_gold(spark: SparkSession, sf_dir: str, label: str, side: str, loads:
     for batch_id in range(4):
         if batch_id in loads:
             flights, parts = buckets.add(loads[batch_id], FLIGHT_BUCKETS), [buckets.column(FLIGHT_BUCKETS)]
-            tables.overwrite_table(flights, history, partition_by=parts)
+            tables.overwrite_table(flights, history, partition_by=parts, grace_seconds=0, gather=False)
         write(tk.parse_events(raw.where(F.col("partition") == str(batch_id))), batch_id)
         if batch_id % 2:
             jobs.merge_gold(spark, history, name, merged, staging, side=side, grace_seconds=0)

@@ -252,6 +252,7 @@ def overwrite_table(
     fmt: str = "parquet",
     partition_by: Iterable[str] = (),
     grace_seconds: float = GRACE_SECONDS,
+    gather: bool = True,
 ) -> None:
     """Replaces the rows of a table, and its columns where they differ.
 
@@ -264,10 +265,13 @@ def overwrite_table(
     Without partitions every task writes its own rows and nothing is shuffled.
     With them, rows are gathered by partition value first, so that a partition
     is not scattered over as many files as there are tasks; the rebalance hint
-    lets adaptive execution cut an oversized value into several tasks.
+    lets adaptive execution cut an oversized value into several tasks. With
+    ``gather=False`` a task sorts its own rows by partition value and writes a file
+    for each: for a few values that all tasks have alike, such as parts by a hash,
+    where gathering would put the whole table on the executors' disks once more.
     """
     columns = list(partition_by)
-    if columns:
+    if columns and gather:
         df = df.hint("rebalance", *columns)
     writer = df.write.format(fmt).mode("overwrite")
     if columns:
