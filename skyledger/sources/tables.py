@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.readwriter import DataFrameWriter
 
 from skyledger.config import BATCH_LAYERS, STREAM_LAYERS, LakeConfig
 
@@ -25,6 +26,8 @@ BATCH_ID = "batch_id"
 
 #: Seconds for which rows that are not live any more are kept for running readers.
 GRACE_SECONDS = 3600
+#: How Parquet rows of tables are packed where the session names no codec.
+CODEC = "zstd"
 #: Mark in a folder that is not live any more. Its name hides it from readers.
 RETIRED = "_retired"
 #: Ending of a table that is complete and about to take another one's name.
@@ -246,6 +249,14 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
         return spark.table(name)
 
 
+def _writer(df: DataFrame, fmt: str) -> DataFrameWriter:
+    """Writer of a folder of table rows, in ``CODEC`` unless the session names another."""
+    writer = df.write.format(fmt)
+    if fmt == "parquet" and not df.sparkSession.conf.get("spark.sql.parquet.compression.codec", None):
+        return writer.option("compression", CODEC)
+    return writer
+
+
 def overwrite_table(
     df: DataFrame,
     name: str,
@@ -273,11 +284,11 @@ def overwrite_table(
     columns = list(partition_by)
     if columns and gather:
         df = df.hint("rebalance", *columns)
-    writer = df.write.format(fmt).mode("overwrite")
+    spark, by_folder = df.sparkSession, _by_folder(name, fmt)
+    writer = (_writer(df, fmt) if by_folder else df.write.format(fmt)).mode("overwrite")
     if columns:
         writer = writer.partitionBy(*columns)
-    spark = df.sparkSession
-    if not _by_folder(name, fmt):
+    if not by_folder:
         writer.saveAsTable(name)
         return
     _finish_replacing(spark, name)
@@ -379,7 +390,7 @@ def write_batch(df: DataFrame, name: str, batch_id: int, fmt: str = "parquet") -
     rows = df.select(*(_fitted(f, stored.get(f.name.lower(), f.dataType)) for f in df.schema))
     place = f"{folder}/{BATCH_ID}={int(batch_id)}-{_stamp()}"
     try:
-        rows.write.format(fmt).save(place)
+        _writer(rows, fmt).save(place)
     except Exception:
         delete_paths(spark, [place], root=folder)
         raise

@@ -143,3 +143,17 @@ def test_a_load_that_is_not_gathered_has_the_same_rows(spark, lake):
     assert files == {True: 4, False: 12}
     latest = tk.latest_state(tk.parse_events(bodies(spark, message(ID_Vuelo="AA3"))))
     assert enrich.touched_flights(spark.table(name), latest).count() == 1
+
+
+def test_tables_are_packed_unless_the_session_names_a_codec(spark, lake, conf):
+    numbers, name, log = spark.range(5), lake.table_name("silver"), lake.table_name("gold", stream=True)
+
+    def codecs():
+        tables.overwrite_table(numbers, name)
+        tables.write_batch(numbers, log, 0)
+        return {file.rsplit(".", 2)[1] for one in (name, log) for file in spark.table(one).inputFiles()}
+
+    assert codecs() == {"zstd"}
+    conf(spark__sql__parquet__compression__codec="gzip")
+    assert codecs() == {"gz"}
+    assert spark.table(name).count() == spark.table(log).count() == 5
